@@ -38,8 +38,8 @@ def test_matches_windows(spark, parts, asc):
                     F.count(F.lit(1)).over(Window.partitionBy("g")).alias("group_size"),
                     F.lag("v").over(w).alias("prev_v"), F.lead("id").over(w).alias("next_id"))
     cols = ["g", "v", "id", "row_number", "rank", "dense_rank", "group_size", "prev_v", "next_id"]
-    got = sorted(tuple(x) for x in r.select(*cols).collect())
-    exp = sorted(tuple(x) for x in ref.select(*cols).collect())
+    got = sorted((tuple(x) for x in r.select(*cols).collect()), key=repr)
+    exp = sorted((tuple(x) for x in ref.select(*cols).collect()), key=repr)
     assert got == exp
 
 
@@ -56,8 +56,8 @@ def test_ntile_matches_spark(spark):
     r = rank_within(df, ["g"], [("v", True)], ["id"], outputs=("row_number", "group_size"), num_partitions=5)
     r = r.withColumn("nt", ntile_from_rank("row_number", "group_size", 4))
     ref = df.withColumn("nt", F.ntile(4).over(Window.partitionBy("g").orderBy("v", "id")))
-    assert sorted(tuple(x) for x in r.select("id", "nt").collect()) == \
-        sorted(tuple(x) for x in ref.select("id", "nt").collect())
+    assert sorted((tuple(x) for x in r.select("id", "nt").collect()), key=repr) == \
+        sorted((tuple(x) for x in ref.select("id", "nt").collect()), key=repr)
 
 
 def test_exact_quantiles_match_numpy(spark):
