@@ -64,6 +64,22 @@ def _rows_eq(df: pd.DataFrame, other, cols: Sequence[str]) -> np.ndarray:
     return out
 
 
+def _changes(pdf: pd.DataFrame, by: Sequence[str], ocols: Sequence[str], prev: dict | None = None):
+    """Row flags: a new group starts here; a new (group, order value) run starts
+    here.  ``prev`` is the last row of the previous batch (None at the start)."""
+    n = len(pdf)
+    gchg = np.zeros(n, dtype=bool)
+    vchg = np.zeros(n, dtype=bool)
+    for flags, cols in ((gchg, by), (vchg, ocols)):
+        for c in cols:
+            a = pdf[c]
+            flags[1:] |= ~_eq(a.iloc[1:].reset_index(drop=True), a.iloc[:-1].reset_index(drop=True))
+    gchg[0] = prev is None or not all(_same(pdf[c].iloc[0], prev[c]) for c in by)
+    vchg |= gchg
+    vchg[0] = gchg[0] or not all(_same(pdf[c].iloc[0], prev[c]) for c in ocols)
+    return gchg, vchg
+
+
 def _same(a, b) -> bool:
     if pd.isna(a) and pd.isna(b):
         return True
@@ -129,30 +145,57 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
     s_schema = T.StructType(s_fields)
 
     def summarize(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if len(pdf) == 0:
+        # Streams the partition batch by batch (memory: one Arrow batch).
+        prev = None
+        row, f, lst = {}, {"cnt": 0, "tie": 0, "dist": 0}, {"cnt": 0, "tie": 0, "dist": 0}
+        f_open, n_rows, fval, last = True, 0, None, None
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            w = pdf[weight].to_numpy(dtype=np.int64) if weight else np.ones(n, dtype=np.int64)
+            gchg, vchg = _changes(pdf, by, ocols, prev)
+            seg = np.cumsum(gchg)              # 0 = continues the previous batch's group
+            if prev is None:
+                first = pdf.iloc[0]
+                row[_PID] = int(first[_PID])
+                for c in by:
+                    row[f"f_k_{c}"] = first[c]
+                for c in ocols:
+                    row[f"f_v_{c}"] = first[c]
+                for c in lead:
+                    row[f"f_lead_{c}"] = first[c]
+                fval = {c: first[c] for c in ocols}
+            if f_open:
+                m = seg == (1 if prev is None else 0)
+                f["cnt"] += int(w[m].sum())
+                f["dist"] += int(vchg[m].sum())
+                f["tie"] += int(w[m & _rows_eq(pdf, fval, ocols)].sum())
+                f_open = bool(m.all())
+            starts = np.flatnonzero(vchg)
+            if seg[-1] == 0:                   # the whole batch continues the trailing group
+                lst["cnt"] += int(w.sum())
+                lst["dist"] += int(vchg.sum())
+                lst["tie"] = int(w[starts[-1]:].sum()) if len(starts) else lst["tie"] + int(w.sum())
+            else:
+                m = seg == seg[-1]
+                lst["cnt"], lst["dist"] = int(w[m].sum()), int(vchg[m].sum())
+                lst["tie"] = int(w[starts[-1]:].sum())
+            last = pdf.iloc[-1]
+            prev = {c: last[c] for c in (*by, *ocols)}
+            n_rows += n
+        if prev is None:
             return
-        n = len(pdf)
-        w = pdf[weight].to_numpy(dtype=np.int64) if weight else np.ones(n, dtype=np.int64)
-        gchg = ~_rows_eq(pdf, pdf.shift(1), by)
-        gchg[0] = True
-        vchg = gchg | ~_rows_eq(pdf, pdf.shift(1), ocols)
-        gid = np.cumsum(gchg)
-        row = {_PID: int(pdf[_PID].iloc[0]), "n": n}
-        for side, g, at in (("f", 1, 0), ("l", gid[-1], n - 1)):
-            m = gid == g
-            first = pdf.iloc[at]
-            for c in by:
-                row[f"{side}_k_{c}"] = first[c]
-            for c in ocols:
-                row[f"{side}_v_{c}"] = first[c]
-            row[f"{side}_cnt"] = int(w[m].sum())
-            row[f"{side}_tie"] = int(w[m & _rows_eq(pdf, first, ocols)].sum())
-            row[f"{side}_dist"] = int(vchg[m].sum())
+        row["n"] = n_rows
+        for c in by:
+            row[f"l_k_{c}"] = last[c]
+        for c in ocols:
+            row[f"l_v_{c}"] = last[c]
+        for side, st in (("f", f), ("l", lst)):
+            for k, v in st.items():
+                row[f"{side}_{k}"] = v
         for c in lag:
-            row[f"l_lag_{c}"] = pdf[c].iloc[-1]
-        for c in lead:
-            row[f"f_lead_{c}"] = pdf[c].iloc[0]
+            row[f"l_lag_{c}"] = last[c]
         yield pd.DataFrame([row])
 
     summary = ranged.mapInPandas(summarize, s_schema)
@@ -162,6 +205,7 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
                 T.StructField("o_cont", T.BooleanType()), T.StructField("o_rn", T.LongType()),
                 T.StructField("o_tie_rank", T.LongType()), T.StructField("o_dense", T.LongType()),
                 T.StructField("o_f_total", T.LongType()), T.StructField("o_l_total", T.LongType())]
+    o_fields += [_field(schema, c, f"o_lk_{c}") for c in by]
     o_fields += [_field(schema, c, f"o_lag_{c}") for c in lag]
     o_fields += [_field(schema, c, f"o_lead_{c}") for c in lead]
     o_schema = T.StructType(o_fields)
@@ -206,6 +250,8 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
             r = {_PID: int(s.at[i, _PID]), "o_n": int(s.at[i, "n"]), "o_cont": cont, "o_rn": o_rn,
                  "o_tie_rank": o_tie, "o_dense": o_dense,
                  "o_f_total": totals[chain_f[i]], "o_l_total": totals[chain_l[i]]}
+            for c in by:
+                r[f"o_lk_{c}"] = s.at[i, f"l_k_{c}"]
             for c in lag:
                 r[f"o_lag_{c}"] = prev_lag.get(c) if cont else None
             for c in lead:
@@ -245,54 +291,119 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
     out_schema = T.StructType(out_fields)
     base_names = [f.name for f in base]
 
+    want_size = "group_size" in want
+
     def finish(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if len(pdf) == 0:
+        # Streams the partition; rows wait in `pending` only while their
+        # group's size (interior groups) or their successor (LEAD) is unknown.
+        o = None
+        prev = None
+        rn_cur = rank_cur = dense_cur = 0
+        gord = 0
+        pending, pend_size, total = None, False, 0
+
+        def emit(frame):
+            if frame is not None and len(frame):
+                yield frame
+
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            if o is None:
+                o = pdf.iloc[0]
+                lkey = {c: o[f"o_lk_{c}"] for c in by}
+            total += n
+            w = pdf[weight].to_numpy(dtype=np.int64) if weight else np.ones(n, dtype=np.int64)
+            gchg, vchg = _changes(pdf, by, ocols, prev)
+            seg = np.cumsum(gchg)
+            cont = seg == 0
+            first_seg = (gord + seg) == 1
+            base = np.where(cont, rn_cur, np.where(first_seg, int(o["o_rn"]), 0))
+            rn = pd.Series(w).groupby(seg).cumsum().to_numpy() + base
+            cols = {}
+            if "row_number" in want:
+                cols["row_number"] = rn.astype(np.int64 if weight else np.int32)
+            if "rank" in want:
+                run = np.cumsum(vchg)
+                starts = np.flatnonzero(vchg)
+                rank = np.full(n, rank_cur, dtype=np.int64)
+                if len(starts):
+                    hit = run >= 1
+                    rank[hit] = rn[starts][run[hit] - 1]
+                if prev is None and not pd.isna(o["o_tie_rank"]):
+                    rank = np.where(first_seg & (run == 1), int(o["o_tie_rank"]), rank)
+                rank_cur = int(rank[-1])
+                cols["rank"] = rank.astype(np.int32)
+            if "dense_rank" in want:
+                dense = pd.Series(vchg.astype(np.int64)).groupby(seg).cumsum().to_numpy()
+                dense = dense + np.where(cont, dense_cur, np.where(first_seg, int(o["o_dense"]), 0))
+                dense_cur = int(dense[-1])
+                cols["dense_rank"] = dense.astype(np.int32)
+            for c in lag:
+                pv = pdf[c].shift(1).where(~gchg)
+                if prev is not None and not gchg[0]:
+                    pv.iloc[0] = prev[c]
+                elif prev is None and bool(o["o_cont"]):
+                    pv.iloc[0] = o[f"o_lag_{c}"]
+                cols[f"prev_{c}"] = pv
+            for c in lead:
+                cols[f"next_{c}"] = pdf[c].shift(-1).where(~np.append(gchg[1:], True))
+            tail_known = True
+            if want_size:
+                starts_g = np.flatnonzero(gchg)
+                ends = np.append(starts_g, n)[1:] - 1 if gchg[0] else np.append(starts_g, n) - 1
+                end_idx = ends[seg - seg[0]]
+                size = rn[end_idx].astype(np.int64)
+                is_last = _rows_eq(pdf, lkey, by)
+                size = np.where(first_seg, int(o["o_f_total"]),
+                                np.where(is_last, int(o["o_l_total"]), size))
+                tail = seg == seg[-1]
+                tail_known = bool((first_seg[-1]) or is_last[-1])
+                if not tail_known:
+                    size = np.where(tail, -1, size)
+                cols["group_size"] = size
+            res = pdf[base_names].assign(**cols)
+
+            # resolve rows held back from earlier batches
+            if pending is not None:
+                for c in lead:
+                    pending.iloc[-1, pending.columns.get_loc(f"next_{c}")] = (
+                        None if gchg[0] else pdf[c].iloc[0])
+                if pend_size:
+                    if gchg[0]:
+                        pending["group_size"] = rn_cur
+                    elif seg[-1] != 0 or tail_known:
+                        pending["group_size"] = int(res["group_size"].iloc[0])
+                    else:                                   # group still open: keep holding
+                        pending = pd.concat([pending, res], ignore_index=True)
+                        rn_cur, gord, last = int(rn[-1]), int(gord + seg[-1]), pdf.iloc[-1]
+                        prev = {c: last[c] for c in (*by, *ocols, *lag)}
+                        continue
+                yield from emit(pending)
+                pending, pend_size = None, False
+
+            hold_from = n
+            if want_size and not tail_known:
+                hold_from = int(np.flatnonzero(tail)[0])
+                pend_size = True
+            elif lead:
+                hold_from = n - 1
+            yield from emit(res.iloc[:hold_from])
+            pending = res.iloc[hold_from:].reset_index(drop=True) if hold_from < n else None
+            rn_cur, gord, last = int(rn[-1]), int(gord + seg[-1]), pdf.iloc[-1]
+            prev = {c: last[c] for c in (*by, *ocols, *lag)}
+
+        if o is None:
             return
-        n = len(pdf)
-        o = pdf.iloc[0]
-        if int(o["o_n"]) != n:
+        if total != int(o["o_n"]):
             raise RuntimeError("rank_within: partition layout changed between passes")
-        pos = np.arange(n)
-        w = pdf[weight].to_numpy(dtype=np.int64) if weight else np.ones(n, dtype=np.int64)
-        gchg = ~_rows_eq(pdf, pdf.shift(1), by)
-        gchg[0] = True
-        vchg = gchg | ~_rows_eq(pdf, pdf.shift(1), ocols)
-        gid = np.cumsum(gchg)
-        first_seg = gid == 1
-        gstart = pos[gchg][gid - 1]
-        cw = np.cumsum(w)
-        rn = cw - (cw - w)[gstart] + np.where(first_seg, int(o["o_rn"]), 0)
-        res = pdf[base_names].copy()
-        if "row_number" in want:
-            res["row_number"] = rn.astype(np.int64 if weight else np.int32)
-        if "rank" in want:
-            run_id = np.cumsum(vchg)
-            rank = rn[pos[vchg][run_id - 1]]
-            if not pd.isna(o["o_tie_rank"]):
-                rank = np.where(first_seg & (run_id == 1), int(o["o_tie_rank"]), rank)
-            res["rank"] = rank.astype(np.int32)
-        if "dense_rank" in want:
-            dense = pd.Series(vchg.astype(np.int64)).groupby(gid).cumsum().to_numpy()
-            dense = dense + np.where(first_seg, int(o["o_dense"]), 0)
-            res["dense_rank"] = dense.astype(np.int32)
-        if "group_size" in want:
-            local = np.bincount(gid, weights=w).astype(np.int64)[gid]
-            size = np.where(first_seg, int(o["o_f_total"]),
-                            np.where(gid == gid[-1], int(o["o_l_total"]), local))
-            res["group_size"] = size.astype(np.int64)
-        for c in lag:
-            prev = pdf[c].shift(1)
-            prev = prev.where(~gchg, None)
-            if bool(o["o_cont"]):
-                prev.iloc[0] = o[f"o_lag_{c}"]
-            res[f"prev_{c}"] = prev
-        for c in lead:
-            nchg = np.append(gchg[1:], True)
-            nxt = pdf[c].shift(-1).where(~nchg, None)
-            nxt.iloc[-1] = o[f"o_lead_{c}"]
-            res[f"next_{c}"] = nxt
-        yield res
+        if pending is not None:
+            for c in lead:
+                pending.iloc[-1, pending.columns.get_loc(f"next_{c}")] = o[f"o_lead_{c}"]
+            if pend_size:
+                pending["group_size"] = rn_cur
+            yield from emit(pending)
 
     joined = ranged.join(F.broadcast(offs), _PID, "inner")
     return joined.mapInPandas(finish, out_schema)

@@ -23,9 +23,19 @@ def _frame(spark, n=400, groups=("a", "b", "c", None), seed=7):
     return spark.createDataFrame(data, "g string, v int, id int")
 
 
+@pytest.fixture(params=[10000, 7], ids=["batch10000", "batch7"])
+def batch_rows(spark, request):
+    """Run with normal and with tiny Arrow batches (state carried across batches)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(request.param))
+    yield request.param
+    spark.conf.set(key, old)
+
+
 @pytest.mark.parametrize("parts", [1, 3, 16])
 @pytest.mark.parametrize("asc", [True, False])
-def test_matches_windows(spark, parts, asc):
+def test_matches_windows(spark, parts, asc, batch_rows):
     df = _frame(spark)
     r = rank_within(df, ["g"], [("v", asc)], ["id"],
                     outputs=("row_number", "rank", "dense_rank", "group_size"),
@@ -51,7 +61,7 @@ def test_no_groups_and_ties_rank(spark):
     assert got == [(1, 1, 1, 1), (2, 2, 1, 1), (3, 4, 4, 2), (4, 3, 1, 1)]
 
 
-def test_ntile_matches_spark(spark):
+def test_ntile_matches_spark(spark, batch_rows):
     df = _frame(spark, n=301)
     r = rank_within(df, ["g"], [("v", True)], ["id"], outputs=("row_number", "group_size"), num_partitions=5)
     r = r.withColumn("nt", ntile_from_rank("row_number", "group_size", 4))
@@ -60,7 +70,7 @@ def test_ntile_matches_spark(spark):
         sorted((tuple(x) for x in ref.select("id", "nt").collect()), key=repr)
 
 
-def test_exact_quantiles_match_numpy(spark):
+def test_exact_quantiles_match_numpy(spark, batch_rows):
     rnd = random.Random(3)
     data = [(rnd.choice("pq"), float(rnd.randint(-50, 50)) if rnd.random() > 0.1 else None) for _ in range(500)]
     df = spark.createDataFrame(data, "g string, x double")
