@@ -96,6 +96,33 @@ def _field(schema: T.StructType, name: str, new_name: str) -> T.StructField:
     return T.StructField(new_name, schema[name].dataType, True)
 
 
+# Target bytes of input per range partition (on-disk, compressed size).
+TARGET_PARTITION_BYTES = 512 * 1024 * 1024
+_SIZE_CACHE: dict = {}
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Partition count for the range exchange, from the size of the input files.
+
+    The count must be explicit (both passes read one exchange, so AQE must
+    not re-split it); it grows with the data: one partition per
+    TARGET_PARTITION_BYTES of input, never fewer than the cluster's default
+    parallelism.  The size comes from a listing of the input files (the
+    ``binaryFile`` source with the file bodies pruned).
+    """
+    spark = df.sparkSession
+    floor = spark.sparkContext.defaultParallelism
+    files = tuple(sorted(df.inputFiles()))
+    if not files:
+        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if files not in _SIZE_CACHE:
+        row = (spark.read.format("binaryFile").load(list(files))
+               .agg(F.sum("length").alias("b")).first())
+        _SIZE_CACHE[files] = int(row["b"] or 0)
+    need = -(-_SIZE_CACHE[files] // TARGET_PARTITION_BYTES)
+    return int(max(floor, need))
+
+
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
                 tiebreak: Sequence[str], outputs: Sequence[str] = ("row_number",),
                 lag: Sequence[str] = (), lead: Sequence[str] = (),
@@ -127,7 +154,7 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
     keys = ([F.col(b).asc() for b in by]
             + [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
             + [F.col(t).asc() for t in tiebreak])
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = num_partitions or range_partitions(df)
     schema = df.schema
 
     ranged = (df.repartitionByRange(n_parts, *keys)
