@@ -123,6 +123,15 @@ def range_partitions(df: DataFrame) -> int:
     return int(max(floor, need))
 
 
+def range_sorted(df: DataFrame, keys, n_parts: int) -> DataFrame:
+    """Range-partition on the (unique) sort key, sort each partition, tag the
+    partition id.  A hot group spreads over many partitions because the key
+    includes the order and tiebreak columns."""
+    return (df.repartitionByRange(n_parts, *keys)
+            .sortWithinPartitions(*keys)
+            .withColumn(_PID, F.spark_partition_id()))
+
+
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
                 tiebreak: Sequence[str], outputs: Sequence[str] = ("row_number",),
                 lag: Sequence[str] = (), lead: Sequence[str] = (),
@@ -157,9 +166,7 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
     n_parts = num_partitions or range_partitions(df)
     schema = df.schema
 
-    ranged = (df.repartitionByRange(n_parts, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn(_PID, F.spark_partition_id()))
+    ranged = range_sorted(df, keys, n_parts)
 
     # ---- step 2: one summary row per partition --------------------------------
     s_fields = [T.StructField(_PID, T.IntegerType()), T.StructField("n", T.LongType())]

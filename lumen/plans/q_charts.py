@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lumen.functions import expressions as X
 from lumen.operators import chartprep as C
 from lumen.plans import roles as R
-from lumen.plans.oracle_roles import (AIRLINES, DIAMONDS, IRIS, SUPPLIER_AIRLINE, TRIPS, with_)
+from lumen.plans.oracle_roles import (AIRLINES, DIAMONDS, IRIS, SUPPLIER_AIRLINE, TRIPS, USARRESTS, with_)
 from lumen.plans.q_basic import CUT_LEVELS, _levels_sql, trips_with_airline
 from lumen.plans.registry import query
 
@@ -246,3 +246,20 @@ def dashboard_panels(spark, sf):
     p4 = q.select(F.lit("arr_delay_median_top5").alias("panel"), F.col("carrier").alias("label"),
                   F.round("med", 6).alias("value"))
     return p1.unionByName(p2).unionByName(p3).unionByName(p4)
+
+
+@query("top_states_bar", with_(USARRESTS) +
+       "SELECT state, Murder FROM usarrests ORDER BY Murder DESC, state LIMIT 10")
+def top_states_bar(spark, sf):
+    """Top 10 rows by a measure, labelled by the first column (a bar chart's data)."""
+    u = R.usarrests(spark, sf)
+    return u.orderBy(F.desc("Murder"), X.first_column(u)).limit(10).select(X.first_column(u), "Murder")
+
+
+@query("mean_price_by_cut", with_(DIAMONDS) +
+       "SELECT cut, round(avg(price), 6) AS price FROM diamonds WHERE cut IS NOT NULL GROUP BY cut")
+def mean_price_by_cut(spark, sf):
+    """pandas-style ``groupby(cut)[price].mean()`` for a bar chart."""
+    from lumen.operators import aggregates as A
+    m = A.mean_by(R.diamonds(spark, sf), "cut", "price")
+    return m.withColumn("price", F.round("price", 6))

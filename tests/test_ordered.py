@@ -87,3 +87,21 @@ def test_weighted_single_value_hot_group(spark):
     df = spark.createDataFrame([(1.0,)] * 1000 + [(2.0,), (3.0,)], "x double")
     (r,) = exact_quantiles(df, "x", {"med": 0.5, "top": 1.0}).collect()
     assert r.med == 1.0 and r.top == 3.0
+
+
+def test_hot_group_is_split_across_partitions(spark):
+    """One group holding most rows still spreads evenly over the range partitions."""
+    from lumen.operators.ordered import range_sorted
+    n = 6000
+    data = [("hot" if i % 10 < 7 else f"g{i % 10}", i % 97, i) for i in range(n)]
+    df = spark.createDataFrame(data, "g string, v int, id int")
+    parts = 12
+    r = range_sorted(df, [F.col("g"), F.col("v").desc(), F.col("id")], parts)
+    sizes = [row["c"] for row in r.groupBy("_lumen_pid").agg(F.count(F.lit(1)).alias("c")).collect()]
+    hot_parts = r.where(F.col("g") == "hot").select("_lumen_pid").distinct().count()
+    assert hot_parts >= parts // 2                  # the hot group is not funnelled into one task
+    assert max(sizes) < 2.5 * (n / parts)           # balanced partitions
+    ranked = rank_within(df, ["g"], [("v", False)], ["id"], outputs=("row_number", "dense_rank"),
+                         num_partitions=parts)
+    hot = ranked.where(F.col("g") == "hot").agg(F.max("row_number").alias("m"), F.max("dense_rank").alias("d")).first()
+    assert hot.m == 4200 and hot.d == 97
