@@ -2,19 +2,21 @@
 
 Every aggregate here is planned as partial (map-side) + final hash
 aggregation, so a hot group key is pre-aggregated in every task before the
-shuffle and never lands whole in one task.  Exact quantiles are computed by a
-distributed sort (``rank_within``) over (group, value, count) rows — never by
-buffering a group's values in one aggregation buffer.
+shuffle and never lands whole in one task.  Exact quantiles run over
+(group, value, count) rows: a size-checked running-sum window when those are
+few, else a distributed sort (``rank_within``) — never by buffering a group's
+values in one aggregation buffer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumen.operators.ordered import rank_within
+from lumen.session import checkpoint_dir
 
 
 def grouped(df: DataFrame, keys: Sequence[str | Column], aggs: Mapping[str, Column]) -> DataFrame:
@@ -45,16 +47,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     """Exact linear-interpolation quantiles (``percentile`` / ``quantile_cont``).
 
     Values are first compressed to (group, value, count) — a partial
-    aggregation, so a value repeated a billion times is one row — then the
-    compressed rows are range-sorted per group and the two order statistics
-    around each target position are picked.  NULL values are ignored.
+    aggregation, so a value repeated a billion times is one row — then
+    cumulative counts are taken per group (``cumulative_counts``) and the two
+    order statistics around each target position are picked.  NULL values
+    are ignored.
     Output: ``by`` columns + one column per name in ``probs``.
     """
     by = list(by)
     comp = (df.where(F.col(value).isNotNull())
             .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")))
-    r = rank_within(comp, by, [(value, True)], [], outputs=("row_number", "group_size"),
-                    weight="_w")
+    r = cumulative_counts(comp, by, value, "_w")
     # row_number = cumulative count through this value; it covers positions
     # (row_number - _w, row_number], 1-based.
     hi_cum = F.col("row_number")
@@ -82,6 +84,32 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     return sel.select(*out)
 
 
+# Compressed rows up to which a per-group window is used for cumulative counts.
+SMALL_COMPRESSED_ROWS = 2_000_000
+
+
+def cumulative_counts(comp: DataFrame, by: Sequence[str], value: str, weight: str) -> DataFrame:
+    """Cumulative weight (``row_number``) and group total (``group_size``) per
+    (group, value) row, in ascending value order.
+
+    The compressed table is checkpointed to the shared checkpoint folder and
+    its size checked: up to SMALL_COMPRESSED_ROWS rows a per-group running
+    sum window is used (each group's slice is bounded by that check); beyond
+    it the distributed sort of ``rank_within`` (no group funnelled into one
+    task).
+    """
+    checkpoint_dir(comp.sparkSession)
+    comp = comp.checkpoint(eager=True)
+    if comp.limit(SMALL_COMPRESSED_ROWS + 1).count() <= SMALL_COMPRESSED_ROWS:
+        w = Window.partitionBy(*by).orderBy(value)
+        return comp.select(
+            "*",
+            F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("row_number"),
+            F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+            .alias("group_size"))
+    return rank_within(comp, by, [(value, True)], [], outputs=("row_number", "group_size"), weight=weight)
+
+
 def approx_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
                      by: Sequence[str] = (), accuracy: int = 100) -> DataFrame:
     """Approximate quantiles (``approxQuantile(col, probs, 1/accuracy)``),

@@ -70,7 +70,16 @@ def test_ntile_matches_spark(spark, batch_rows):
         sorted((tuple(x) for x in ref.select("id", "nt").collect()), key=repr)
 
 
-def test_exact_quantiles_match_numpy(spark, batch_rows):
+@pytest.fixture(params=["window", "distributed"])
+def quantile_path(request, monkeypatch):
+    """Exercise both the small (window) and the large (distributed sort) path."""
+    from lumen.operators import aggregates
+    if request.param == "distributed":
+        monkeypatch.setattr(aggregates, "SMALL_COMPRESSED_ROWS", 0)
+    return request.param
+
+
+def test_exact_quantiles_match_numpy(spark, batch_rows, quantile_path):
     rnd = random.Random(3)
     data = [(rnd.choice("pq"), float(rnd.randint(-50, 50)) if rnd.random() > 0.1 else None) for _ in range(500)]
     df = spark.createDataFrame(data, "g string, x double")
@@ -82,7 +91,7 @@ def test_exact_quantiles_match_numpy(spark, batch_rows):
         assert np.allclose(got[g], exp)
 
 
-def test_weighted_single_value_hot_group(spark):
+def test_weighted_single_value_hot_group(spark, quantile_path):
     # one value repeated many times: compressed to a single weighted row
     df = spark.createDataFrame([(1.0,)] * 1000 + [(2.0,), (3.0,)], "x double")
     (r,) = exact_quantiles(df, "x", {"med": 0.5, "top": 1.0}).collect()
