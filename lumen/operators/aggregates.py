@@ -3,9 +3,8 @@
 Every aggregate here is planned as partial (map-side) + final hash
 aggregation, so a hot group key is pre-aggregated in every task before the
 shuffle and never lands whole in one task.  Exact quantiles run over
-(group, value, count) rows: a size-checked running-sum window when those are
-few, else a distributed sort (``rank_within``) — never by buffering a group's
-values in one aggregation buffer.
+(group, value, count) rows through a distributed sort (``rank_within``) —
+never by buffering a group's values in one aggregation buffer.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumen.operators.ordered import rank_within
-from lumen.session import checkpoint_dir
 
 
 def grouped(df: DataFrame, keys: Sequence[str | Column], aggs: Mapping[str, Column]) -> DataFrame:
@@ -43,7 +41,7 @@ def mean_by(df: DataFrame, key: str, value: str, name: str | None = None) -> Dat
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
-                    by: Sequence[str] = ()) -> DataFrame:
+                    by: Sequence[str] = (), method: str = "sort") -> DataFrame:
     """Exact linear-interpolation quantiles (``percentile`` / ``quantile_cont``).
 
     Values are first compressed to (group, value, count) — a partial
@@ -56,7 +54,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     by = list(by)
     comp = (df.where(F.col(value).isNotNull())
             .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")))
-    r = cumulative_counts(comp, by, value, "_w")
+    r = cumulative_counts(comp, by, value, "_w", method=method)
     # row_number = cumulative count through this value; it covers positions
     # (row_number - _w, row_number], 1-based.
     hi_cum = F.col("row_number")
@@ -84,23 +82,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     return sel.select(*out)
 
 
-# Compressed rows up to which a per-group window is used for cumulative counts.
-SMALL_COMPRESSED_ROWS = 2_000_000
-
-
-def cumulative_counts(comp: DataFrame, by: Sequence[str], value: str, weight: str) -> DataFrame:
+def cumulative_counts(comp: DataFrame, by: Sequence[str], value: str, weight: str,
+                      method: str = "sort") -> DataFrame:
     """Cumulative weight (``row_number``) and group total (``group_size``) per
     (group, value) row, in ascending value order.
 
-    The compressed table is checkpointed to the shared checkpoint folder and
-    its size checked: up to SMALL_COMPRESSED_ROWS rows a per-group running
-    sum window is used (each group's slice is bounded by that check); beyond
-    it the distributed sort of ``rank_within`` (no group funnelled into one
-    task).
+    ``method="sort"`` (default): the distributed sort of ``rank_within`` — lazy,
+    one plan, no group funnelled into one task whatever the skew.
+    ``method="window"``: a per-group running-sum window; only for callers that
+    know each group has few distinct values (each group's compressed rows go
+    to one task).
     """
-    checkpoint_dir(comp.sparkSession)
-    comp = comp.checkpoint(eager=True)
-    if comp.limit(SMALL_COMPRESSED_ROWS + 1).count() <= SMALL_COMPRESSED_ROWS:
+    if method == "window":
         w = Window.partitionBy(*by).orderBy(value)
         return comp.select(
             "*",

@@ -5,26 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumen.session import checkpoint_dir
+from lumen.session import scratch_dir
 
 # Row bound under which a dimension is broadcast (checked, never assumed).
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def materialize_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read
+    it back: the plan runs once and later jobs start from the files (lineage
+    cut; lost executors recompute nothing)."""
+    path = scratch_dir(df.sparkSession, "table")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       materialize: bool = False) -> DataFrame:
     """Mark ``dim`` for broadcast only after checking it has at most ``max_rows`` rows.
 
     The check is one count job over the dimension alone.  With
     ``materialize`` (for a dimension that is itself an aggregate of the fact)
-    the dimension is first checkpointed to the session's shared checkpoint
-    folder, so the aggregate runs once and its lineage is cut.  Beyond the
+    the dimension is first written as a table in the session's shared
+    checkpoint folder, so the aggregate runs once, its lineage is cut and the
+    count reads file metadata.  Beyond the
     bound the plain DataFrame is returned and the join shuffles on its keys
     (AQE may still split skewed partitions at run time).
     """
     if materialize:
-        checkpoint_dir(dim.sparkSession)
-        dim = dim.checkpoint(eager=True)
+        dim = materialize_table(dim)
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 

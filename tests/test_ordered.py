@@ -70,12 +70,9 @@ def test_ntile_matches_spark(spark, batch_rows):
         sorted((tuple(x) for x in ref.select("id", "nt").collect()), key=repr)
 
 
-@pytest.fixture(params=["window", "distributed"])
-def quantile_path(request, monkeypatch):
-    """Exercise both the small (window) and the large (distributed sort) path."""
-    from lumen.operators import aggregates
-    if request.param == "distributed":
-        monkeypatch.setattr(aggregates, "SMALL_COMPRESSED_ROWS", 0)
+@pytest.fixture(params=["window", "sort"])
+def quantile_path(request):
+    """Exercise both cumulative-count methods."""
     return request.param
 
 
@@ -84,7 +81,8 @@ def test_exact_quantiles_match_numpy(spark, batch_rows, quantile_path):
     data = [(rnd.choice("pq"), float(rnd.randint(-50, 50)) if rnd.random() > 0.1 else None) for _ in range(500)]
     df = spark.createDataFrame(data, "g string, x double")
     got = {r.g: (r.q1, r.med, r.q3) for r in
-           exact_quantiles(df, "x", {"q1": 0.25, "med": 0.5, "q3": 0.75}, by=["g"]).collect()}
+           exact_quantiles(df, "x", {"q1": 0.25, "med": 0.5, "q3": 0.75}, by=["g"],
+                           method=quantile_path).collect()}
     for g in "pq":
         xs = np.array([x for k, x in data if k == g and x is not None])
         exp = np.quantile(xs, [0.25, 0.5, 0.75])  # linear interpolation
@@ -94,7 +92,7 @@ def test_exact_quantiles_match_numpy(spark, batch_rows, quantile_path):
 def test_weighted_single_value_hot_group(spark, quantile_path):
     # one value repeated many times: compressed to a single weighted row
     df = spark.createDataFrame([(1.0,)] * 1000 + [(2.0,), (3.0,)], "x double")
-    (r,) = exact_quantiles(df, "x", {"med": 0.5, "top": 1.0}).collect()
+    (r,) = exact_quantiles(df, "x", {"med": 0.5, "top": 1.0}, method=quantile_path).collect()
     assert r.med == 1.0 and r.top == 3.0
 
 
