@@ -254,6 +254,7 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
         fv = [tuple(r) for r in s[[f"f_v_{c}" for c in ocols]].itertuples(index=False)]
         lv = [tuple(r) for r in s[[f"l_v_{c}" for c in ocols]].itertuples(index=False)]
         single = [_tuple_same(a, b) for a, b in zip(fk, lk)]
+        rows = s.to_dict("records")          # plain dicts: the loops below run once per partition
         # chain = consecutive partitions sharing a boundary group
         chain_f, chain_l, totals = [], [], []
         for i in range(len(s)):
@@ -262,11 +263,11 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
                 totals.append(0)
             cf = len(totals) - 1
             if single[i]:
-                totals[cf] += int(s.at[i, "f_cnt"])
+                totals[cf] += int(rows[i]["f_cnt"])
                 cl = cf
             else:
-                totals[cf] += int(s.at[i, "f_cnt"])
-                totals.append(int(s.at[i, "l_cnt"]))
+                totals[cf] += int(rows[i]["f_cnt"])
+                totals.append(int(rows[i]["l_cnt"]))
                 cl = len(totals) - 1
             chain_f.append(cf)
             chain_l.append(cl)
@@ -275,40 +276,42 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
         run_val = None
         prev_lag = {}
         for i in range(len(s)):
-            n = int(s.at[i, "f_cnt"]) if single[i] else 0
+            n = int(rows[i]["f_cnt"]) if single[i] else 0
             cont = i > 0 and _tuple_same(fk[i], lk[i - 1])
             tie_cont = cont and _tuple_same(fv[i], run_val)
             o_rn = chain_rows if cont else 0
             o_tie = run_start if tie_cont else None
             o_dense = (dense - 1 if tie_cont else dense) if cont else 0
-            r = {_PID: int(s.at[i, _PID]), "o_n": int(s.at[i, "n"]), "o_cont": cont, "o_rn": o_rn,
+            r = {_PID: int(rows[i][_PID]), "o_n": int(rows[i]["n"]), "o_cont": cont, "o_rn": o_rn,
                  "o_tie_rank": o_tie, "o_dense": o_dense,
                  "o_f_total": totals[chain_f[i]], "o_l_total": totals[chain_l[i]]}
             for c in by:
-                r[f"o_lk_{c}"] = s.at[i, f"l_k_{c}"]
+                r[f"o_lk_{c}"] = rows[i][f"l_k_{c}"]
             for c in lag:
                 r[f"o_lag_{c}"] = prev_lag.get(c) if cont else None
             for c in lead:
                 nxt = i + 1 < len(s) and _tuple_same(fk[i + 1], lk[i])
-                r[f"o_lead_{c}"] = s.at[i + 1, f"f_lead_{c}"] if nxt else None
+                r[f"o_lead_{c}"] = rows[i + 1][f"f_lead_{c}"] if nxt else None
             out.append(r)
             # carry state to the next partition
             if single[i]:
-                ltie = int(s.at[i, "l_tie"])
+                ltie = int(rows[i]["l_tie"])
                 if not (tie_cont and ltie == n):
                     run_start = o_rn + (n - ltie) + 1
                 chain_rows = o_rn + n
-                dense = o_dense + int(s.at[i, "f_dist"])
+                dense = o_dense + int(rows[i]["f_dist"])
             else:
-                lcnt, ltie = int(s.at[i, "l_cnt"]), int(s.at[i, "l_tie"])
+                lcnt, ltie = int(rows[i]["l_cnt"]), int(rows[i]["l_tie"])
                 chain_rows = lcnt
                 run_start = lcnt - ltie + 1
-                dense = int(s.at[i, "l_dist"])
+                dense = int(rows[i]["l_dist"])
             run_val = lv[i]
-            prev_lag = {c: s.at[i, f"l_lag_{c}"] for c in lag}
+            prev_lag = {c: rows[i][f"l_lag_{c}"] for c in lag}
         yield pd.DataFrame(out, columns=[f.name for f in o_fields])
 
-    offs = summary.coalesce(1).mapInPandas(offsets, o_schema)
+    # A shuffle (not coalesce, which would pull the summary pass itself into
+    # one task): the N summary rows alone move to a single task.
+    offs = summary.repartition(1).mapInPandas(offsets, o_schema)
 
     # ---- step 4: finish every partition locally --------------------------------
     want = set(outputs)

@@ -50,3 +50,10 @@ def test_rank_within_reuses_one_range_exchange(spark):
 def test_lineitem_only_queries_skip_orders_join(spark):
     text = explain(Q["agg_count"](spark, SMALL))
     assert "orders.parquet" not in text
+
+
+def test_rank_within_summary_pass_stays_parallel(spark):
+    """Only the per-partition summary rows are gathered, not the summary pass."""
+    text = explain(Q["win_dense_rank"](spark, SMALL))
+    assert "Coalesce" not in text
+    assert "SinglePartition" in text
