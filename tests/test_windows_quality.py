@@ -90,3 +90,25 @@ def test_box_stats_whiskers(spark):
     (r,) = C.box_stats(spark.createDataFrame(data, "g string, v double"), "v", "g").collect()
     assert (r.q1, r.median, r.q3) == (3.0, 5.0, 7.0)
     assert r.whisker_low == 1.0 and r.whisker_high == 8.0 and r.outliers == 1
+
+
+def test_single_row_stddev_is_null(spark):
+    df = spark.createDataFrame([("g", 5.0)], "g string, x double")
+    (r,) = df.groupBy("g").agg(F.stddev_samp("x").alias("s")).collect()
+    assert r.s is None
+
+
+def test_approx_quantiles_rank_error_bound(spark):
+    """percentile_approx with accuracy 100 stays within 1 % rank error."""
+    import random
+
+    from lumen.operators.aggregates import approx_quantiles
+    rnd = random.Random(11)
+    xs = [rnd.gauss(0, 1) for _ in range(20000)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    (r,) = approx_quantiles(df, "x", {"q1": 0.25, "med": 0.5, "q3": 0.75}, accuracy=100).collect()
+    srt = sorted(xs)
+    n = len(srt)
+    for p, v in ((0.25, r.q1), (0.5, r.med), (0.75, r.q3)):
+        rank = sum(1 for x in srt if x <= v)
+        assert abs(rank - p * n) <= 0.01 * n
