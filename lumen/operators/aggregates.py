@@ -3,8 +3,9 @@
 Every aggregate here is planned as partial (map-side) + final hash
 aggregation, so a hot group key is pre-aggregated in every task before the
 shuffle and never lands whole in one task.  Exact quantiles run over
-(group, value, count) rows through a distributed sort (``rank_within``) —
-never by buffering a group's values in one aggregation buffer.
+(group, value, count) rows — a size-checked running-sum window when those are
+few, else a distributed sort (``rank_within``) — never by buffering a group's
+values in one aggregation buffer.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumen.operators.joins import materialize_table
 from lumen.operators.ordered import rank_within
 
 
@@ -41,7 +43,7 @@ def mean_by(df: DataFrame, key: str, value: str, name: str | None = None) -> Dat
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
-                    by: Sequence[str] = (), method: str = "sort") -> DataFrame:
+                    by: Sequence[str] = (), method: str = "auto") -> DataFrame:
     """Exact linear-interpolation quantiles (``percentile`` / ``quantile_cont``).
 
     Values are first compressed to (group, value, count) — a partial
@@ -82,17 +84,27 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     return sel.select(*out)
 
 
+# Compressed (group, value) rows up to which cumulative counts use a window.
+COMPRESSED_MAX_ROWS = 2_000_000
+
+
 def cumulative_counts(comp: DataFrame, by: Sequence[str], value: str, weight: str,
-                      method: str = "sort") -> DataFrame:
+                      method: str = "auto") -> DataFrame:
     """Cumulative weight (``row_number``) and group total (``group_size``) per
     (group, value) row, in ascending value order.
 
-    ``method="sort"`` (default): the distributed sort of ``rank_within`` — lazy,
-    one plan, no group funnelled into one task whatever the skew.
-    ``method="window"``: a per-group running-sum window; only for callers that
-    know each group has few distinct values (each group's compressed rows go
-    to one task).
+    ``method="auto"``: the compressed table is written once as a table in the
+    shared checkpoint folder and its size checked; up to COMPRESSED_MAX_ROWS
+    rows a per-group running-sum window is used (every group's slice is
+    bounded by that check), beyond it the distributed sort.
+    ``method="sort"``: the distributed sort of ``rank_within`` — lazy, one plan,
+    no group funnelled into one task whatever the skew.
+    ``method="window"``: the window, for callers that know the bound.
     """
+    if method == "auto":
+        comp = materialize_table(comp)
+        small = comp.limit(COMPRESSED_MAX_ROWS + 1).count() <= COMPRESSED_MAX_ROWS
+        method = "window" if small else "sort"
     if method == "window":
         w = Window.partitionBy(*by).orderBy(value)
         return comp.select(

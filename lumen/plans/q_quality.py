@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lumen.operators import quality as Q
 from lumen.operators.chartprep import sample_by_key
+from lumen.operators.joins import materialize_table
 from lumen.plans import roles as R
 from lumen.plans.oracle_roles import DIAMONDS, EVENTS, TRIPS, with_
 from lumen.plans.registry import query
@@ -69,7 +70,9 @@ _IMPUTED = (with_(TRIPS) + DEDUP_CTE +
 
 
 def _filled(spark, sf):
-    d = _dedup(spark, sf)
+    """De-duplicated trips, written once (several statistics read them), with
+    dep_delay NULLs filled by their median."""
+    d = materialize_table(_dedup(spark, sf))
     return Q.impute_median(d, "dep_delay")
 
 

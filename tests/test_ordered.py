@@ -112,3 +112,20 @@ def test_hot_group_is_split_across_partitions(spark):
                          num_partitions=parts)
     hot = ranked.where(F.col("g") == "hot").agg(F.max("row_number").alias("m"), F.max("dense_rank").alias("d")).first()
     assert hot.m == 4200 and hot.d == 97
+
+
+@pytest.mark.parametrize("bound", [None, 0], ids=["compressed", "fallback"])
+@pytest.mark.parametrize("asc", [True, False])
+def test_value_ranks_match_windows(spark, monkeypatch, bound, asc):
+    from lumen.operators import windows as W
+    if bound is not None:
+        monkeypatch.setattr(W, "COMPRESSED_MAX_ROWS", bound)
+    df = _frame(spark, n=300)
+    r = W.value_ranks(df, ["g"], "v", asc, ["id"])
+    o = F.col("v").asc() if asc else F.col("v").desc()
+    wr = Window.partitionBy("g").orderBy(o)
+    ref = df.select("g", "v", "id", F.rank().over(wr).alias("rank"), F.dense_rank().over(wr).alias("dense_rank"))
+    cols = ["g", "v", "id", "rank", "dense_rank"]
+    got = sorted((tuple(x) for x in r.select(*cols).collect()), key=repr)
+    exp = sorted((tuple(x) for x in ref.select(*cols).collect()), key=repr)
+    assert got == exp

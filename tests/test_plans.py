@@ -54,6 +54,12 @@ def test_lineitem_only_queries_skip_orders_join(spark):
 
 def test_rank_within_summary_pass_stays_parallel(spark):
     """Only the per-partition summary rows are gathered, not the summary pass."""
-    text = explain(Q["win_dense_rank"](spark, SMALL))
+    text = explain(Q["win_row_number"](spark, SMALL))
     assert "Coalesce" not in text
     assert "SinglePartition" in text
+
+
+def test_value_ranks_do_not_shuffle_raw_rows(spark):
+    """RANK over (carrier, arr_delay) joins a broadcast of the compressed ranks."""
+    text = explain(Q["win_rank"](spark, SMALL))
+    assert "BroadcastHashJoin" in text and "rangepartitioning" not in text
