@@ -71,10 +71,56 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str, ascending: bool,
     return df.join(ranks, cond, "inner").drop(*[f"_k_{k}" for k in (*by, value)])
 
 
+# A (group, value) pair may hold at most this many rows, or a quarter of an
+# even task share if that is larger, for the peer-window path.
+PEER_FLOOR_ROWS = 100_000
+
+
+def row_numbers(df: DataFrame, by: Sequence[str], value: str, ascending: bool,
+                tiebreak: Sequence[str], outputs=("row_number",)) -> DataFrame:
+    """ROW_NUMBER (and group size) per group under (value, tiebreak) order.
+
+    ROW_NUMBER = rows of the group before the row's value (a running sum over
+    the compressed (group, value, count) table, broadcast back) + the row's
+    position among its peers (a window on the fine key (group, value)).  Two
+    checks on the written compressed table guard this path: it must be small
+    enough to broadcast, and no (group, value) pair may exceed a quarter of
+    an even task share — so neither a hot group (split over its values) nor
+    a hot value funnels into one task.  Otherwise the distributed sort of
+    ``rank_within`` runs.
+    """
+    by = list(by)
+    spark = df.sparkSession
+    comp = materialize_table(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")))
+    st = comp.agg(F.count(F.lit(1)).alias("n"), F.max("_w").alias("mx"), F.sum("_w").alias("tot")).first()
+    share = (st["tot"] or 0) / max(1, spark.sparkContext.defaultParallelism)
+    if st["n"] > COMPRESSED_MAX_ROWS or (st["mx"] or 0) > max(PEER_FLOOR_ROWS, share / 4):
+        return rank_within(df, by, [(value, ascending)], tiebreak, outputs=outputs)
+    o = F.col(value).asc() if ascending else F.col(value).desc()
+    w = Window.partitionBy(*by).orderBy(o)
+    keys = (*by, value)
+    ranks = comp.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.coalesce(F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("group_size"))
+    peers = Window.partitionBy(*keys).orderBy(*[F.col(t) for t in tiebreak])
+    rows = df.withColumn("_pos", F.row_number().over(peers))
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    out = rows.join(F.broadcast(ranks), cond, "inner").withColumn(
+        "row_number", (F.col("_before") + F.col("_pos")).cast("int"))
+    drop = [f"_k_{k}" for k in keys] + ["_before", "_pos"]
+    if "group_size" not in outputs:
+        drop.append("group_size")
+    return out.drop(*drop)
+
+
 def ntile(df: DataFrame, k: int, by: Sequence[str], order: Sequence[tuple[str, bool]],
           tiebreak: Sequence[str], name: str = "ntile") -> DataFrame:
     """NTILE(k) per group (first n % k buckets one row larger), skew-safe."""
-    r = rank_within(df, by, order, tiebreak, outputs=("row_number", "group_size"))
+    if len(order) == 1:
+        r = row_numbers(df, by, order[0][0], order[0][1], tiebreak, outputs=("row_number", "group_size"))
+    else:
+        r = rank_within(df, by, order, tiebreak, outputs=("row_number", "group_size"))
     return r.withColumn(name, ntile_from_rank("row_number", "group_size", k)).drop(
         "row_number", "group_size")
 

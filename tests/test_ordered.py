@@ -129,3 +129,37 @@ def test_value_ranks_match_windows(spark, monkeypatch, bound, asc):
     got = sorted((tuple(x) for x in r.select(*cols).collect()), key=repr)
     exp = sorted((tuple(x) for x in ref.select(*cols).collect()), key=repr)
     assert got == exp
+
+
+
+@pytest.mark.parametrize("force_sort", [False, True], ids=["peer-window", "sort"])
+@pytest.mark.parametrize("asc", [True, False])
+def test_row_numbers_match_windows(spark, monkeypatch, force_sort, asc):
+    from lumen.operators import windows as W
+    if force_sort:
+        monkeypatch.setattr(W, "COMPRESSED_MAX_ROWS", 0)
+    df = _frame(spark, n=300)
+    r = W.row_numbers(df, ["g"], "v", asc, ["id"], outputs=("row_number", "group_size"))
+    o = F.col("v").asc() if asc else F.col("v").desc()
+    ref = df.select("g", "v", "id",
+                    F.row_number().over(Window.partitionBy("g").orderBy(o, "id")).alias("row_number"),
+                    F.count(F.lit(1)).over(Window.partitionBy("g")).alias("group_size"))
+    cols = ["g", "v", "id", "row_number", "group_size"]
+    got = sorted((tuple(x) for x in r.select(*cols).collect()), key=repr)
+    exp = sorted((tuple(x) for x in ref.select(*cols).collect()), key=repr)
+    assert got == exp
+
+
+def test_row_numbers_hot_value_falls_back(spark):
+    """A (group, value) pair holding most rows sends the work to the distributed sort."""
+    from lumen.operators import windows as W
+    data = [("a", 1, i) for i in range(150_000)] + [("a", 2, i) for i in range(10)]
+    df = spark.createDataFrame(data, "g string, v int, id int")
+    r = W.row_numbers(df, ["g"], "v", True, ["id"])
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        r.explain()
+    assert "rangepartitioning" in buf.getvalue()
+    assert r.agg(F.max("row_number")).first()[0] == 150_010
