@@ -76,6 +76,18 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str, ascending: bool,
 PEER_FLOOR_ROWS = 100_000
 
 
+def _peer_table(df: DataFrame, by: Sequence[str], value: str) -> DataFrame | None:
+    """The compressed (group, value, count) table, written once, if it passes
+    the checks of the peer-window path (else None)."""
+    spark = df.sparkSession
+    comp = materialize_table(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")))
+    st = comp.agg(F.count(F.lit(1)).alias("n"), F.max("_w").alias("mx"), F.sum("_w").alias("tot")).first()
+    share = (st["tot"] or 0) / max(1, spark.sparkContext.defaultParallelism)
+    if st["n"] > COMPRESSED_MAX_ROWS or (st["mx"] or 0) > max(PEER_FLOOR_ROWS, share / 4):
+        return None
+    return comp
+
+
 def row_numbers(df: DataFrame, by: Sequence[str], value: str, ascending: bool,
                 tiebreak: Sequence[str], outputs=("row_number",)) -> DataFrame:
     """ROW_NUMBER (and group size) per group under (value, tiebreak) order.
@@ -90,11 +102,8 @@ def row_numbers(df: DataFrame, by: Sequence[str], value: str, ascending: bool,
     ``rank_within`` runs.
     """
     by = list(by)
-    spark = df.sparkSession
-    comp = materialize_table(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")))
-    st = comp.agg(F.count(F.lit(1)).alias("n"), F.max("_w").alias("mx"), F.sum("_w").alias("tot")).first()
-    share = (st["tot"] or 0) / max(1, spark.sparkContext.defaultParallelism)
-    if st["n"] > COMPRESSED_MAX_ROWS or (st["mx"] or 0) > max(PEER_FLOOR_ROWS, share / 4):
+    comp = _peer_table(df, by, value)
+    if comp is None:
         return rank_within(df, by, [(value, ascending)], tiebreak, outputs=outputs)
     o = F.col(value).asc() if ascending else F.col(value).desc()
     w = Window.partitionBy(*by).orderBy(o)
@@ -127,8 +136,46 @@ def ntile(df: DataFrame, k: int, by: Sequence[str], order: Sequence[tuple[str, b
 
 def lag_lead(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
              tiebreak: Sequence[str], lag: Sequence[str] = (), lead: Sequence[str] = ()) -> DataFrame:
-    """Previous / next value (offset 1) within the group, as prev_<c> / next_<c>."""
-    return rank_within(df, by, order, tiebreak, outputs=(), lag=lag, lead=lead)
+    """Previous / next value (offset 1) within the group, as prev_<c> / next_<c>.
+
+    With one order column and a compressed (group, value) table that passes
+    the peer checks: LAG/LEAD inside each (group, value) peer window, and at
+    a peer's first/last row the last/first row of the neighbouring peer (a
+    per-peer table of the compressed size, shifted with a window over the
+    group and broadcast back).  Otherwise the distributed sort.
+    """
+    by = list(by)
+    comp = _peer_table(df, by, order[0][0]) if len(order) == 1 else None
+    if comp is None:
+        return rank_within(df, by, order, tiebreak, outputs=(), lag=lag, lead=lead)
+    value, ascending = order[0]
+    keys = (*by, value)
+    tb = [F.col(t) for t in tiebreak]
+    peer = Window.partitionBy(*keys).orderBy(*tb)
+    whole = peer.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = [F.row_number().over(peer).alias("_pos"), F.count(F.lit(1)).over(whole).alias("_cnt")]
+    for c in lag:
+        cols += [F.lag(c, 1).over(peer).alias(f"_in_prev_{c}"), F.last(c).over(whole).alias(f"_last_{c}")]
+    for c in lead:
+        cols += [F.lead(c, 1).over(peer).alias(f"_in_next_{c}"), F.first(c).over(whole).alias(f"_first_{c}")]
+    rows = df.select("*", *cols)
+    # one row per peer: its last / first values (same partitioning: no new shuffle)
+    ends = rows.where(F.col("_pos") == 1).select(
+        *keys, *[F.col(f"_last_{c}") for c in lag], *[F.col(f"_first_{c}") for c in lead])
+    o = F.col(value).asc() if ascending else F.col(value).desc()
+    gw = Window.partitionBy(*by).orderBy(o)
+    ends = ends.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                       *[F.lag(f"_last_{c}", 1).over(gw).alias(f"_pp_{c}") for c in lag],
+                       *[F.lead(f"_first_{c}", 1).over(gw).alias(f"_np_{c}") for c in lead])
+    # bounded by the checked compressed size
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    j = rows.join(F.broadcast(ends), cond, "inner")
+    out = j.select(*df.columns,
+                   *[F.when(F.col("_pos") == 1, F.col(f"_pp_{c}")).otherwise(F.col(f"_in_prev_{c}"))
+                     .alias(f"prev_{c}") for c in lag],
+                   *[F.when(F.col("_pos") == F.col("_cnt"), F.col(f"_np_{c}")).otherwise(F.col(f"_in_next_{c}"))
+                     .alias(f"next_{c}") for c in lead])
+    return out
 
 
 def top_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],

@@ -163,3 +163,22 @@ def test_row_numbers_hot_value_falls_back(spark):
         r.explain()
     assert "rangepartitioning" in buf.getvalue()
     assert r.agg(F.max("row_number")).first()[0] == 150_010
+
+
+
+@pytest.mark.parametrize("force_sort", [False, True], ids=["peer-window", "sort"])
+@pytest.mark.parametrize("asc", [True, False])
+def test_lag_lead_match_windows(spark, monkeypatch, force_sort, asc):
+    from lumen.operators import windows as W
+    if force_sort:
+        monkeypatch.setattr(W, "COMPRESSED_MAX_ROWS", 0)
+    df = _frame(spark, n=300)
+    r = W.lag_lead(df, ["g"], [("v", asc)], ["id"], lag=["id", "v"], lead=["id"])
+    o = F.col("v").asc() if asc else F.col("v").desc()
+    w = Window.partitionBy("g").orderBy(o, "id")
+    ref = df.select("g", "v", "id", F.lag("id").over(w).alias("prev_id"), F.lag("v").over(w).alias("prev_v"),
+                    F.lead("id").over(w).alias("next_id"))
+    cols = ["g", "v", "id", "prev_id", "prev_v", "next_id"]
+    got = sorted((tuple(x) for x in r.select(*cols).collect()), key=repr)
+    exp = sorted((tuple(x) for x in ref.select(*cols).collect()), key=repr)
+    assert got == exp

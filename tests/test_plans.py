@@ -40,8 +40,15 @@ def test_no_row_at_a_time_python(spark):
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
+def _ranked_trips(spark):
+    from lumen.operators.ordered import rank_within
+    from lumen.plans import roles as R
+    t = R.trips(spark, SMALL).where("arr_delay IS NOT NULL").select("carrier", "arr_delay", *R.TRIPS_TIEBREAK)
+    return rank_within(t, ["carrier"], [("arr_delay", False)], R.TRIPS_TIEBREAK, outputs=("row_number",))
+
+
 def test_rank_within_reuses_one_range_exchange(spark):
-    df = Q["win_row_number"](spark, SMALL)
+    df = _ranked_trips(spark)
     df.collect()                      # AQE shows exchange reuse in the final plan
     text = explain(df)
     assert "rangepartitioning" in text and "ReusedExchange" in text
@@ -54,12 +61,14 @@ def test_lineitem_only_queries_skip_orders_join(spark):
 
 def test_rank_within_summary_pass_stays_parallel(spark):
     """Only the per-partition summary rows are gathered, not the summary pass."""
-    text = explain(Q["win_row_number"](spark, SMALL))
+    text = explain(_ranked_trips(spark))
     assert "Coalesce" not in text
     assert "SinglePartition" in text
 
 
-def test_value_ranks_do_not_shuffle_raw_rows(spark):
-    """RANK over (carrier, arr_delay) joins a broadcast of the compressed ranks."""
-    text = explain(Q["win_rank"](spark, SMALL))
-    assert "BroadcastHashJoin" in text and "rangepartitioning" not in text
+def test_peer_paths_do_not_range_sort_raw_rows(spark):
+    """ROW_NUMBER / LAG on trips pass the peer checks: one hash shuffle on
+    (carrier, value), compressed prefix counts broadcast back."""
+    for key in ("win_row_number", "win_lag"):
+        text = explain(Q[key](spark, SMALL))
+        assert "rangepartitioning" not in text and "BroadcastHashJoin" in text
