@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumen.operators.joins import materialize_table
+from lumen.operators.joins import compressed_if_small
 from lumen.operators.ordered import rank_within
 
 
@@ -48,14 +48,22 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
 
     Values are first compressed to (group, value, count) — a partial
     aggregation, so a value repeated a billion times is one row — then
-    cumulative counts are taken per group (``cumulative_counts``) and the two
-    order statistics around each target position are picked.  NULL values
-    are ignored.
+    cumulative counts are taken per group (``cumulative_counts``: a window
+    when the compressed table passed its size check, else the distributed
+    sort) and the two order statistics around each target position are
+    picked.  NULL values are ignored.
     Output: ``by`` columns + one column per name in ``probs``.
     """
     by = list(by)
-    comp = (df.where(F.col(value).isNotNull())
-            .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")))
+    base = df.where(F.col(value).isNotNull())
+    comp = None
+    if method == "auto":
+        # written once and size-checked (a HyperLogLog screen first): small
+        # compressed tables take the window, large ones the distributed sort
+        comp = compressed_if_small(base, (*by, value), COMPRESSED_MAX_ROWS)
+        method = "window" if comp is not None else "sort"
+    if comp is None:
+        comp = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w"))
     r = cumulative_counts(comp, by, value, "_w", method=method)
     # row_number = cumulative count through this value; it covers positions
     # (row_number - _w, row_number], 1-based.
@@ -89,22 +97,15 @@ COMPRESSED_MAX_ROWS = 2_000_000
 
 
 def cumulative_counts(comp: DataFrame, by: Sequence[str], value: str, weight: str,
-                      method: str = "auto") -> DataFrame:
+                      method: str = "sort") -> DataFrame:
     """Cumulative weight (``row_number``) and group total (``group_size``) per
     (group, value) row, in ascending value order.
 
-    ``method="auto"``: the compressed table is written once as a table in the
-    shared checkpoint folder and its size checked; up to COMPRESSED_MAX_ROWS
-    rows a per-group running-sum window is used (every group's slice is
-    bounded by that check), beyond it the distributed sort.
     ``method="sort"``: the distributed sort of ``rank_within`` — lazy, one plan,
     no group funnelled into one task whatever the skew.
-    ``method="window"``: the window, for callers that know the bound.
+    ``method="window"``: a per-group running-sum window, for a compressed
+    table whose size has been checked (each group's slice goes to one task).
     """
-    if method == "auto":
-        comp = materialize_table(comp)
-        small = comp.limit(COMPRESSED_MAX_ROWS + 1).count() <= COMPRESSED_MAX_ROWS
-        method = "window" if small else "sort"
     if method == "window":
         w = Window.partitionBy(*by).orderBy(value)
         return comp.select(

@@ -73,3 +73,20 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return (df.withColumn(k, F.lit(1))
             .join(F.broadcast(one_row.withColumn(k, F.lit(1))), k, "inner")
             .drop(k))
+
+
+def compressed_if_small(df: DataFrame, keys, max_rows: int) -> DataFrame | None:
+    """``groupBy(keys).count()`` as ``_w``, written once, if it has at most
+    ``max_rows`` rows; None otherwise.
+
+    A HyperLogLog estimate of the distinct keys (a partial aggregate: one
+    sketch per task, no rows shuffled) screens out large tables before any is
+    written; the exact count of the written table then decides.
+    """
+    est = df.select(F.approx_count_distinct(F.struct(*keys), 0.05).alias("n")).first()["n"]
+    if est > 1.2 * max_rows:
+        return None
+    comp = materialize_table(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w")))
+    if comp.limit(max_rows + 1).count() > max_rows:
+        return None
+    return comp

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumen.functions.expressions import pct
-from lumen.operators.joins import bounded_broadcast, join_dim, materialize_table
+from lumen.operators.joins import bounded_broadcast, compressed_if_small, join_dim
 from lumen.operators.ordered import ntile_from_rank, rank_within
 
 
@@ -55,8 +55,8 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str, ascending: bool,
     sort of ``rank_within`` runs on the raw rows.
     """
     by = list(by)
-    comp = materialize_table(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")))
-    if comp.limit(COMPRESSED_MAX_ROWS + 1).count() > COMPRESSED_MAX_ROWS:
+    comp = compressed_if_small(df, (*by, value), COMPRESSED_MAX_ROWS)
+    if comp is None:
         return rank_within(df, by, [(value, ascending)], tiebreak, outputs=kinds)
     o = F.col(value).asc() if ascending else F.col(value).desc()
     w = Window.partitionBy(*by).orderBy(o)
@@ -80,10 +80,12 @@ def _peer_table(df: DataFrame, by: Sequence[str], value: str) -> DataFrame | Non
     """The compressed (group, value, count) table, written once, if it passes
     the checks of the peer-window path (else None)."""
     spark = df.sparkSession
-    comp = materialize_table(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")))
-    st = comp.agg(F.count(F.lit(1)).alias("n"), F.max("_w").alias("mx"), F.sum("_w").alias("tot")).first()
+    comp = compressed_if_small(df, (*by, value), COMPRESSED_MAX_ROWS)
+    if comp is None:
+        return None
+    st = comp.agg(F.max("_w").alias("mx"), F.sum("_w").alias("tot")).first()
     share = (st["tot"] or 0) / max(1, spark.sparkContext.defaultParallelism)
-    if st["n"] > COMPRESSED_MAX_ROWS or (st["mx"] or 0) > max(PEER_FLOOR_ROWS, share / 4):
+    if (st["mx"] or 0) > max(PEER_FLOOR_ROWS, share / 4):
         return None
     return comp
 

@@ -182,3 +182,11 @@ def test_lag_lead_match_windows(spark, monkeypatch, force_sort, asc):
     got = sorted((tuple(x) for x in r.select(*cols).collect()), key=repr)
     exp = sorted((tuple(x) for x in ref.select(*cols).collect()), key=repr)
     assert got == exp
+
+
+def test_compressed_if_small_screens_by_size(spark):
+    from lumen.operators.joins import compressed_if_small
+    df = spark.createDataFrame([(i % 7, i) for i in range(2000)], "k int, u int")
+    small = compressed_if_small(df, ["k"], 100)
+    assert small is not None and sorted(r._w for r in small.collect()) == [285] * 2 + [286] * 5
+    assert compressed_if_small(df, ["u"], 100) is None          # 2000 distinct keys: screened out
