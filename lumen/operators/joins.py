@@ -21,7 +21,7 @@ def materialize_table(df: DataFrame) -> DataFrame:
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      materialize: bool = False) -> DataFrame:
+                      materialize: bool = False, screen=None) -> DataFrame:
     """Mark ``dim`` for broadcast only after checking it has at most ``max_rows`` rows.
 
     The check is one count job over the dimension alone.  With
@@ -32,6 +32,14 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     bound the plain DataFrame is returned and the join shuffles on its keys
     (AQE may still split skewed partitions at run time).
     """
+    if screen is not None:
+        # (source, keys): dim has one row per distinct key of source.  A
+        # HyperLogLog estimate (no rows shuffled) rules out a large table
+        # before it is computed and written.
+        src, keys = screen
+        est = src.select(F.approx_count_distinct(F.struct(*keys), 0.05).alias("n")).first()["n"]
+        if est > 1.2 * max_rows:
+            return dim
     if materialize:
         dim = materialize_table(dim)
     n = dim.limit(max_rows + 1).count()

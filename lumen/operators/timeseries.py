@@ -48,7 +48,7 @@ def deviation_from_group(df: DataFrame, by: Sequence[str], value: str, keep: Seq
     """
     d = df.where(F.col(value).isNotNull())
     means = d.groupBy(*by).agg(F.avg(value).alias("_mean"))
-    j = d.join(bounded_broadcast(means, materialize=True), list(by), "inner")
+    j = d.join(bounded_broadcast(means, materialize=True, screen=(d, list(by))), list(by), "inner")
     out = j.select(*keep,
                    F.round("_mean", round_to).alias(avg_name),
                    F.round(F.col(value) - F.col("_mean"), round_to).alias(dev_name),

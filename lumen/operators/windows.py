@@ -199,7 +199,7 @@ def group_mean_beside(df: DataFrame, by: Sequence[str], value: str, name: str,
     means = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.avg(value).alias(name))
     if round_to is not None:
         means = means.withColumn(name, F.round(name, round_to))
-    return _join_back(df, join_hint(means), keys, [name])
+    return _join_back(df, join_hint(means, df, keys), keys, [name])
 
 
 def _join_back(df: DataFrame, per_group: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -208,9 +208,10 @@ def _join_back(df: DataFrame, per_group: DataFrame, keys: Sequence[str], cols: S
     return df.join(per_group, cond, "left").select(*df.columns, *cols)
 
 
-def join_hint(dim: DataFrame) -> DataFrame:
-    """Broadcast a per-group aggregate after materialising and size-checking it."""
-    return bounded_broadcast(dim, materialize=True)
+def join_hint(dim: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Broadcast a per-group aggregate of ``source`` after screening its size
+    (HyperLogLog), materialising and counting it; else a shuffle join."""
+    return bounded_broadcast(dim, materialize=True, screen=(source, list(keys)))
 
 
 def first_last_beside(df: DataFrame, by: Sequence[str], value: str, order: Sequence[tuple[str, bool]],
@@ -227,7 +228,7 @@ def first_last_beside(df: DataFrame, by: Sequence[str], value: str, order: Seque
     key = F.struct(*parts, *[F.col(t) for t in tiebreak])
     ends = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in by]).agg(
         F.min_by(value, key).alias(first_name), F.max_by(value, key).alias(last_name))
-    return _join_back(df, join_hint(ends), by, [first_name, last_name])
+    return _join_back(df, join_hint(ends, df, by), by, [first_name, last_name])
 
 
 def running_total(series: DataFrame, value: str, order: Sequence[str], by: Sequence[str] = (),
