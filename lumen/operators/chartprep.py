@@ -120,7 +120,7 @@ def box_stats_topk(df: DataFrame, value: str, group: str, k: int) -> DataFrame:
     return box_stats(keep_top_k(df, group, k), value, group)
 
 
-def violin_density(df: DataFrame, value: str, group: str, grid: int = 100,
+def violin_density(df: DataFrame, value: str, group: str | Sequence[str], grid: int = 100,
                    cut: float = 2.0) -> DataFrame:
     """Gaussian kernel density per group on a ``grid``-point support.
 
@@ -131,26 +131,30 @@ def violin_density(df: DataFrame, value: str, group: str, grid: int = 100,
     × value pairs are materialised.  A constant group (bandwidth 0) gets
     NULL densities.
     """
-    d = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
-    comp = d.groupBy(group, value).agg(F.count(F.lit(1)).alias("_w"))
-    st = d.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(value).alias("_sd"),
+    gs = [group] if isinstance(group, str) else list(group)
+    ok = F.col(value).isNotNull()
+    for g in gs:
+        ok = ok & F.col(g).isNotNull()
+    d = df.where(ok)
+    comp = d.groupBy(*gs, value).agg(F.count(F.lit(1)).alias("_w"))
+    st = d.groupBy(*gs).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(value).alias("_sd"),
                               F.min(value).alias("_min"), F.max(value).alias("_max"))
     st = (st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
             .withColumn("_g0", F.col("_min") - cut * F.col("_bw"))
             .withColumn("_step", (F.col("_max") - F.col("_min") + 2 * cut * F.col("_bw")) / (grid - 1)))
-    j = comp.join(bounded_broadcast(st, materialize=True, screen=(d, [group])), group, "inner")
+    j = comp.join(bounded_broadcast(st, materialize=True, screen=(d, gs)), gs, "inner")
     norm = 1.0 / math.sqrt(2 * math.pi)
     sums = []
     for i in range(grid):
         gx = F.col("_g0") + F.lit(i) * F.col("_step")
         u = F.try_divide(gx - F.col(value), F.col("_bw"))
         sums.append(F.sum(F.col("_w") * F.exp(F.lit(-0.5) * u * u)))
-    agg = j.groupBy(group).agg(
+    agg = j.groupBy(*gs).agg(
         F.array(*sums).alias("_k"), F.first("_n").alias("_n"), F.first("_bw").alias("_bw"),
         F.first("_g0").alias("_g0"), F.first("_step").alias("_step"))
-    out = agg.select(group, "_n", "_bw", "_g0", "_step", F.posexplode("_k").alias("point", "_s"))
+    out = agg.select(*gs, "_n", "_bw", "_g0", "_step", F.posexplode("_k").alias("point", "_s"))
     return out.select(
-        group, F.col("point").cast("int").alias("point"),
+        *gs, F.col("point").cast("int").alias("point"),
         F.round(F.col("_g0") + F.col("point") * F.col("_step"), 9).alias("x"),
         F.round(F.try_divide(F.col("_s") * norm, F.col("_n") * F.col("_bw")), 9).alias("density"))
 
@@ -208,3 +212,13 @@ def pair_grid(df: DataFrame, cols: Sequence[str], hue: str, bins: int = 10) -> D
         for a, bb in pairs])).alias("c")
     e = j.select(hue, cells).select(hue, "c.*").where(F.col("x_bin").isNotNull())
     return e.groupBy("x_dim", "y_dim", hue, "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
+
+
+def pair_grid_diagonal(df: DataFrame, cols: Sequence[str], hue: str, grid: int = 100) -> DataFrame:
+    """The pair plot's diagonal: a kernel density of each column per hue
+    (the columns unpivoted to (dim, value), then ``violin_density`` per
+    (dim, hue))."""
+    long = df.select(hue, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("dim"), F.col(c).cast("double").alias("value")) for c in cols])).alias("kv"))
+    long = long.select(hue, "kv.dim", "kv.value")
+    return violin_density(long, "value", ["dim", hue], grid=grid)
