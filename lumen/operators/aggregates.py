@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumen.operators.joins import compressed_if_small
+from lumen.operators.joins import materialize_table
 from lumen.operators.ordered import rank_within
 
 
@@ -56,14 +56,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     """
     by = list(by)
     base = df.where(F.col(value).isNotNull())
-    comp = None
+    comp = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w"))
     if method == "auto":
-        # written once and size-checked (a HyperLogLog screen first): small
-        # compressed tables take the window, large ones the distributed sort
-        comp = compressed_if_small(base, (*by, value), COMPRESSED_MAX_ROWS)
-        method = "window" if comp is not None else "sort"
-    if comp is None:
-        comp = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w"))
+        # written once (both paths read it) and size-checked: small compressed
+        # tables take the window, large ones the distributed sort
+        comp = materialize_table(comp)
+        small = comp.limit(COMPRESSED_MAX_ROWS + 1).count() <= COMPRESSED_MAX_ROWS
+        method = "window" if small else "sort"
     r = cumulative_counts(comp, by, value, "_w", method=method)
     # row_number = cumulative count through this value; it covers positions
     # (row_number - _w, row_number], 1-based.

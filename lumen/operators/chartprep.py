@@ -104,7 +104,7 @@ def box_stats(df: DataFrame, value: str, group: str, lo: float | None = None,
     q = exact_quantiles(d, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[group])
     q = (q.withColumn("_lf", F.col("q1") - whisker * (F.col("q3") - F.col("q1")))
           .withColumn("_uf", F.col("q3") + whisker * (F.col("q3") - F.col("q1"))))
-    j = d.join(bounded_broadcast(q, materialize=True, screen=(d, [group])), group, "inner")
+    j = d.join(bounded_broadcast(q, materialize=True), group, "inner")
     x = F.col(value)
     inside = (x >= F.col("_lf")) & (x <= F.col("_uf"))
     return j.groupBy(group).agg(
@@ -142,7 +142,7 @@ def violin_density(df: DataFrame, value: str, group: str | Sequence[str], grid:
     st = (st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
             .withColumn("_g0", F.col("_min") - cut * F.col("_bw"))
             .withColumn("_step", (F.col("_max") - F.col("_min") + 2 * cut * F.col("_bw")) / (grid - 1)))
-    j = comp.join(bounded_broadcast(st, materialize=True, screen=(d, gs)), gs, "inner")
+    j = comp.join(bounded_broadcast(st, materialize=True), gs, "inner")
     norm = 1.0 / math.sqrt(2 * math.pi)
     sums = []
     for i in range(grid):

@@ -209,9 +209,9 @@ def _join_back(df: DataFrame, per_group: DataFrame, keys: Sequence[str], cols: S
 
 
 def join_hint(dim: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Broadcast a per-group aggregate of ``source`` after screening its size
-    (HyperLogLog), materialising and counting it; else a shuffle join."""
-    return bounded_broadcast(dim, materialize=True, screen=(source, list(keys)))
+    """A per-group aggregate of ``source``, written once; broadcast if its
+    count is within the bound, else joined by a shuffle (from the files)."""
+    return bounded_broadcast(dim, materialize=True)
 
 
 def first_last_beside(df: DataFrame, by: Sequence[str], value: str, order: Sequence[tuple[str, bool]],
