@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumen.functions.expressions import pct
-from lumen.operators.joins import bounded_broadcast, compressed_if_small, join_dim
+from lumen.operators.joins import bounded_broadcast, compressed_if_small
 from lumen.operators.ordered import ntile_from_rank, rank_within
 
 
@@ -265,14 +265,3 @@ def cumulative_share(series: DataFrame, value: str, order: str, cum_name: str =
     out = series.withColumn(cum_name, F.sum(value).over(w))
     out = out.withColumn("_grand", F.sum(value).over(Window.partitionBy()))
     return out.withColumn(pct_name, F.round(pct(cum_name, "_grand"), round_to)).drop("_grand")
-
-
-def dense_rank_in(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
-                  name: str = "rank") -> DataFrame:
-    """DENSE_RANK over an aggregated table (groups × periods)."""
-    w = Window.partitionBy(*by).orderBy(*_order_cols(order))
-    return df.withColumn(name, F.dense_rank().over(w))
-
-
-def join_dim_on(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
-    return join_dim(fact, dim, on)
