@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumen.functions.expressions import pct
 from lumen.operators.joins import bounded_broadcast, compressed_if_small
@@ -221,9 +222,12 @@ def first_last_beside(df: DataFrame, by: Sequence[str], value: str, order: Seque
     Equal to ``min_by`` / ``max_by`` on (order, tiebreak) per group — a partial
     aggregate — joined back on the group keys.
     """
-    # a descending key is turned ascending by negation inside the sort struct
+    # a descending key is turned ascending by negation inside the sort struct,
+    # which needs a numeric column
     parts = []
     for c, asc in order:
+        if not asc and not isinstance(df.schema[c].dataType, T.NumericType):
+            raise ValueError(f"first_last_beside: descending order needs a numeric column, got {c}")
         parts.append(F.col(c) if asc else -F.col(c))
     key = F.struct(*parts, *[F.col(t) for t in tiebreak])
     ends = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in by]).agg(
