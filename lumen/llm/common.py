@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -48,6 +49,7 @@ def arrow_map(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType) -
             yield pa.RecordBatch.from_arrays(
                 [c.cast(want.field(n).type) if isinstance(c := out[n], pa.Array) else pa.array(c, want.field(n).type)
                  for n in names], names=names)
+        gc.collect()  # a reused worker else keeps the helpers of earlier tasks for long
 
     return df.mapInArrow(run, schema)
 

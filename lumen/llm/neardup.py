@@ -19,9 +19,8 @@ cut into ``BANDS`` bands of ``ROWS`` (a pair at 0.8 is missed with probability
 0.0007).  In each bucket the text that is in the largest buckets overall stands
 for the bucket: all others are verified against it, with exact counts of the
 whole texts.  What that leaves unlinked in a bucket is compared across classes
-by signature (in blocks, inside tasks), and pairs whose estimate is at least
-``ESTIMATE`` (three standard deviations under the threshold) are verified
-exactly as well.  So a group of copies costs one comparison a member, and no
+inside tasks (in blocks): by signature first, and pairs whose estimate is at
+least ``ESTIMATE`` (three standard deviations under the threshold) exactly.  So a group of copies costs one comparison a member, and no
 link between different texts is given up because a bucket is large.
 
 Classes spread over the links by rounds of smallest-neighbour labels with
@@ -34,6 +33,7 @@ id names; repeated rows fall in one class; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -49,7 +49,8 @@ BANDS, ROWS = 24, 6
 SIZE = BANDS * ROWS
 ESTIMATE = 0.70
 BLOCK = 1500
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
+VOCABULARY = 200_000  # word hashes that a task keeps
 
 _U = np.uint64
 _WORDS: dict[str, int] = {}
@@ -64,7 +65,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
-    if len(_WORDS) > 1_000_000:
+    if len(_WORDS) > VOCABULARY:
         _WORDS.clear()
     for w in set(words).difference(_WORDS):
         _WORDS[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
@@ -164,6 +165,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 flush()
         if words:
             flush()
+        _WORDS.clear()
         return out | {"id": cols["id"]}
 
     return arrow_map(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run,
@@ -185,6 +187,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             if least >= THRESHOLD * most:
                 out["a"].append(a)
                 out["b"].append(b)
+        _WORDS.clear()
         return out
 
     return arrow_map(both, run, schema_of("a binary, b binary"))
@@ -213,19 +216,25 @@ def components(links: DataFrame, labels: DataFrame | None = None, tag: str = "la
             return now
 
 
-def _leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): pairs of texts of one bucket, in different classes, neither of them
-    the bucket's representative, whose signatures agree on ``ESTIMATE`` or more."""
+def _leftover_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links between texts of one bucket that are in different classes,
+    neither of them the bucket's representative.
+
+    Tasks compare the signatures of a bucket (in blocks of about ``BLOCK``) and
+    verify exactly each pair that agrees on ``ESTIMATE`` or more.  A link that
+    joins two classes makes further pairs of the two needless, so a task emits
+    fewer links than its buckets have texts.
+    """
     rest = (members.where("h <> rep").join(labels, "h", "left")
             .withColumn("label", F.coalesce("label", "h")))
     split = (rest.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("lo"),
                                              F.max("label").alias("hi")).where("lo <> hi")
              .select("band", "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    rows = (rest.join(split, ["band", "key"]).join(nodes.select("h", "sig"), "h")
+    rows = (rest.join(split, ["band", "key"]).join(nodes.select("h", "sig"), "h").join(texts, "h")
             .withColumn("own", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("band", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                    "own", "h", "label", "sig")
+                    "own", "h", "label", "sig", "text")
             .repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q"))
 
     def compare(group):
@@ -233,38 +242,50 @@ def _leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) ->
         own = np.array([g[4] for g in group])
         _, label = np.unique(np.array([g[6].hex() for g in group]), return_inverse=True)
         p, q = group[0][2], group[0][3]
-        for i in np.flatnonzero(own == p):
+        bags: dict[int, tuple] = {}
+
+        def bag_of(i):
+            if i not in bags:
+                bags[i] = bag(group[i][8].split())
+            return bags[i]
+
+        for i in np.flatnonzero(own == p).tolist():
             other = (label != label[i]) & ((own == q) if p != q else (np.arange(len(group)) > i))
             at = np.flatnonzero(other)
-            if at.size:
-                for j in at[(sig[at] == sig[i]).sum(axis=1) >= ESTIMATE * SIZE]:
-                    yield (group[i][5], group[j][5]) if group[i][5] < group[j][5] else (group[j][5], group[i][5])
+            for j in at[(sig[at] == sig[i]).sum(axis=1) >= ESTIMATE * SIZE].tolist():
+                if label[j] == label[i]:
+                    continue
+                least, most = overlap(bag_of(i), bag_of(j))
+                if least >= THRESHOLD * most:
+                    label[label == label[j]] = label[i]
+                    yield group[i][5], group[j][5]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, found = [], set()
+        group, found = [], []
 
         def close():
             if len(group) > 1:
-                found.update(compare(group))
+                found.extend(compare(group))
             group.clear()
 
+        def links():
+            out = pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], pa.binary()) for k in (0, 1)],
+                                             names=["a", "b"])
+            found.clear()
+            return out
+
         for b in batches:
             for row in zip(*[c.to_pylist() for c in b.columns]):
                 if group and group[0][:4] != row[:4]:
                     close()
                 group.append(row)
-            if len(found) > 50_000:
-                yield _pairs(found)
-                found.clear()
+            yield links()
         close()
-        yield _pairs(found)
-
-    def _pairs(found):
-        rows = list(found)
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
-                                           pa.array([r[1] for r in rows], pa.binary())], names=["a", "b"])
+        yield links()
+        _WORDS.clear()
+        gc.collect()
 
-    return rows.mapInArrow(run, schema_of("a binary, b binary")).distinct()
+    return rows.mapInArrow(run, schema_of("a binary, b binary"))
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,10 +314,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     texts = write_once(texts, "bodies")
     links = write_once(_verified(stars, texts), "links")
     labels = components(links)
-    more = write_once(_leftover_pairs(members, labels, nodes), "leftover")
+    more = write_once(_leftover_links(members, labels, nodes, texts), "leftover")
     if more.limit(1).count():
-        links = write_once(links.unionByName(_verified(more, texts)), "links")
-        labels = components(links, labels)
+        labels = components(write_once(links.unionByName(more), "links"), labels)
     named = nodes.select("h", "rep").join(labels, "h", "left").withColumn("label", F.coalesce("label", "h"))
     named = write_once(named, "named")
     heads = named.groupBy("label").agg(F.min("rep").alias("class_id"))

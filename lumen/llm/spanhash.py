@@ -26,6 +26,7 @@ itself; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -200,6 +201,7 @@ def fingerprint_beside_next(docs: DataFrame, id_col: str = "doc_id", text_col: s
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), want)], schema=want)
                 out = []
+        gc.collect()  # a reused worker else keeps the arrays of earlier tasks for long
 
     return rows.mapInArrow(run, schema)
 
