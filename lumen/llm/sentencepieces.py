@@ -6,11 +6,11 @@ metaspace marker, unigram scores or the merge order that BPE scores imply, byte
 fallback and the decoder.  Texts are encoded in batches, multithreaded within a
 task (``threads``; 1 thread a task unless the cluster gives tasks more cores).
 
-Parity with the SentencePiece library itself is part of the result:
-* ``decode_parity`` (every row): both libraries decode the ids to the same text;
-* ``encode_parity``: both give the same ids; checked where the text's hash is 0
-  modulo ``parity_every`` (1: every row), null elsewhere, because encoding
-  everything twice would double the work.
+Every row is encoded, decoded and compared with its text (``round_trip``).
+``parity`` says whether the SentencePiece library itself gives the same ids and
+decodes them to the same text; it is checked where the text's hash is 0 modulo
+``parity_every`` (1: every row) and null elsewhere, because running both
+libraries over everything would double the work.
 
 Supported: models with the identity normaliser, BPE or unigram.  Any other
 normaliser raises ``ValueError`` instead of giving different ids.  The path of
@@ -23,14 +23,19 @@ results; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import os
 import struct
 import zlib
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumen.llm.common import arrow_map, schema_of, texts_of
+from lumen.llm.common import schema_of, texts_of
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 PARITY_EVERY = 16
@@ -117,7 +122,8 @@ class Model:
         users = [AddedToken(t, normalized=False, special=False) for t, _, kind in self.pieces if kind == USER_DEFINED]
         if users:
             out.add_tokens(users)
-        out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(),
+        # fused before the marks are replaced: one replacement a text, not one a token
+        out.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARK, " "),
                                          *([decoders.Strip(" ", 1, 0)] if self.dummy_prefix else [])])
         return out
 
@@ -135,43 +141,51 @@ def _backends(path: str | None, data: bytes | None):
     return _LOADED[key]
 
 
-OUT = ("n_tokens int, ids array<int>, ids_crc long, decoded_n_chars int, round_trip boolean, "
-       "decode_parity boolean, encode_parity boolean")
+OUT = "n_tokens int, ids array<int>, ids_crc long, decoded_n_chars int, round_trip boolean, parity boolean"
 
 
 def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str | None = MODEL_PATH,
                   model_bytes: bytes | None = None, threads: int = 1, parity_every: int = PARITY_EVERY,
-                  batch_chars: int = 4_000_000) -> DataFrame:
+                  batch_chars: int = 500_000) -> DataFrame:
     """Per row: the id, the token ids and their count, a CRC of the ids, the length
-    of the decoded text, whether it is the text again, and both parity flags."""
+    of the decoded text, whether it is the text again, and ``parity``."""
     kind = docs.schema[id_col].dataType.simpleString()
-
-    def run(cols):
+    schema = schema_of(f"`{id_col}` {kind}, {OUT}")
+
+    def batch(ids_in, part, own, reference, want):
+        ids = [e.ids if t else [] for t, e in zip(part, own.encode_batch_fast(part, add_special_tokens=False))]
+        back = own.decode_batch(ids, skip_special_tokens=False)
+        checked = [k for k, t in enumerate(part) if zlib.crc32(t.encode("utf-8")) % parity_every == 0]
+        same = dict(zip(checked, reference.encode([part[k] for k in checked])))
+        parity = [same[k] == i and reference.decode(i) == back[k] if k in same else None for k, i in enumerate(ids)]
+        arrays = [np.array(i, np.int32) for i in ids]
+        sizes = np.array([a.size for a in arrays], np.int32)
+        flat = np.concatenate([np.zeros(0, np.int32), *arrays])
+        cols = [ids_in, pa.array(sizes),
+                pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(flat)),
+                pa.array([zlib.crc32(a.tobytes()) for a in arrays], pa.int64()),
+                pa.array([len(b) for b in back], pa.int32()),
+                pa.array([b == t for b, t in zip(back, part)], pa.bool_()),
+                pa.array(parity, pa.bool_())]
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, want)], schema=want)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
+        want = to_arrow_schema(schema)
         own, reference = _backends(model_path, model_bytes)
-        texts = texts_of(cols["text"])
-        out = {n: [] for n in ("ids", "ids_crc", "decoded_n_chars", "round_trip", "decode_parity", "encode_parity")}
-        at = 0
-        while at < len(texts):  # batches of about ``batch_chars``, so that long texts stay few
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= batch_chars):
-                size += len(texts[end])
-                end += 1
-            part = texts[at:end]
-            ids = [e.ids if t else [] for t, e in zip(part, own.encode_batch_fast(part, add_special_tokens=False))]
-            back = own.decode_batch(ids, skip_special_tokens=False)
-            other = reference.decode(ids)
-            checked = [k for k, t in enumerate(part) if zlib.crc32(t.encode("utf-8")) % parity_every == 0]
-            same = dict(zip(checked, reference.encode([part[k] for k in checked])))
-            out["ids"] += ids
-            out["ids_crc"] += [zlib.crc32(struct.pack(f"<{len(i)}i", *i)) for i in ids]
-            out["decoded_n_chars"] += map(len, back)
-            out["round_trip"] += [b == t for b, t in zip(back, part)]
-            out["decode_parity"] += [b == o for b, o in zip(back, other)]
-            out["encode_parity"] += [same[k] == i if k in same else None for k, i in enumerate(ids)]
-            at = end
-        return out | {id_col: cols["id"], "n_tokens": [len(i) for i in out["ids"]]}
-
-    return arrow_map(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run,
-                     schema_of(f"`{id_col}` {kind}, {OUT}"))
+        for rows in batches:
+            sizes = pc.fill_null(pc.utf8_length(rows.column(1)), 0).to_pylist()
+            at = 0
+            while at < len(sizes):  # batches of about ``batch_chars``: memory is bounded by them and one text
+                end, size = at, 0
+                while end < len(sizes) and (end == at or size + sizes[end] <= batch_chars):
+                    size += sizes[end]
+                    end += 1
+                yield batch(rows.column(0).slice(at, end - at), texts_of(rows.column(1).slice(at, end - at)),
+                            own, reference, want)
+                at = end
+        gc.collect()  # a reused worker else keeps the helpers of earlier tasks for long
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
