@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lumen.llm import (decontam, neardup, pagetext, pseudonyms, quality, secretscan, sentencepieces, spanhash,
                        tokenrollup, warc)
+from lumen.llm.common import hint_small, write_once
 from lumen.session import scratch_dir
 
 # A key of the deployment's own belongs here; this one is for the given tables.
@@ -55,7 +56,7 @@ def op8_token_rollup(spark, sf_dir):
     rollup.commit("0001", inserts=tokenrollup.count_tokens(docs, "byte_bpe_50k"))
     low = labels.where("quality = 0").select("doc_id")
     rollup.commit("0002", deletes=low)
-    toxic = labels.where("toxic = 1").select("doc_id").distinct()
+    toxic = hint_small(write_once(labels.where("toxic = 1").select("doc_id").distinct(), "recounted"))
     flat = docs.join(toxic, "doc_id", "left_semi").selectExpr(
         "doc_id", "source", "lang", "regexp_replace(text, '\\\\s+', ' ') AS text")
     rollup.commit("0003", revisions=tokenrollup.count_tokens(flat, "byte_bpe_50k"))
