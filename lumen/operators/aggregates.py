@@ -12,10 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumen.operators.joins import materialize_table
 from lumen.operators.ordered import rank_within
 
 
@@ -43,27 +42,19 @@ def mean_by(df: DataFrame, key: str, value: str, name: str | None = None) -> Dat
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
-                    by: Sequence[str] = (), method: str = "auto") -> DataFrame:
+                    by: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles (``percentile`` / ``quantile_cont``).
 
     Values are first compressed to (group, value, count) — a partial
     aggregation, so a value repeated a billion times is one row — then
-    cumulative counts are taken per group (``cumulative_counts``: a window
-    when the compressed table passed its size check, else the distributed
-    sort) and the two order statistics around each target position are
+    cumulative counts are taken per group (``rank_within``) and the two order statistics around each target position are
     picked.  NULL values are ignored.
     Output: ``by`` columns + one column per name in ``probs``.
     """
     by = list(by)
     base = df.where(F.col(value).isNotNull())
     comp = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w"))
-    if method == "auto":
-        # written once (both paths read it) and size-checked: small compressed
-        # tables take the window, large ones the distributed sort
-        comp = materialize_table(comp)
-        small = comp.limit(COMPRESSED_MAX_ROWS + 1).count() <= COMPRESSED_MAX_ROWS
-        method = "window" if small else "sort"
-    r = cumulative_counts(comp, by, value, "_w", method=method)
+    r = rank_within(comp, by, [(value, True)], [], outputs=("row_number", "group_size"), weight="_w")
     # row_number = cumulative count through this value; it covers positions
     # (row_number - _w, row_number], 1-based.
     hi_cum = F.col("row_number")
@@ -91,30 +82,6 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
     return sel.select(*out)
 
 
-# Compressed (group, value) rows up to which cumulative counts use a window.
-COMPRESSED_MAX_ROWS = 2_000_000
-
-
-def cumulative_counts(comp: DataFrame, by: Sequence[str], value: str, weight: str,
-                      method: str = "sort") -> DataFrame:
-    """Cumulative weight (``row_number``) and group total (``group_size``) per
-    (group, value) row, in ascending value order.
-
-    ``method="sort"``: the distributed sort of ``rank_within`` — lazy, one plan,
-    no group funnelled into one task whatever the skew.
-    ``method="window"``: a per-group running-sum window, for a compressed
-    table whose size has been checked (each group's slice goes to one task).
-    """
-    if method == "window":
-        w = Window.partitionBy(*by).orderBy(value)
-        return comp.select(
-            "*",
-            F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("row_number"),
-            F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-            .alias("group_size"))
-    return rank_within(comp, by, [(value, True)], [], outputs=("row_number", "group_size"), weight=weight)
-
-
 def approx_quantiles(df: DataFrame, value: str, probs: Mapping[str, float],
                      by: Sequence[str] = (), accuracy: int = 100) -> DataFrame:
     """Approximate quantiles (``approxQuantile(col, probs, 1/accuracy)``),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lumen.functions.expressions import level_position
 from lumen.operators.aggregates import exact_quantiles
-from lumen.operators.joins import attach_scalars, bounded_broadcast, keep_top_k
+from lumen.operators.joins import attach_scalars, keep_top_k
 
 
 def bar_values(df: DataFrame, category: str, aggs: dict[str, Column],
@@ -99,12 +99,14 @@ def box_stats(df: DataFrame, value: str, group: str, lo: float | None = None,
     """Box-plot statistics per group: Q1, median, Q3 (linear interpolation),
     whiskers at the furthest data within ``whisker``·IQR, outlier count."""
     d = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
-    if lo is not None and hi is not None:
-        d = d.where(F.col(value).between(lo, hi))
+    if lo is not None:
+        d = d.where(F.col(value) >= lo)
+    if hi is not None:
+        d = d.where(F.col(value) <= hi)
     q = exact_quantiles(d, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[group])
     q = (q.withColumn("_lf", F.col("q1") - whisker * (F.col("q3") - F.col("q1")))
           .withColumn("_uf", F.col("q3") + whisker * (F.col("q3") - F.col("q1"))))
-    j = d.join(bounded_broadcast(q, materialize=True), group, "inner")
+    j = d.join(q, group, "inner")
     x = F.col(value)
     inside = (x >= F.col("_lf")) & (x <= F.col("_uf"))
     return j.groupBy(group).agg(
@@ -142,7 +144,7 @@ def violin_density(df: DataFrame, value: str, group: str | Sequence[str], grid:
     st = (st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
             .withColumn("_g0", F.col("_min") - cut * F.col("_bw"))
             .withColumn("_step", (F.col("_max") - F.col("_min") + 2 * cut * F.col("_bw")) / (grid - 1)))
-    j = comp.join(bounded_broadcast(st, materialize=True), gs, "inner")
+    j = comp.join(st, gs, "inner")
     norm = 1.0 / math.sqrt(2 * math.pi)
     sums = []
     for i in range(grid):

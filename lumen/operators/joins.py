@@ -21,7 +21,7 @@ def materialize_table(df: DataFrame) -> DataFrame:
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      materialize: bool = False, screen=None) -> DataFrame:
+                      materialize: bool = False) -> DataFrame:
     """Mark ``dim`` for broadcast only after checking it has at most ``max_rows`` rows.
 
     The check is one count job over the dimension alone.  With
@@ -32,14 +32,6 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     bound the plain DataFrame is returned and the join shuffles on its keys
     (AQE may still split skewed partitions at run time).
     """
-    if screen is not None:
-        # (source, keys): dim has one row per distinct key of source.  A
-        # HyperLogLog estimate (no rows shuffled) rules out a large table
-        # before it is computed and written.
-        src, keys = screen
-        est = src.select(F.approx_count_distinct(F.struct(*keys), 0.05).alias("n")).first()["n"]
-        if est > 1.2 * max_rows:
-            return dim
     if materialize:
         dim = materialize_table(dim)
     n = dim.limit(max_rows + 1).count()
@@ -74,27 +66,6 @@ def keep_top_k(df: DataFrame, key: str, k: int) -> DataFrame:
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row of ``df``.
 
-    The one-row side is broadcast (its size bound is one row by construction)
-    and joined on a constant key, so no value travels through the driver.
+    The one-row side is broadcast (its size is one row by construction).
     """
-    k = "_lumen_one"
-    return (df.withColumn(k, F.lit(1))
-            .join(F.broadcast(one_row.withColumn(k, F.lit(1))), k, "inner")
-            .drop(k))
-
-
-def compressed_if_small(df: DataFrame, keys, max_rows: int) -> DataFrame | None:
-    """``groupBy(keys).count()`` as ``_w``, written once, if it has at most
-    ``max_rows`` rows; None otherwise.
-
-    A HyperLogLog estimate of the distinct keys (a partial aggregate: one
-    sketch per task, no rows shuffled) screens out large tables before any is
-    written; the exact count of the written table then decides.
-    """
-    est = df.select(F.approx_count_distinct(F.struct(*keys), 0.05).alias("n")).first()["n"]
-    if est > 1.2 * max_rows:
-        return None
-    comp = materialize_table(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w")))
-    if comp.limit(max_rows + 1).count() > max_rows:
-        return None
-    return comp
+    return df.crossJoin(F.broadcast(one_row))

@@ -1,145 +1,91 @@
-"""Skew-safe ordered statistics within groups.
-
-``Window.partitionBy(g).orderBy(v)`` sends every row of a group to one task.
-With few groups (five carriers, six cuts) or one hot group holding a third
-of the rows, that task holds a third of the table.  ``rank_within`` computes
-the same ROW_NUMBER / RANK / DENSE_RANK / LAG / LEAD / group size without
-that funnel:
-
-1. range-partition on (group, order, tiebreak) — a unique key, so the
-   sampled bounds split even a hot group into balanced, contiguous slices —
-   and sort within each partition (this is a distributed sort: one shuffle);
-2. summarise each partition by its first and last group only (one row per
-   partition, so the summary is bounded by the partition count, not the data);
-3. turn the summaries into per-partition offsets (rows, ranks, dense ranks and
-   neighbour values carried in from earlier partitions of the same group);
-4. broadcast the offsets (bounded: one row per partition) and finish each
-   partition locally.
-
-Steps 2 and 4 read the same range exchange (it is planned once and reused),
-and its partition count is explicit, so AQE neither coalesces nor splits it;
-step 4 checks every partition's row count against step 2 and fails loudly if
-they ever disagree.  The per-partition work is vectorised pandas (Arrow
-batches); partitions are range-balanced, so each is bounded by input / N.
+"""Ordered statistics per group whose rows need not fit one task.
+
+``Window.partitionBy(group)`` sends a whole group to one task.  Here each group
+is cut into ranges of its first order column: the bounds are approximate
+quantiles of the group (a sketch, so their exact place does not matter), and a
+value that is itself a bound - every value frequent enough to fill a range is
+one - has a range of its own, which is cut again by ranges of the next key
+column.  Spark's own window functions run inside a cell (group, range,
+sub-range); counts and edge values of the cells, a small table, supply the
+offsets between them.  The same plan runs at every size, nothing runs while it
+is built, and all expressions are built-in, so values pass unchanged.
+
+Numeric, date and timestamp columns can be cut; a group ordered by another type
+is one cell, as in a plain window.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PID = "_lumen_pid"
-
-# The per-partition functions below run on executors.  Pickle this module by
-# value so workers need no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _eq(a: pd.Series, b) -> np.ndarray:
-    """NULL-safe equality (NULL equals NULL), element-wise."""
-    av = a.to_numpy()
-    if isinstance(b, pd.Series):
-        bv = b.to_numpy()
-        bn = pd.isna(b).to_numpy()
-    else:
-        bv = b
-        bn = np.full(len(a), pd.isna(b))
-    an = pd.isna(a).to_numpy()
-    with np.errstate(invalid="ignore"):
-        same = np.asarray(av == bv, dtype=bool)
-    return (same & ~an & ~bn) | (an & bn)
-
+_CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-def _rows_eq(df: pd.DataFrame, other, cols: Sequence[str]) -> np.ndarray:
-    out = np.ones(len(df), dtype=bool)
-    for c in cols:
-        out &= _eq(df[c], other[c] if isinstance(other, pd.DataFrame) else other[c])
-    return out
 
+def _nan(df: DataFrame, name: str) -> Column:
+    return F.isnan(name) if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)) else F.lit(False)
 
-def _changes(pdf: pd.DataFrame, by: Sequence[str], ocols: Sequence[str], prev: dict | None = None):
-    """Row flags: a new group starts here; a new (group, order value) run starts
-    here.  ``prev`` is the last row of the previous batch (None at the start)."""
-    n = len(pdf)
-    gchg = np.zeros(n, dtype=bool)
-    vchg = np.zeros(n, dtype=bool)
-    for flags, cols in ((gchg, by), (vchg, ocols)):
-        for c in cols:
-            a = pdf[c]
-            flags[1:] |= ~_eq(a.iloc[1:].reset_index(drop=True), a.iloc[:-1].reset_index(drop=True))
-    gchg[0] = prev is None or not all(_same(pdf[c].iloc[0], prev[c]) for c in by)
-    vchg |= gchg
-    vchg[0] = gchg[0] or not all(_same(pdf[c].iloc[0], prev[c]) for c in ocols)
-    return gchg, vchg
 
+def _bounds(df: DataFrame, name: str, ranges: int) -> Column:
+    probs = [k / ranges for k in range(1, ranges)] or [0.5]
+    clean = F.when(~_nan(df, name), F.col(name))
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        clean = clean.cast("timestamp")
+    return F.array_distinct(F.percentile_approx(clean, probs, F.lit(max(10_000, 10 * ranges))))
 
-def _same(a, b) -> bool:
-    if pd.isna(a) and pd.isna(b):
-        return True
-    if pd.isna(a) or pd.isna(b):
-        return False
-    return a == b
 
+def _attach(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Columns of ``table`` (keyed ``_k_<key>``) beside the rows, NULL-safe."""
+    if not keys:
+        return df.crossJoin(F.broadcast(table))  # one row
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return df.join(table, cond, "left").drop(*[f"_k_{k}" for k in keys])
 
-def _tuple_same(a: Sequence, b: Sequence) -> bool:
-    return all(_same(x, y) for x, y in zip(a, b))
 
+def _keyed(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).alias(f"_k_{k}") for k in keys]
 
-def _field(schema: T.StructType, name: str, new_name: str) -> T.StructField:
-    return T.StructField(new_name, schema[name].dataType, True)
 
+def _place(df: DataFrame, name: str, ascending: bool, bounds: str) -> tuple[Column, Column]:
+    """(position of the row's range in the order, whether the range holds one value only)."""
+    v = F.col(name)
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        v = v.cast("timestamp")
+    equal = F.coalesce(F.array_contains(bounds, v), F.lit(False))
+    at = F.coalesce(2 * F.size(F.filter(bounds, lambda b: b < v)), F.lit(0)) + equal.cast("int")
+    at = F.when(_nan(df, name), F.lit(1 << 30)).otherwise(at)
+    at = (F.when(v.isNull(), F.lit(-1)).otherwise(at) if ascending
+          else F.when(v.isNull(), F.lit(1)).otherwise(-at))
+    return at.cast("int"), v.isNull() | _nan(df, name) | equal
 
-# Target bytes of input per range partition (on-disk, compressed size).
-TARGET_PARTITION_BYTES = 512 * 1024 * 1024
-_SIZE_CACHE: dict = {}
 
-
-def range_partitions(df: DataFrame) -> int:
-    """Partition count for the range exchange, from the size of the input files.
-
-    The count must be explicit (both passes read one exchange, so AQE must
-    not re-split it); it grows with the data: one partition per
-    TARGET_PARTITION_BYTES of input, never fewer than the cluster's default
-    parallelism.  The size comes from a listing of the input files (the
-    ``binaryFile`` source with the file bodies pruned).
-    """
-    spark = df.sparkSession
-    floor = spark.sparkContext.defaultParallelism
-    files = tuple(sorted(df.inputFiles()))
-    if not files:
-        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if files not in _SIZE_CACHE:
-        row = (spark.read.format("binaryFile").load(list(files))
-               .agg(F.sum("length").alias("b")).first())
-        _SIZE_CACHE[files] = int(row["b"] or 0)
-    need = -(-_SIZE_CACHE[files] // TARGET_PARTITION_BYTES)
-    return int(max(floor, need))
-
-
-def range_sorted(df: DataFrame, keys, n_parts: int) -> DataFrame:
-    """Range-partition on the (unique) sort key, sort each partition, tag the
-    partition id.  A hot group spreads over many partitions because the key
-    includes the order and tiebreak columns."""
-    return (df.repartitionByRange(n_parts, *keys)
-            .sortWithinPartitions(*keys)
-            .withColumn(_PID, F.spark_partition_id()))
+def _cells(df: DataFrame, by: list[str], keys: list[tuple[str, bool]], ranges: int) -> DataFrame:
+    """``df`` with ``_pos`` (range), ``_sub`` (sub-range) and ``_one`` (one value in the range)."""
+    first, ascending = keys[0]
+    if not isinstance(df.schema[first].dataType, _CUTTABLE):
+        return df.withColumns({"_pos": F.lit(0), "_sub": F.lit(0), "_one": F.lit(False)})
+    sketch = df.groupBy(*_keyed(by)).agg(_bounds(df, first, ranges).alias("_b"))
+    pos, one = _place(df, first, ascending, "_b")
+    rows = _attach(df, sketch, by).withColumns({"_pos": pos, "_one": one}).drop("_b")
+    if len(keys) < 2 or not isinstance(df.schema[keys[1][0]].dataType, _CUTTABLE):
+        return rows.withColumn("_sub", F.lit(0))
+    second, ascending = keys[1]
+    cell = [*by, "_pos"]
+    sketch = rows.where("_one").groupBy(*_keyed(cell)).agg(_bounds(df, second, ranges).alias("_b"))
+    sub, _ = _place(df, second, ascending, "_b")
+    return _attach(rows, sketch, cell).withColumn("_sub", F.when(F.col("_one"), sub).otherwise(F.lit(0))).drop("_b")
 
 
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
                 tiebreak: Sequence[str], outputs: Sequence[str] = ("row_number",),
-                lag: Sequence[str] = (), lead: Sequence[str] = (),
-                weight: str | None = None,
-                num_partitions: int | None = None) -> DataFrame:
+                lag: Sequence[str] = (), lead: Sequence[str] = (), weight: str | None = None,
+                ranges: int | None = None) -> DataFrame:
     """Add ordered statistics per group of ``by``.
 
-    ``order``: (column, ascending) pairs — the ranking order (ascending puts
+    ``order``: (column, ascending) pairs - the ranking order (ascending puts
     NULLs first, descending puts them last, as in SQL/Spark windows).
     ``tiebreak``: columns that make (by, order, tiebreak) unique; they fix
     ROW_NUMBER / LAG / LEAD among peers but never affect RANK / DENSE_RANK.
@@ -147,303 +93,66 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, boo
     ``lag`` / ``lead``: columns whose previous / next value (offset 1) in the
     group is added as ``prev_<c>`` / ``next_<c>``.
     ``weight``: a non-negative count column; ``row_number`` then becomes the
-    cumulative weight through the row and ``group_size`` the group's total
-    weight (rows stand for ``weight`` identical rows, e.g. after a
-    ``groupBy(key, value).count()`` compression).
+    cumulative weight through the row and ``group_size`` the group's total.
+    ``ranges``: ranges a group is cut into (default: the shuffle partitions).
     """
-    spark = df.sparkSession
-    by = list(by)
-    if not by:
-        df = df.withColumn("_lumen_all", F.lit(0))
-        by = ["_lumen_all"]
-        drop_by = True
-    else:
-        drop_by = False
-    ocols = [c for c, _ in order]
-    keys = ([F.col(b).asc() for b in by]
-            + [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
-            + [F.col(t).asc() for t in tiebreak])
-    n_parts = num_partitions or range_partitions(df)
-    schema = df.schema
-
-    ranged = range_sorted(df, keys, n_parts)
-
-    # ---- step 2: one summary row per partition --------------------------------
-    s_fields = [T.StructField(_PID, T.IntegerType()), T.StructField("n", T.LongType())]
-    for side in ("f", "l"):
-        s_fields += [_field(schema, c, f"{side}_k_{c}") for c in by]
-        s_fields += [_field(schema, c, f"{side}_v_{c}") for c in ocols]
-        s_fields += [T.StructField(f"{side}_{m}", T.LongType()) for m in ("cnt", "tie", "dist")]
-    s_fields += [_field(schema, c, f"l_lag_{c}") for c in lag]
-    s_fields += [_field(schema, c, f"f_lead_{c}") for c in lead]
-    s_schema = T.StructType(s_fields)
-
-    def summarize(batches):
-        # Streams the partition batch by batch (memory: one Arrow batch).
-        prev = None
-        row, f, lst = {}, {"cnt": 0, "tie": 0, "dist": 0}, {"cnt": 0, "tie": 0, "dist": 0}
-        f_open, n_rows, fval, last = True, 0, None, None
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            w = pdf[weight].to_numpy(dtype=np.int64) if weight else np.ones(n, dtype=np.int64)
-            gchg, vchg = _changes(pdf, by, ocols, prev)
-            seg = np.cumsum(gchg)              # 0 = continues the previous batch's group
-            if prev is None:
-                first = pdf.iloc[0]
-                row[_PID] = int(first[_PID])
-                for c in by:
-                    row[f"f_k_{c}"] = first[c]
-                for c in ocols:
-                    row[f"f_v_{c}"] = first[c]
-                for c in lead:
-                    row[f"f_lead_{c}"] = first[c]
-                fval = {c: first[c] for c in ocols}
-            if f_open:
-                m = seg == (1 if prev is None else 0)
-                f["cnt"] += int(w[m].sum())
-                f["dist"] += int(vchg[m].sum())
-                f["tie"] += int(w[m & _rows_eq(pdf, fval, ocols)].sum())
-                f_open = bool(m.all())
-            starts = np.flatnonzero(vchg)
-            if seg[-1] == 0:                   # the whole batch continues the trailing group
-                lst["cnt"] += int(w.sum())
-                lst["dist"] += int(vchg.sum())
-                lst["tie"] = int(w[starts[-1]:].sum()) if len(starts) else lst["tie"] + int(w.sum())
-            else:
-                m = seg == seg[-1]
-                lst["cnt"], lst["dist"] = int(w[m].sum()), int(vchg[m].sum())
-                lst["tie"] = int(w[starts[-1]:].sum())
-            last = pdf.iloc[-1]
-            prev = {c: last[c] for c in (*by, *ocols)}
-            n_rows += n
-        if prev is None:
-            return
-        row["n"] = n_rows
-        for c in by:
-            row[f"l_k_{c}"] = last[c]
-        for c in ocols:
-            row[f"l_v_{c}"] = last[c]
-        for side, st in (("f", f), ("l", lst)):
-            for k, v in st.items():
-                row[f"{side}_{k}"] = v
-        for c in lag:
-            row[f"l_lag_{c}"] = last[c]
-        yield pd.DataFrame([row])
-
-    summary = ranged.mapInPandas(summarize, s_schema)
-
-    # ---- step 3: offsets from the summaries (bounded: one row per partition) --
-    o_fields = [T.StructField(_PID, T.IntegerType()), T.StructField("o_n", T.LongType()),
-                T.StructField("o_cont", T.BooleanType()), T.StructField("o_rn", T.LongType()),
-                T.StructField("o_tie_rank", T.LongType()), T.StructField("o_dense", T.LongType()),
-                T.StructField("o_f_total", T.LongType()), T.StructField("o_l_total", T.LongType())]
-    o_fields += [_field(schema, c, f"o_lk_{c}") for c in by]
-    o_fields += [_field(schema, c, f"o_lag_{c}") for c in lag]
-    o_fields += [_field(schema, c, f"o_lead_{c}") for c in lead]
-    o_schema = T.StructType(o_fields)
-
-    def offsets(batches):
-        s = pd.concat(list(batches), ignore_index=True)
-        if len(s) == 0:
-            return
-        s = s.sort_values(_PID).reset_index(drop=True)
-        fk = [tuple(r) for r in s[[f"f_k_{c}" for c in by]].itertuples(index=False)]
-        lk = [tuple(r) for r in s[[f"l_k_{c}" for c in by]].itertuples(index=False)]
-        fv = [tuple(r) for r in s[[f"f_v_{c}" for c in ocols]].itertuples(index=False)]
-        lv = [tuple(r) for r in s[[f"l_v_{c}" for c in ocols]].itertuples(index=False)]
-        single = [_tuple_same(a, b) for a, b in zip(fk, lk)]
-        rows = s.to_dict("records")          # plain dicts: the loops below run once per partition
-        # chain = consecutive partitions sharing a boundary group
-        chain_f, chain_l, totals = [], [], []
-        for i in range(len(s)):
-            cont = i > 0 and _tuple_same(fk[i], lk[i - 1])
-            if not cont:
-                totals.append(0)
-            cf = len(totals) - 1
-            if single[i]:
-                totals[cf] += int(rows[i]["f_cnt"])
-                cl = cf
-            else:
-                totals[cf] += int(rows[i]["f_cnt"])
-                totals.append(int(rows[i]["l_cnt"]))
-                cl = len(totals) - 1
-            chain_f.append(cf)
-            chain_l.append(cl)
-        out = []
-        chain_rows = run_start = dense = 0
-        run_val = None
-        prev_lag = {}
-        for i in range(len(s)):
-            n = int(rows[i]["f_cnt"]) if single[i] else 0
-            cont = i > 0 and _tuple_same(fk[i], lk[i - 1])
-            tie_cont = cont and _tuple_same(fv[i], run_val)
-            o_rn = chain_rows if cont else 0
-            o_tie = run_start if tie_cont else None
-            o_dense = (dense - 1 if tie_cont else dense) if cont else 0
-            r = {_PID: int(rows[i][_PID]), "o_n": int(rows[i]["n"]), "o_cont": cont, "o_rn": o_rn,
-                 "o_tie_rank": o_tie, "o_dense": o_dense,
-                 "o_f_total": totals[chain_f[i]], "o_l_total": totals[chain_l[i]]}
-            for c in by:
-                r[f"o_lk_{c}"] = rows[i][f"l_k_{c}"]
-            for c in lag:
-                r[f"o_lag_{c}"] = prev_lag.get(c) if cont else None
-            for c in lead:
-                nxt = i + 1 < len(s) and _tuple_same(fk[i + 1], lk[i])
-                r[f"o_lead_{c}"] = rows[i + 1][f"f_lead_{c}"] if nxt else None
-            out.append(r)
-            # carry state to the next partition
-            if single[i]:
-                ltie = int(rows[i]["l_tie"])
-                if not (tie_cont and ltie == n):
-                    run_start = o_rn + (n - ltie) + 1
-                chain_rows = o_rn + n
-                dense = o_dense + int(rows[i]["f_dist"])
-            else:
-                lcnt, ltie = int(rows[i]["l_cnt"]), int(rows[i]["l_tie"])
-                chain_rows = lcnt
-                run_start = lcnt - ltie + 1
-                dense = int(rows[i]["l_dist"])
-            run_val = lv[i]
-            prev_lag = {c: rows[i][f"l_lag_{c}"] for c in lag}
-        yield pd.DataFrame(out, columns=[f.name for f in o_fields])
-
-    # A shuffle (not coalesce, which would pull the summary pass itself into
-    # one task): the N summary rows alone move to a single task.
-    offs = summary.repartition(1).mapInPandas(offsets, o_schema)
-
-    # ---- step 4: finish every partition locally --------------------------------
-    want = set(outputs)
-    base = [f for f in schema.fields if not (drop_by and f.name == "_lumen_all")]
-    out_fields = list(base)
-    for name in ("row_number", "rank", "dense_rank"):
-        if name in want:
-            rtype = T.LongType() if (weight and name == "row_number") else T.IntegerType()
-            out_fields.append(T.StructField(name, rtype))
-    if "group_size" in want:
-        out_fields.append(T.StructField("group_size", T.LongType()))
-    out_fields += [_field(schema, c, f"prev_{c}") for c in lag]
-    out_fields += [_field(schema, c, f"next_{c}") for c in lead]
-    out_schema = T.StructType(out_fields)
-    base_names = [f.name for f in base]
-
-    want_size = "group_size" in want
-
-    def finish(batches):
-        # Streams the partition; rows wait in `pending` only while their
-        # group's size (interior groups) or their successor (LEAD) is unknown.
-        o = None
-        prev = None
-        rn_cur = rank_cur = dense_cur = 0
-        gord = 0
-        pending, pend_size, total = None, False, 0
-
-        def emit(frame):
-            if frame is not None and len(frame):
-                yield frame
-
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            if o is None:
-                o = pdf.iloc[0]
-                lkey = {c: o[f"o_lk_{c}"] for c in by}
-            total += n
-            w = pdf[weight].to_numpy(dtype=np.int64) if weight else np.ones(n, dtype=np.int64)
-            gchg, vchg = _changes(pdf, by, ocols, prev)
-            seg = np.cumsum(gchg)
-            cont = seg == 0
-            first_seg = (gord + seg) == 1
-            base = np.where(cont, rn_cur, np.where(first_seg, int(o["o_rn"]), 0))
-            rn = pd.Series(w).groupby(seg).cumsum().to_numpy() + base
-            cols = {}
-            if "row_number" in want:
-                cols["row_number"] = rn.astype(np.int64 if weight else np.int32)
-            if "rank" in want:
-                run = np.cumsum(vchg)
-                starts = np.flatnonzero(vchg)
-                rank = np.full(n, rank_cur, dtype=np.int64)
-                if len(starts):
-                    hit = run >= 1
-                    rank[hit] = rn[starts][run[hit] - 1]
-                if prev is None and not pd.isna(o["o_tie_rank"]):
-                    rank = np.where(first_seg & (run == 1), int(o["o_tie_rank"]), rank)
-                rank_cur = int(rank[-1])
-                cols["rank"] = rank.astype(np.int32)
-            if "dense_rank" in want:
-                dense = pd.Series(vchg.astype(np.int64)).groupby(seg).cumsum().to_numpy()
-                dense = dense + np.where(cont, dense_cur, np.where(first_seg, int(o["o_dense"]), 0))
-                dense_cur = int(dense[-1])
-                cols["dense_rank"] = dense.astype(np.int32)
-            for c in lag:
-                pv = pdf[c].shift(1).where(~gchg)
-                if prev is not None and not gchg[0]:
-                    pv.iloc[0] = prev[c]
-                elif prev is None and bool(o["o_cont"]):
-                    pv.iloc[0] = o[f"o_lag_{c}"]
-                cols[f"prev_{c}"] = pv
-            for c in lead:
-                cols[f"next_{c}"] = pdf[c].shift(-1).where(~np.append(gchg[1:], True))
-            tail_known = True
-            if want_size:
-                starts_g = np.flatnonzero(gchg)
-                ends = np.append(starts_g, n)[1:] - 1 if gchg[0] else np.append(starts_g, n) - 1
-                end_idx = ends[seg - seg[0]]
-                size = rn[end_idx].astype(np.int64)
-                is_last = _rows_eq(pdf, lkey, by)
-                size = np.where(first_seg, int(o["o_f_total"]),
-                                np.where(is_last, int(o["o_l_total"]), size))
-                tail = seg == seg[-1]
-                tail_known = bool((first_seg[-1]) or is_last[-1])
-                if not tail_known:
-                    size = np.where(tail, -1, size)
-                cols["group_size"] = size
-            res = pdf[base_names].assign(**cols)
-
-            # resolve rows held back from earlier batches
-            if pending is not None:
-                for c in lead:
-                    pending.iloc[-1, pending.columns.get_loc(f"next_{c}")] = (
-                        None if gchg[0] else pdf[c].iloc[0])
-                if pend_size:
-                    if gchg[0]:
-                        pending["group_size"] = rn_cur
-                    elif seg[-1] != 0 or tail_known:
-                        pending["group_size"] = int(res["group_size"].iloc[0])
-                    else:                                   # group still open: keep holding
-                        pending = pd.concat([pending, res], ignore_index=True)
-                        rn_cur, gord, last = int(rn[-1]), int(gord + seg[-1]), pdf.iloc[-1]
-                        prev = {c: last[c] for c in (*by, *ocols, *lag)}
-                        continue
-                yield from emit(pending)
-                pending, pend_size = None, False
-
-            hold_from = n
-            if want_size and not tail_known:
-                hold_from = int(np.flatnonzero(tail)[0])
-                pend_size = True
-            elif lead:
-                hold_from = n - 1
-            yield from emit(res.iloc[:hold_from])
-            pending = res.iloc[hold_from:].reset_index(drop=True) if hold_from < n else None
-            rn_cur, gord, last = int(rn[-1]), int(gord + seg[-1]), pdf.iloc[-1]
-            prev = {c: last[c] for c in (*by, *ocols, *lag)}
-
-        if o is None:
-            return
-        if total != int(o["o_n"]):
-            raise RuntimeError("rank_within: partition layout changed between passes")
-        if pending is not None:
-            for c in lead:
-                pending.iloc[-1, pending.columns.get_loc(f"next_{c}")] = o[f"o_lead_{c}"]
-            if pend_size:
-                pending["group_size"] = rn_cur
-            yield from emit(pending)
-
-    joined = ranged.join(F.broadcast(offs), _PID, "inner")
-    return joined.mapInPandas(finish, out_schema)
+    by, outputs = list(by), list(outputs)
+    ranges = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = [*order, *[(t, True) for t in tiebreak]]
+    rows = _cells(df, by, keys, ranges)
+    # ties can lie in several sub-ranges only where those cut by a tie-break column
+    spans = F.col("_one") if len(order) == 1 else F.lit(False)
+    cell = [*by, "_pos", "_sub"]
+    sorts = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in keys]
+    w = Window.partitionBy(*cell).orderBy(*sorts)
+    peers = Window.partitionBy(*cell).orderBy(*sorts[:len(order)])
+    local = {"_rn": F.row_number().over(w)}
+    if weight:
+        local["_cum"] = F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if "rank" in outputs:
+        local["_rk"] = F.rank().over(peers)
+    if "dense_rank" in outputs:
+        local["_dr"] = F.dense_rank().over(peers)
+    local |= {f"_in_prev_{c}": F.lag(c).over(w) for c in lag} | {f"_in_next_{c}": F.lead(c).over(w) for c in lead}
+    inside = rows.select("*", *[c.alias(n) for n, c in local.items()])
+
+    aggs = [(F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"), F.first(spans).alias("_spans")]
+    if "dense_rank" in outputs:
+        aggs.append(F.max("_dr").alias("_values"))
+    aggs += [F.max_by(c, "_rn").alias(f"_last_{c}") for c in lag] + [F.min_by(c, "_rn").alias(f"_first_{c}") for c in lead]
+    # counts alone need no window below them and are pre-aggregated in each task
+    cells = (inside if "dense_rank" in outputs or lag or lead else rows).groupBy(*cell).agg(*aggs)
+    g = Window.partitionBy(*by).orderBy("_pos", "_sub")
+    whole, past = Window.partitionBy(*by), g.rowsBetween(Window.unboundedPreceding, -1)
+    in_range = Window.partitionBy(*by, "_pos")
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(past), F.lit(0)))
+    out = [F.col("_before"), F.sum("_n").over(whole).alias("group_size"),
+           F.min("_before").over(in_range).alias("_range_before")]
+    if "dense_rank" in outputs:
+        cells = cells.withColumn("_new", F.when(F.col("_spans") & (F.row_number().over(in_range.orderBy("_sub")) > 1),
+                                                F.lit(0)).otherwise(F.col("_values")))
+        out += [F.coalesce(F.sum("_new").over(past), F.lit(0)).alias("_values_before"), F.col("_new")]
+    out += [F.lag(f"_last_{c}").over(g).alias(f"_edge_prev_{c}") for c in lag]
+    out += [F.lead(f"_first_{c}").over(g).alias(f"_edge_next_{c}") for c in lead]
+    j = _attach(inside, cells.select(*_keyed(cell), *out), cell)
+
+    made = {}
+    if "row_number" in outputs:
+        made["row_number"] = (F.col("_before") + (F.col("_cum") if weight else F.col("_rn"))).cast("long" if weight else "int")
+    if "rank" in outputs:
+        made["rank"] = F.when(spans, F.col("_range_before") + 1).otherwise(F.col("_before") + F.col("_rk")).cast("int")
+    if "dense_rank" in outputs:
+        made["dense_rank"] = F.when(spans, F.col("_values_before") + F.col("_new")).otherwise(
+            F.col("_values_before") + F.col("_dr")).cast("int")
+    if "group_size" in outputs:
+        made["group_size"] = F.col("group_size")
+    first_row = F.col("_rn") == 1
+    made |= {f"prev_{c}": F.when(first_row, F.col(f"_edge_prev_{c}")).otherwise(F.col(f"_in_prev_{c}")) for c in lag}
+    if lead:
+        count = F.count(F.lit(1)).over(Window.partitionBy(*cell))
+        made |= {f"next_{c}": F.when(F.col("_rn") == count, F.col(f"_edge_next_{c}")).otherwise(F.col(f"_in_next_{c}"))
+                 for c in lead}
+    return j.select(*df.columns, *[c.alias(n) for n, c in made.items()])
 
 
 def ntile_from_rank(rn: str, size: str, k: int):

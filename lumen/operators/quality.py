@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumen.operators.aggregates import approx_quantiles, exact_quantiles
@@ -42,25 +42,22 @@ def mean_vs_median(df: DataFrame, value: str, exact: bool = True) -> DataFrame:
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first row under ``order`` (deterministic).
 
-    Planned as ``min_by(row, order)`` per key — a partial aggregate — so a
-    key repeated across a third of the table is reduced in every task before
-    the shuffle, and never sorted in one task.
+    The rows are brought together by key once and the first of each key is
+    kept by ``row_number``; Spark limits each task's groups before the sort.
     """
-    others = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+    first = Window.partitionBy(*keys).orderBy(*order)
+    return df.repartition(*keys).withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
 
 def dedup_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows before and after de-duplication on ``keys``, one row.
 
-    The distinct count is computed as a grouped aggregate then counted
+    One pass: the rows are counted by key, then counts and keys are summed
     (NULL-keyed rows count as a key, as ``dropDuplicates`` keeps them).
     """
-    before = df.agg(F.count(F.lit(1)).alias("rows_before"))
-    after = df.groupBy(*keys).agg(F.lit(1).alias("_one")).agg(F.count(F.lit(1)).alias("rows_after"))
-    return attach_scalars(before, after).withColumn(
-        "duplicates_removed", F.col("rows_before") - F.col("rows_after"))
+    by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return (by_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
+            .withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after")))
 
 
 def impute_median(df: DataFrame, value: str, median_of: DataFrame | None = None,

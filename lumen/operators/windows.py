@@ -3,7 +3,7 @@
 Two execution shapes:
 
 * raw fact rows ranked inside a few large groups (carriers, cuts) go through
-  ``rank_within`` — a distributed sort — so no group is funnelled into one task;
+  ``rank_within``, which cuts groups into ranges, so none is funnelled into one task;
 * top-n per group keeps Spark's window form: Catalyst inserts a partial
   ``WindowGroupLimit`` before the shuffle, so each task ships at most n rows
   per group whatever the skew;
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumen.functions.expressions import pct
-from lumen.operators.joins import bounded_broadcast, compressed_if_small
 from lumen.operators.ordered import ntile_from_rank, rank_within
 
 
@@ -39,146 +38,29 @@ def rankings(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]]
     return r.withColumnsRenamed({"row_number": rn, "rank": rk, "dense_rank": dr})
 
 
-# Compressed (group, value) rows up to which RANK / DENSE_RANK are computed on
-# the compressed table and broadcast back.
-COMPRESSED_MAX_ROWS = 1_000_000
-
-
 def value_ranks(df: DataFrame, by: Sequence[str], value: str, ascending: bool,
                 tiebreak: Sequence[str], kinds=("rank", "dense_rank")) -> DataFrame:
-    """RANK / DENSE_RANK per group.
-
-    Both depend only on (group, value), so they are computed on the
-    compressed table (group, value, count) — a partial aggregate — written
-    once to the shared checkpoint folder and size-checked.  Within the bound
-    the ranks are a window over the compressed rows, broadcast and joined back
-    NULL-safely: the raw rows are never shuffled.  Beyond it the distributed
-    sort of ``rank_within`` runs on the raw rows.
-    """
-    by = list(by)
-    comp = compressed_if_small(df, (*by, value), COMPRESSED_MAX_ROWS)
-    if comp is None:
-        return rank_within(df, by, [(value, ascending)], tiebreak, outputs=kinds)
-    o = F.col(value).asc() if ascending else F.col(value).desc()
-    w = Window.partitionBy(*by).orderBy(o)
-    cols = [F.col(k).alias(f"_k_{k}") for k in (*by, value)]
-    if "rank" in kinds:
-        before = F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, -1))
-        cols.append((F.coalesce(before, F.lit(0)) + 1).cast("int").alias("rank"))
-    if "dense_rank" in kinds:
-        cols.append(F.dense_rank().over(w).alias("dense_rank"))
-    ranks = F.broadcast(comp.select(*cols))
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in (*by, value)]
-    return df.join(ranks, cond, "inner").drop(*[f"_k_{k}" for k in (*by, value)])
-
-
-# A (group, value) pair may hold at most this many rows, or a quarter of an
-# even task share if that is larger, for the peer-window path.
-PEER_FLOOR_ROWS = 100_000
-
-
-def _peer_table(df: DataFrame, by: Sequence[str], value: str) -> DataFrame | None:
-    """The compressed (group, value, count) table, written once, if it passes
-    the checks of the peer-window path (else None)."""
-    spark = df.sparkSession
-    comp = compressed_if_small(df, (*by, value), COMPRESSED_MAX_ROWS)
-    if comp is None:
-        return None
-    st = comp.agg(F.max("_w").alias("mx"), F.sum("_w").alias("tot")).first()
-    share = (st["tot"] or 0) / max(1, spark.sparkContext.defaultParallelism)
-    if (st["mx"] or 0) > max(PEER_FLOOR_ROWS, share / 4):
-        return None
-    return comp
+    """RANK / DENSE_RANK per group, skew-safe."""
+    return rank_within(df, by, [(value, ascending)], tiebreak, outputs=kinds)
 
 
 def row_numbers(df: DataFrame, by: Sequence[str], value: str, ascending: bool,
                 tiebreak: Sequence[str], outputs=("row_number",)) -> DataFrame:
-    """ROW_NUMBER (and group size) per group under (value, tiebreak) order.
-
-    ROW_NUMBER = rows of the group before the row's value (a running sum over
-    the compressed (group, value, count) table, broadcast back) + the row's
-    position among its peers (a window on the fine key (group, value)).  Two
-    checks on the written compressed table guard this path: it must be small
-    enough to broadcast, and no (group, value) pair may exceed a quarter of
-    an even task share — so neither a hot group (split over its values) nor
-    a hot value funnels into one task.  Otherwise the distributed sort of
-    ``rank_within`` runs.
-    """
-    by = list(by)
-    comp = _peer_table(df, by, value)
-    if comp is None:
-        return rank_within(df, by, [(value, ascending)], tiebreak, outputs=outputs)
-    o = F.col(value).asc() if ascending else F.col(value).desc()
-    w = Window.partitionBy(*by).orderBy(o)
-    keys = (*by, value)
-    ranks = comp.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.coalesce(F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("group_size"))
-    peers = Window.partitionBy(*keys).orderBy(*[F.col(t) for t in tiebreak])
-    rows = df.withColumn("_pos", F.row_number().over(peers))
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    out = rows.join(F.broadcast(ranks), cond, "inner").withColumn(
-        "row_number", (F.col("_before") + F.col("_pos")).cast("int"))
-    drop = [f"_k_{k}" for k in keys] + ["_before", "_pos"]
-    if "group_size" not in outputs:
-        drop.append("group_size")
-    return out.drop(*drop)
+    """ROW_NUMBER (and group size) per group under (value, tiebreak) order, skew-safe."""
+    return rank_within(df, by, [(value, ascending)], tiebreak, outputs=outputs)
 
 
 def ntile(df: DataFrame, k: int, by: Sequence[str], order: Sequence[tuple[str, bool]],
           tiebreak: Sequence[str], name: str = "ntile") -> DataFrame:
     """NTILE(k) per group (first n % k buckets one row larger), skew-safe."""
-    if len(order) == 1:
-        r = row_numbers(df, by, order[0][0], order[0][1], tiebreak, outputs=("row_number", "group_size"))
-    else:
-        r = rank_within(df, by, order, tiebreak, outputs=("row_number", "group_size"))
-    return r.withColumn(name, ntile_from_rank("row_number", "group_size", k)).drop(
-        "row_number", "group_size")
+    r = rank_within(df, by, order, tiebreak, outputs=("row_number", "group_size"))
+    return r.withColumn(name, ntile_from_rank("row_number", "group_size", k)).drop("row_number", "group_size")
 
 
 def lag_lead(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
              tiebreak: Sequence[str], lag: Sequence[str] = (), lead: Sequence[str] = ()) -> DataFrame:
-    """Previous / next value (offset 1) within the group, as prev_<c> / next_<c>.
-
-    With one order column and a compressed (group, value) table that passes
-    the peer checks: LAG/LEAD inside each (group, value) peer window, and at
-    a peer's first/last row the last/first row of the neighbouring peer (a
-    per-peer table of the compressed size, shifted with a window over the
-    group and broadcast back).  Otherwise the distributed sort.
-    """
-    by = list(by)
-    comp = _peer_table(df, by, order[0][0]) if len(order) == 1 else None
-    if comp is None:
-        return rank_within(df, by, order, tiebreak, outputs=(), lag=lag, lead=lead)
-    value, ascending = order[0]
-    keys = (*by, value)
-    tb = [F.col(t) for t in tiebreak]
-    peer = Window.partitionBy(*keys).orderBy(*tb)
-    whole = peer.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cols = [F.row_number().over(peer).alias("_pos"), F.count(F.lit(1)).over(whole).alias("_cnt")]
-    for c in lag:
-        cols += [F.lag(c, 1).over(peer).alias(f"_in_prev_{c}"), F.last(c).over(whole).alias(f"_last_{c}")]
-    for c in lead:
-        cols += [F.lead(c, 1).over(peer).alias(f"_in_next_{c}"), F.first(c).over(whole).alias(f"_first_{c}")]
-    rows = df.select("*", *cols)
-    # one row per peer: its last / first values (same partitioning: no new shuffle)
-    ends = rows.where(F.col("_pos") == 1).select(
-        *keys, *[F.col(f"_last_{c}") for c in lag], *[F.col(f"_first_{c}") for c in lead])
-    o = F.col(value).asc() if ascending else F.col(value).desc()
-    gw = Window.partitionBy(*by).orderBy(o)
-    ends = ends.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                       *[F.lag(f"_last_{c}", 1).over(gw).alias(f"_pp_{c}") for c in lag],
-                       *[F.lead(f"_first_{c}", 1).over(gw).alias(f"_np_{c}") for c in lead])
-    # bounded by the checked compressed size
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    j = rows.join(F.broadcast(ends), cond, "inner")
-    out = j.select(*df.columns,
-                   *[F.when(F.col("_pos") == 1, F.col(f"_pp_{c}")).otherwise(F.col(f"_in_prev_{c}"))
-                     .alias(f"prev_{c}") for c in lag],
-                   *[F.when(F.col("_pos") == F.col("_cnt"), F.col(f"_np_{c}")).otherwise(F.col(f"_in_next_{c}"))
-                     .alias(f"next_{c}") for c in lead])
-    return out
+    """Previous / next value (offset 1) within the group, as prev_<c> / next_<c>, skew-safe."""
+    return rank_within(df, by, order, tiebreak, outputs=(), lag=lag, lead=lead)
 
 
 def top_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
@@ -192,15 +74,15 @@ def group_mean_beside(df: DataFrame, by: Sequence[str], value: str, name: str,
                       round_to: int | None = 2) -> DataFrame:
     """``AVG(value) OVER (PARTITION BY by)`` beside every row.
 
-    Planned as a partial/final aggregate joined back on the keys: the group
-    table is broadcast after a size check, so no group is sorted in one task.
+    Planned as a partial/final aggregate joined back on the keys, so no group
+    is sorted in one task; Spark broadcasts the group table if it is small.
     Rows whose key is NULL get the NULL group's mean, as the window would.
     """
     keys = list(by)
     means = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.avg(value).alias(name))
     if round_to is not None:
         means = means.withColumn(name, F.round(name, round_to))
-    return _join_back(df, join_hint(means, df, keys), keys, [name])
+    return _join_back(df, means, keys, [name])
 
 
 def _join_back(df: DataFrame, per_group: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -209,12 +91,6 @@ def _join_back(df: DataFrame, per_group: DataFrame, keys: Sequence[str], cols: S
     return df.join(per_group, cond, "left").select(*df.columns, *cols)
 
 
-def join_hint(dim: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A per-group aggregate of ``source``, written once; broadcast if its
-    count is within the bound, else joined by a shuffle (from the files)."""
-    return bounded_broadcast(dim, materialize=True)
-
-
 def first_last_beside(df: DataFrame, by: Sequence[str], value: str, order: Sequence[tuple[str, bool]],
                       tiebreak: Sequence[str], first_name: str, last_name: str) -> DataFrame:
     """FIRST_VALUE / LAST_VALUE over the whole ordered group, beside each row.
@@ -222,17 +98,24 @@ def first_last_beside(df: DataFrame, by: Sequence[str], value: str, order: Seque
     Equal to ``min_by`` / ``max_by`` on (order, tiebreak) per group — a partial
     aggregate — joined back on the group keys.
     """
-    # a descending key is turned ascending by negation inside the sort struct,
-    # which needs a numeric column
+    # A descending key is turned ascending by negation inside the sort struct,
+    # which needs a numeric column; NULLs then go last and NaN first, as DESC has them.
     parts = []
     for c, asc in order:
-        if not asc and not isinstance(df.schema[c].dataType, T.NumericType):
+        kind = df.schema[c].dataType
+        if asc:
+            parts.append(F.col(c))
+        elif isinstance(kind, (T.DoubleType, T.FloatType)):
+            parts += [F.col(c).isNull().alias(f"n_{c}"), (~F.isnan(c)).alias(f"f_{c}"), (-F.col(c)).alias(f"d_{c}")]
+        elif isinstance(kind, T.NumericType):
+            wide = F.col(c) if isinstance(kind, T.DecimalType) else F.col(c).cast("decimal(20,0)")
+            parts += [F.col(c).isNull().alias(f"n_{c}"), (-wide).alias(f"d_{c}")]
+        else:
             raise ValueError(f"first_last_beside: descending order needs a numeric column, got {c}")
-        parts.append(F.col(c) if asc else -F.col(c))
     key = F.struct(*parts, *[F.col(t) for t in tiebreak])
     ends = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in by]).agg(
         F.min_by(value, key).alias(first_name), F.max_by(value, key).alias(last_name))
-    return _join_back(df, join_hint(ends, df, by), by, [first_name, last_name])
+    return _join_back(df, ends, by, [first_name, last_name])
 
 
 def running_total(series: DataFrame, value: str, order: Sequence[str], by: Sequence[str] = (),

@@ -220,17 +220,26 @@ def scatter_binned(spark, sf):
        "hb AS (SELECT CAST(CASE WHEN w = 0 THEN 0 ELSE least(floor((x - lo) / w), 39) END AS INTEGER) AS bin "
        "FROM d, st), "
        "bx AS (SELECT carrier AS g, arr_delay AS v FROM trips WHERE arr_delay IS NOT NULL AND carrier IN "
-       "(SELECT carrier FROM top5)), bq AS (SELECT g, quantile_cont(v, 0.5) AS med FROM bx GROUP BY g) "
+       "(SELECT carrier FROM top5)), bq AS (SELECT g, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med, "
+       "quantile_cont(v, 0.75) AS q3 FROM bx GROUP BY g), "
+       "bw AS (SELECT bx.g, any_value(q1) AS q1, any_value(med) AS med, any_value(q3) AS q3, "
+       "min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) THEN v END) AS lo, "
+       "max(CASE WHEN v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) THEN v END) AS hi, "
+       "count(CASE WHEN v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1) THEN 1 END) AS outs "
+       "FROM bx JOIN bq ON bx.g = bq.g GROUP BY bx.g) "
        "SELECT 'flights_per_carrier' AS panel, carrier AS label, CAST(n AS DOUBLE) AS value FROM carriers "
        "UNION ALL SELECT 'mean_dep_delay_by_month', CAST(month AS VARCHAR), round(avg(dep_delay), 6) FROM trips "
        "WHERE month IS NOT NULL GROUP BY month "
        "UNION ALL SELECT 'dep_delay_histogram', CAST(bin AS VARCHAR), CAST(count(*) AS DOUBLE) FROM hb GROUP BY bin "
-       "UNION ALL SELECT 'arr_delay_median_top5', g, round(med, 6) FROM bq")
+       "UNION ALL SELECT 'arr_delay_q1_top5', g, round(q1, 6) FROM bw "
+       "UNION ALL SELECT 'arr_delay_median_top5', g, round(med, 6) FROM bw "
+       "UNION ALL SELECT 'arr_delay_q3_top5', g, round(q3, 6) FROM bw "
+       "UNION ALL SELECT 'arr_delay_whisker_low_top5', g, CAST(lo AS DOUBLE) FROM bw "
+       "UNION ALL SELECT 'arr_delay_whisker_high_top5', g, CAST(hi AS DOUBLE) FROM bw "
+       "UNION ALL SELECT 'arr_delay_outliers_top5', g, CAST(outs AS DOUBLE) FROM bw")
 def dashboard_panels(spark, sf):
     """The four dashboard panels from one fact, tagged and unioned (tidy long form)."""
     from lumen.operators import aggregates as A
-    from lumen.operators.aggregates import exact_quantiles
-    from lumen.operators.joins import keep_top_k
     t = R.trips(spark, sf)
     p1 = A.value_counts(t, "carrier", "n").select(
         F.lit("flights_per_carrier").alias("panel"), F.col("carrier").alias("label"),
@@ -241,10 +250,11 @@ def dashboard_panels(spark, sf):
     h = C.histogram(t, "dep_delay", 40, lo=-60, hi=120).where(F.col("count") > 0)
     p3 = h.select(F.lit("dep_delay_histogram").alias("panel"), F.col("bin").cast("string").alias("label"),
                   F.col("count").cast("double").alias("value"))
-    top = keep_top_k(t.where(F.col("arr_delay").isNotNull()), "carrier", 5)
-    q = exact_quantiles(top, "arr_delay", {"med": 0.5}, by=["carrier"])
-    p4 = q.select(F.lit("arr_delay_median_top5").alias("panel"), F.col("carrier").alias("label"),
-                  F.round("med", 6).alias("value"))
+    box = C.box_stats_topk(t.where(F.col("arr_delay").isNotNull()), "arr_delay", "carrier", 5)
+    names = ("q1", "median", "q3", "whisker_low", "whisker_high", "outliers")
+    p4 = box.select("carrier", F.explode(F.array(*[
+        F.struct(F.lit(f"arr_delay_{n}_top5").alias("panel"), F.round(F.col(n).cast("double"), 6).alias("value"))
+        for n in names])).alias("p")).select("p.panel", F.col("carrier").alias("label"), "p.value")
     return p1.unionByName(p2).unionByName(p3).unionByName(p4)
 
 

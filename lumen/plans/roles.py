@@ -27,10 +27,9 @@ EVENT_VALUE_NULL_MOD = 37
 def trips(spark: SparkSession, sf_dir: str, with_orders: bool = True) -> DataFrame:
     """Flights role: one row per line item.
 
-    ``with_orders=False`` skips the lineitem ⋈ orders join when a query needs
-    no order column (carrier, arr_delay).  TPC-H keys are referentially
-    complete, so the inner join drops no line item and both forms have the
-    same rows.
+    ``with_orders=False`` is for queries that need no order column (carrier,
+    arr_delay): the join with orders becomes a semi-join on its key, so a line
+    item without an order is left out here as well.
     """
     li = load_table(spark, sf_dir, "lineitem")
     ship = as_date("l_shipdate")
@@ -49,7 +48,8 @@ def trips(spark: SparkSession, sf_dir: str, with_orders: bool = True) -> DataFra
         F.col("l_extendedprice").alias("fare"),
     ]
     if not with_orders:
-        return li.select(*cols)
+        keys = load_table(spark, sf_dir, "orders").select("o_orderkey")
+        return li.join(keys, li["l_orderkey"] == keys["o_orderkey"], "left_semi").select(*cols)
     od = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     # Both sides are fact-sized: a shuffle (sort-merge) join on the order key,
     # which is unique in orders, so no key is hot.

@@ -1,13 +1,13 @@
 """Session construction and the shared scratch location.
 
 On a cluster the session is created by the platform and ``spark.checkpoint.dir``
-names a shared folder; ``scratch_dir`` reads it from the session and only falls
-back to a fresh local folder when it is unset (local tests and benches).
+names a shared folder; ``scratch_dir`` reads it from the session.  Only a local
+master may leave it unset (tests, benches) and then gets a fresh local folder.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -39,21 +39,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a local one only if unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="lumen-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    """The session's shared checkpoint folder.  Raises on a cluster without one:
+    a machine-local folder would hide each executor's files from the others."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[[^]]*\])?$", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master})")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="lumen-scratch-")
+    return _LOCAL[app]
 
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
-    """A new, unique folder under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"lumen-{tag}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder under the application's scratch in the checkpoint folder."""
+    return f"{_scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/lumen-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application's operators wrote in the checkpoint folder.
+    Results read from it must have been consumed or saved."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

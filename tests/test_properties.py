@@ -1,5 +1,5 @@
 """Property test: the skew-safe ordered operators equal Spark's own windows on
-random frames (random groups, ties, NULLs, partition counts, batch sizes)."""
+random frames (random groups, ties, NULLs, range counts)."""
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -23,28 +23,24 @@ def _sorted(df, cols):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=rows_st, parts=st.integers(1, 9), batch=st.sampled_from([3, 10000]), asc=st.booleans())
-def test_rank_within_equals_windows(spark, rows, parts, batch, asc):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
-    try:
-        df = _df(spark, rows)
-        o = F.col("v").asc() if asc else F.col("v").desc()
-        w = Window.partitionBy("g").orderBy(o, "id")
-        wr = Window.partitionBy("g").orderBy(o)
-        ref = df.select("g", "v", "id", F.row_number().over(w).alias("row_number"),
-                        F.rank().over(wr).alias("rank"), F.dense_rank().over(wr).alias("dense_rank"),
-                        F.lag("v").over(w).alias("prev_v"), F.lead("id").over(w).alias("next_id"))
-        got = rank_within(df, ["g"], [("v", asc)], ["id"], outputs=("row_number", "rank", "dense_rank"),
-                          lag=["v"], lead=["id"], num_partitions=parts)
-        cols = ["g", "v", "id", "row_number", "rank", "dense_rank", "prev_v", "next_id"]
-        assert _sorted(got, cols) == _sorted(ref, cols)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+@given(rows=rows_st, ranges=st.integers(2, 9), asc=st.booleans())
+def test_rank_within_equals_windows(spark, rows, ranges, asc):
+    df = _df(spark, rows)
+    o = F.col("v").asc() if asc else F.col("v").desc()
+    w = Window.partitionBy("g").orderBy(o, "id")
+    wr = Window.partitionBy("g").orderBy(o)
+    ref = df.select("g", "v", "id", F.row_number().over(w).alias("row_number"),
+                    F.rank().over(wr).alias("rank"), F.dense_rank().over(wr).alias("dense_rank"),
+                    F.lag("v").over(w).alias("prev_v"), F.lead("id").over(w).alias("next_id"))
+    got = rank_within(df, ["g"], [("v", asc)], ["id"], outputs=("row_number", "rank", "dense_rank"),
+                      lag=["v"], lead=["id"], ranges=ranges)
+    cols = ["g", "v", "id", "row_number", "rank", "dense_rank", "prev_v", "next_id"]
+    assert _sorted(got, cols) == _sorted(ref, cols)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=rows_st, asc=st.booleans())
-def test_peer_paths_equal_windows(spark, rows, asc):
+def test_row_numbers_and_lag_lead_equal_windows(spark, rows, asc):
     df = _df(spark, rows)
     o = F.col("v").asc() if asc else F.col("v").desc()
     w = Window.partitionBy("g").orderBy(o, "id")

@@ -121,3 +121,29 @@ def test_first_last_desc_numeric_and_guard(spark):
     assert fl[1] == (1, 2) and fl[3] == (3, 3)
     with pytest.raises(ValueError):
         W.first_last_beside(df, ["g"], "id", [("s", False)], ["id"], "f", "l")
+
+
+def test_first_last_descending_puts_nulls_last_and_nan_first(spark):
+    from lumen.operators import windows as W
+    df = spark.createDataFrame([("a", 5, 5.0, 1), ("a", None, None, 2), ("a", 9, 9.0, 3), ("b", -2**31, float("nan"), 4),
+                                ("b", 0, 1.0, 5)], "g string, v int, x double, id int")
+    for col, want in (("v", {"a": (3, 2), "b": (5, 4)}), ("x", {"a": (3, 2), "b": (4, 5)})):
+        got = W.first_last_beside(df, ["g"], "id", [(col, False)], ["id"], "first", "last")
+        assert {r["g"]: (r["first"], r["last"]) for r in got.collect()} == want
+
+
+def test_box_stats_with_one_bound(spark):
+    from lumen.operators import chartprep as C
+    df = spark.createDataFrame([("a", i) for i in range(10)], "g string, v int")
+    assert C.box_stats(df, "v", "g", lo=5).first()["n"] == 5
+    assert C.box_stats(df, "v", "g", hi=2).first()["n"] == 3
+
+
+def test_cluster_without_shared_folder_raises():
+    import types
+
+    from lumen.session import checkpoint_dir
+    context = types.SimpleNamespace(master="spark://host:7077", applicationId="x", getCheckpointDir=lambda: None)
+    session = types.SimpleNamespace(sparkContext=context, conf=types.SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(session)
