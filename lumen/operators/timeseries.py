@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumen.functions.expressions import pct_change
-from lumen.operators.joins import bounded_broadcast
 
 
 def period_change(series: DataFrame, period: str, measures: Sequence[str],
@@ -40,21 +39,20 @@ def deviation_from_group(df: DataFrame, by: Sequence[str], value: str, keep: Seq
     """Each row's difference from its group mean, worst first.
 
     The group means are a partial/final aggregate (a hot group is
-    pre-aggregated per task), materialised and broadcast after a size check,
-    then joined back: no full-table sort by group.  ``vs_avg`` is taken from
+    pre-aggregated per task) joined back: no full-table sort by group.  ``vs_avg`` is taken from
     the unrounded mean, then rounded.  ``top`` keeps the k largest deviations
     (a top-k report: ``TakeOrderedAndProject``); ``only_above`` keeps only
     rows above their group mean.
     """
     d = df.where(F.col(value).isNotNull())
     means = d.groupBy(*by).agg(F.avg(value).alias("_mean"))
-    j = d.join(bounded_broadcast(means, materialize=True), list(by), "inner")
+    j = d.join(means, list(by), "inner")
+    if only_above:
+        j = j.where(F.col(value) > F.col("_mean"))
     out = j.select(*keep,
                    F.round("_mean", round_to).alias(avg_name),
                    F.round(F.col(value) - F.col("_mean"), round_to).alias(dev_name),
                    *[F.col(t).alias(f"_tb_{t}") for t in tiebreak if t not in keep])
-    if only_above:
-        out = out.where(F.col(dev_name) > 0)
     order = [F.col(dev_name).desc()] + [F.col(t if t in keep else f"_tb_{t}") for t in tiebreak]
     out = out.orderBy(*order)
     if top is not None:
