@@ -63,7 +63,7 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
 def show_tables(spark: SparkSession, pattern: str | None = None) -> DataFrame:
     """``SHOW TABLES`` as a DataFrame (namespace, tableName, isTemporary)."""
     if pattern:
-        return spark.sql(f"SHOW TABLES LIKE '{pattern}'")
+        return spark.sql("SHOW TABLES LIKE :pattern", args={"pattern": pattern})
     return spark.sql("SHOW TABLES")
 
 
