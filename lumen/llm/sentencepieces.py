@@ -5,12 +5,13 @@ The model's protobuf file is parsed here (fields named below) and rebuilt as a
 metaspace marker, unigram scores or the merge order that BPE scores imply, byte
 fallback and the decoder.  Texts are encoded in batches, multithreaded within a
 task (``threads``; 1 thread a task unless the cluster gives tasks more cores).
+Where no piece has the marker after another character, no merge crosses a word's
+start; such models encode a text as parts of about ``PART_CHARS`` cut there, with
+the same ids and shorter merge queues.
 
-Every row is encoded, decoded and compared with its text (``round_trip``).
-``parity`` says whether the SentencePiece library itself gives the same ids and
-decodes them to the same text; it is checked where the text's hash is 0 modulo
-``parity_every`` (1: every row) and null elsewhere, because running both
-libraries over everything would double the work.
+Every row is encoded, decoded and compared with its text (``round_trip``), and
+``parity`` says for every row whether the SentencePiece library itself gives the
+same ids for the whole text and decodes them to the same text.
 
 Supported: models with the identity normaliser, BPE or unigram.  Any other
 normaliser raises ``ValueError`` instead of giving different ids.  The path of
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -38,8 +40,9 @@ from pyspark.sql import functions as F
 from lumen.llm.common import schema_of, texts_of
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-PARITY_EVERY = 16
+PART_CHARS = 1500
 MARK = "▁"
+CUT = re.compile(f"[^{MARK}](?={MARK})")
 # Fixed values of the model file format: field numbers and piece types.
 MODEL_PIECES, MODEL_TRAINER, MODEL_NORMALIZER = 1, 2, 3
 PIECE_TEXT, PIECE_SCORE, PIECE_TYPE = 1, 2, 3
@@ -112,11 +115,12 @@ class Model:
         unknown = next(i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN)
         if self.kind == BPE:
             core = models.BPE({p[0]: i for i, p in enumerate(self.pieces)}, self.merges(), fuse_unk=True,
-                              unk_token=self.pieces[unknown][0], byte_fallback=self.byte_fallback)
+                              unk_token=self.pieces[unknown][0], byte_fallback=self.byte_fallback,
+                              cache_capacity=0)  # texts and parts rarely repeat
         else:
             core = models.Unigram([(t, s) for t, s, _ in self.pieces], unknown, self.byte_fallback)
         out = Tokenizer(core)
-        steps = [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()] if self.remove_spaces else []
+        steps = [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Replace(Regex(r"\A | \z"), "")] if self.remove_spaces else []
         steps += [normalizers.Prepend(MARK)] if self.dummy_prefix else []
         out.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
         users = [AddedToken(t, normalized=False, special=False) for t, _, kind in self.pieces if kind == USER_DEFINED]
@@ -127,6 +131,59 @@ class Model:
                                          *([decoders.Strip(" ", 1, 0)] if self.dummy_prefix else [])])
         return out
 
+    def normalise(self, text: str) -> str:
+        """What the tokenizer's normaliser does, for a whole text."""
+        if self.remove_spaces:
+            text = re.sub(" {2,}", " ", text).strip(" ")
+        return (MARK if self.dummy_prefix and text else "") + text.replace(" ", MARK)
+
+    def divisible(self) -> bool:
+        """Whether a text may be cut before a marker that follows another character."""
+        covered = self.byte_fallback and sum(kind == BYTE for _, _, kind in self.pieces) == 256  # no unknowns to fuse
+        return self.kind == BPE and covered and not any(
+            kind == USER_DEFINED or (kind in (NORMAL, UNUSED) and MARK in t.lstrip(MARK)) for t, _, kind in self.pieces)
+
+
+class Backend:
+    """Batched encoding and decoding with the model's tokenizer."""
+
+    def __init__(self, model: Model):
+        from tokenizers import decoders
+        self.model, self.tokenizer, self.divisible = model, model.tokenizer(), model.divisible()
+        if self.divisible:  # whole texts are normalised and decoded marks replaced here, not part by part
+            self.tokenizer.normalizer = None
+            self.tokenizer.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse()])
+
+    @staticmethod
+    def parts(text: str) -> list[str]:
+        """A normalised text cut before markers, at the first place after every ``PART_CHARS``."""
+        out, at = [], 0
+        while len(text) - at > PART_CHARS and (m := CUT.search(text, at + PART_CHARS)):
+            out.append(text[at:m.end()])
+            at = m.end()
+        return [*out, text[at:]] if text else []
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        if not self.divisible:
+            return [e.ids if t else [] for t, e in
+                    zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
+        parts = [self.parts(self.model.normalise(t)) for t in texts]
+        found = iter(self.tokenizer.encode_batch_fast([x for p in parts for x in p], add_special_tokens=False))
+        out = []
+        for p in parts:
+            ids: list[int] = []
+            for _ in p:
+                ids += next(found).ids
+            out.append(ids)
+        return out
+
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        texts = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        if not self.divisible:
+            return texts
+        texts = [t.replace(MARK, " ") for t in texts]
+        return [t[1:] if t.startswith(" ") else t for t in texts] if self.model.dummy_prefix else texts
+
 
 _LOADED: dict = {}
 
@@ -137,7 +194,7 @@ def _backends(path: str | None, data: bytes | None):
     if key not in _LOADED:
         import sentencepiece
         raw = data if data is not None else open(path, "rb").read()
-        _LOADED[key] = (Model(raw).tokenizer(), sentencepiece.SentencePieceProcessor(model_proto=raw))
+        _LOADED[key] = (Backend(Model(raw)), sentencepiece.SentencePieceProcessor(model_proto=raw))
     return _LOADED[key]
 
 
@@ -145,7 +202,7 @@ OUT = "n_tokens int, ids array<int>, ids_crc long, decoded_n_chars int, round_tr
 
 
 def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str | None = MODEL_PATH,
-                  model_bytes: bytes | None = None, threads: int = 1, parity_every: int = PARITY_EVERY,
+                  model_bytes: bytes | None = None, threads: int = 1,
                   batch_chars: int = 500_000) -> DataFrame:
     """Per row: the id, the token ids and their count, a CRC of the ids, the length
     of the decoded text, whether it is the text again, and ``parity``."""
@@ -153,11 +210,9 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = schema_of(f"`{id_col}` {kind}, {OUT}")
 
     def batch(ids_in, part, own, reference, want):
-        ids = [e.ids if t else [] for t, e in zip(part, own.encode_batch_fast(part, add_special_tokens=False))]
-        back = own.decode_batch(ids, skip_special_tokens=False)
-        checked = [k for k, t in enumerate(part) if zlib.crc32(t.encode("utf-8")) % parity_every == 0]
-        same = dict(zip(checked, reference.encode([part[k] for k in checked])))
-        parity = [same[k] == i and reference.decode(i) == back[k] if k in same else None for k, i in enumerate(ids)]
+        ids = own.encode(part)
+        back = own.decode(ids)
+        parity = [same == i and reference.decode(i) == b for same, i, b in zip(reference.encode(part), ids, back)]
         arrays = [np.array(i, np.int32) for i in ids]
         sizes = np.array([a.size for a in arrays], np.int32)
         flat = np.concatenate([np.zeros(0, np.int32), *arrays])

@@ -49,7 +49,7 @@ def operators(labels, items):
         "quality": lambda d: quality.score(d, labels),
         "secrets": lambda d: secretscan.scan(d, secretscan.train(d)),
         "spanhash": lambda d: spanhash.fingerprint_beside_next(d),
-        "sentencepieces": lambda d: sentencepieces.encode_decode(d, parity_every=1),
+        "sentencepieces": lambda d: sentencepieces.encode_decode(d),
         "pseudonyms": lambda d: pseudonyms.pseudonymise(d, KEY),
         "rollup": rollup,
         "decontam": lambda d: decontam.contained_items(d, items),
@@ -121,7 +121,7 @@ def test_spanhash_defined_results(docs):
 
 
 def test_sentencepiece_defined_results(docs):
-    for r in sentencepieces.encode_decode(docs, parity_every=1).collect():
+    for r in sentencepieces.encode_decode(docs).collect():
         assert r["round_trip"] and r["parity"], r["doc_id"]
 
 

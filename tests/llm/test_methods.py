@@ -189,12 +189,16 @@ def test_extensions_equal_brute_force():
 
 
 def test_sentencepiece_parity(spark, docs):
-    rows = sentencepieces.encode_decode(docs, parity_every=1, threads=2).collect()
+    rows = sentencepieces.encode_decode(docs, threads=2).collect()
     assert rows and all(r["round_trip"] and r["parity"] for r in rows)
     odd = [" " * k + "word" + " " * (20 - k) + "x\n\n  y  " for k in range(20)] + ["▁a ▁", "a▁b", "<s> x </s>", "\r\n\t", "😀é"]
     own, reference = sentencepieces._backends(sentencepieces.MODEL_PATH, None)
-    ids = [e.ids for e in own.encode_batch(odd, add_special_tokens=False)]
-    assert ids == reference.encode(odd) and own.decode_batch(ids, skip_special_tokens=False) == reference.decode(ids)
+    odd += ["", " ", "▁" * 4000, "a" * 4000, "x ▁ " * 1500, ("word " * 299 + " ▁b") * 4, "é😀 " * 2000, "a  " * 1400 + "▁"]
+    ids = own.encode(odd)
+    assert ids == reference.encode(odd) and own.decode(ids) == [reference.decode(i) for i in ids]
+    assert own.divisible and len(own.parts(own.model.normalise(odd[-2]))) > 1
+    whole = own.model.tokenizer()  # uncut, with its own normaliser and decoder
+    assert [e.ids if t else [] for t, e in zip(odd, whole.encode_batch(odd, add_special_tokens=False))] == ids
 
 
 def test_unigram_models_are_rebuilt():
