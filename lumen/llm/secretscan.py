@@ -7,11 +7,10 @@ characters outside the base spans whose log-likelihood ratio reaches
 ``MIN_RATIO`` nats is a further span of kind ``markov``.
 
 Labelled samples: random strings are the values of base spans found in the
-training documents plus seeded random strings over the usual alphabets;
-ordinary identifiers are the other words of eight or more token characters of
-the training documents.  Training reads a bounded sample of about
-``TRAIN_ROWS`` documents (chosen by a hash of the text) and moves only
-character-pair counts; the scan reads every whole text.
+documents plus seeded random strings over the usual alphabets; ordinary
+identifiers are the other words of eight or more token characters.  Training
+counts the character pairs of every whole text and moves only these counts; the
+scan reads every whole text as well.
 
 Spans are code points with an exclusive end.  Defined results: null text is
 empty and has no span; documents without ordinary words train no model and get
@@ -25,6 +24,8 @@ import hashlib
 import random
 import re
 import string
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,7 +41,7 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 WORD = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-TRAIN_ROWS = 20_000
+CHUNK_CHARS = 2_000_000  # of words that are counted at once
 MIN_RATIO = 12.0
 CLASSES = 96  # printable ASCII and one class for the rest
 MASK = "[secret]"
@@ -58,6 +59,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _ends(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts of sorted spans and the largest end up to each of them."""
+    return [s for s, _, _ in spans], list(accumulate((e for _, _, e in spans), max))
+
+
 def _codes(token: str) -> np.ndarray:
     a = np.frombuffer(token.encode("latin-1", "replace"), np.uint8).astype(np.int64) - 33
     return np.where((a >= 0) & (a < CLASSES - 1), a, CLASSES - 1)
@@ -65,11 +71,10 @@ def _codes(token: str) -> np.ndarray:
 
 def _count(tokens: list[str]) -> np.ndarray:
     """Counts of character pairs (row: the character before)."""
-    out = np.zeros(CLASSES * CLASSES, np.int64)
-    for t in tokens:
-        c = _codes(t)
-        out += np.bincount(c[:-1] * CLASSES + c[1:], minlength=out.size)
-    return out
+    c = _codes("\n".join(tokens))  # the line break is in the last class, which no token has
+    a, b = c[:-1], c[1:]
+    ok = (a < CLASSES - 1) & (b < CLASSES - 1)
+    return np.bincount(a[ok] * CLASSES + b[ok], minlength=CLASSES * CLASSES)
 
 
 def random_samples(n: int = 2000, seed: int = 7) -> list[str]:
@@ -84,35 +89,43 @@ def labelled_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(label, pair, n): character-pair counts of the labelled samples of ``docs``
     (1: values of base spans, 0: the other words), summed over all documents."""
     def count(cols):
-        sums = {0: np.zeros(CLASSES * CLASSES, np.int64), 1: np.zeros(CLASSES * CLASSES, np.int64)}
+        sums = np.zeros((2, CLASSES * CLASSES), np.int64)
+        words: tuple[list[str], list[str]] = ([], [])
+        held = 0
+
+        def flush():
+            for label in (0, 1):
+                sums[label] += _count(words[label])
+                words[label].clear()
+
         for text in texts_of(cols["text"]):
-            spans = base_spans(text)
-            words = {0: [], 1: []}
-            for m in WORD.finditer(text):
-                inside = any(s <= m.start() < e for s, _, e in spans)
-                words[int(inside)].append(m.group().rpartition("=")[2] if inside else m.group())
-            for label, ws in words.items():
-                if ws := [w for w in ws if len(w) > 1]:
-                    joined = np.concatenate([np.append(_codes(w), CLASSES) for w in ws])
-                    a, b = joined[:-1], joined[1:]
-                    ok = (a < CLASSES) & (b < CLASSES)
-                    sums[label] += np.bincount(a[ok] * CLASSES + b[ok], minlength=CLASSES * CLASSES)
-        rows = [(k, p, s[p]) for k, s in sums.items() for p in np.flatnonzero(s).tolist()]
-        return {"label": [r[0] for r in rows], "pair": [r[1] for r in rows], "n": [int(r[2]) for r in rows]}
+            if spans := base_spans(text):
+                starts, ends = _ends(spans)
+                for m in WORD.finditer(text):
+                    k = bisect_right(starts, m.start())
+                    inside = k > 0 and ends[k - 1] > m.start()
+                    words[inside].append(m.group().rpartition("=")[2] if inside else m.group())
+            else:
+                words[0].extend(WORD.findall(text))
+            held += len(text)
+            if held > CHUNK_CHARS:
+                flush()
+                held = 0
+        flush()
+        rows = [(label, p, n) for label in (0, 1) for p, n in enumerate(sums[label].tolist()) if n]
+        return {"label": [r[0] for r in rows], "pair": [r[1] for r in rows], "n": [r[2] for r in rows]}
 
     pairs = arrow_map(docs.select(F.col(text_col).alias("text")), count, schema_of("label int, pair int, n long"))
     return pairs.groupBy("label", "pair").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS) -> np.ndarray:
+def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-likelihood ratio of every character pair (random over ordinary).
 
-    Trains on about ``rows`` documents; at most 2 x 96 x 96 counts reach the driver.
+    Trains on all documents; at most 2 x 96 x 96 counts reach the driver.
     """
-    share = min(1.0, rows / max(1, docs.count()))
-    part = docs.where(F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
     counts = np.zeros((2, CLASSES * CLASSES))
-    for r in labelled_pairs(part, text_col).collect():
+    for r in labelled_pairs(docs, text_col).collect():
         counts[r["label"], r["pair"]] = r["n"]
     if not counts[0].any():
         return np.zeros((CLASSES, CLASSES))
@@ -127,9 +140,11 @@ def train(docs: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS) -> np
 def scan_text(text: str, ratio: np.ndarray) -> list[tuple[int, int, int]]:
     """Base spans and ``markov`` spans of a text, by start, then kind."""
     spans = base_spans(text)
+    starts, ends = _ends(spans)
     extra = []
     for m in RUN.finditer(text):
-        if any(s < m.end() and m.start() < e for s, _, e in spans):
+        k = bisect_left(starts, m.end())
+        if k and ends[k - 1] > m.start():
             continue
         c = _codes(m.group())
         if ratio[c[:-1], c[1:]].sum() >= MIN_RATIO:

@@ -146,6 +146,17 @@ def test_secret_query_columns(spark, docs, texts):
         assert set(filter(None, joined.split(","))) <= set(r["spans"].split(","))
 
 
+def test_labelled_pairs_equal_brute_force(spark, docs, texts):
+    want = collections.Counter()
+    for text in texts.values():
+        spans = secretscan.base_spans(text or "")
+        for m in secretscan.WORD.finditer(text or ""):
+            inside = any(a <= m.start() < e for a, _, e in spans)
+            word = m.group().rpartition("=")[2] if inside else m.group()
+            want.update((int(inside), (ord(x) - 33) * secretscan.CLASSES + ord(y) - 33) for x, y in zip(word, word[1:]))
+    assert {(r["label"], r["pair"]): r["n"] for r in secretscan.labelled_pairs(docs).collect()} == want
+
+
 def test_markov_models_separate(spark):
     sf = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     ratio = secretscan.train(sf.where("doc_id % 2 = 0"))
