@@ -8,8 +8,9 @@ names above it) and text features (length, link share, punctuation, place).  A
 two-label chain (main text, other) scores blocks and neighbouring labels; it is
 trained by maximum likelihood and decoded by Viterbi over the whole page.
 
-Labelled pages for training: a bounded sample of about ``TRAIN_PAGES`` pages
-whose own article element names the main text, and ``MADE_PAGES`` pages that
+Labelled pages for training: a bounded sample of at most ``TRAIN_PAGES``
+different pages (the smallest hashes, so the same ones at every run) whose own
+article element names the main text, and ``MADE_PAGES`` pages that
 set the sample's paragraphs in other layouts (content divisions, sidebars,
 notices, adverts, forms, reader comments) with known labels.  Only the sample
 reaches the driver.
@@ -363,10 +364,11 @@ def training_set(sample: list[str], made: int = MADE_PAGES, seed: int = 11) -> l
 
 
 def train(pages: DataFrame, html_col: str = "html", rows: int = TRAIN_PAGES) -> Chain:
-    """The chain trained on labelled pages; at most about ``rows`` pages reach the driver."""
-    share = min(1.0, rows / max(1, pages.count()))
-    sample = pages.select(F.col(html_col).alias("html")).where("html IS NOT NULL").where(
-        F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).limit(4 * rows)
+    """The chain trained on labelled pages; at most ``rows`` pages reach the driver."""
+    share = min(1.0, 4 * rows / max(1, pages.count()))  # four times as many, as copies fall together
+    near = pages.select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("h")).where("html IS NOT NULL").where(
+        F.pmod("h", F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
+    sample = near.groupBy("h").agg(F.min("html").alias("html")).orderBy(F.pmod("h", F.lit(1 << 20)), "h").limit(rows)
     texts = sorted(r["html"] for r in sample.collect())
     return fit([(active(b), y) for b, y in training_set(texts)])
 
