@@ -18,8 +18,8 @@ number of functions (2.6e-6 for eight).
 Verification.  Candidates are joined back to their documents and the share of
 the item's shingles found there is counted exactly.
 
-Only DataFrame functions are used.  Item tables are broadcast after a count
-(rows of fixed width); larger ones are joined by shuffle.  Defined results: null
+Only DataFrame functions are used.  Item tables are broadcast after a count of
+their rows or shingles; larger ones are joined by shuffle.  Defined results: null
 or empty texts and items match nothing; rows with a null document id match
 nothing; repeated document rows give one row per (document, item) with the
 largest containment; extra columns are ignored.
@@ -35,6 +35,7 @@ from lumen.llm.common import hint_small, write_once
 WIDTH = 5
 THRESHOLD = 0.8
 EXACT_SIZE = 8
+BROADCAST_SHINGLES = 2_000_000  # of all items together: 16 MB of longs
 # Hash functions by size partition: 8 for 9-16 shingles, 12 for 17-32, 16 beyond.
 FUNCTIONS = ((16, 8), (32, 12), (None, 16))
 
@@ -103,8 +104,9 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     cands = (per_width(base, ["doc"]).select("doc", "width", F.explode("dsh").alias("sig"))
              .join(sigs, ["width", "sig"]).select("doc", "item", "width").distinct())
     cands = hint_small(write_once(cands, "candidates"))
-    # sizes and shingles of the items: at most a few dozen longs a row, counted before the broadcast
-    sets = hint_small(its.select(F.col("item"), "size", "sh"), 50_000)
+    sets = its.select("item", "size", "sh")
+    if (its.agg(F.sum("size")).first()[0] or 0) <= BROADCAST_SHINGLES:
+        sets = F.broadcast(sets)
     near = cands.join(base, "doc")
     shared = None
     for k in sorted(widths):
