@@ -10,8 +10,9 @@ the whole text's two hashes: equal texts have equal strings.
 Likeness of two fingerprints (0 to 1, 1 for equal texts) is the larger of
 * the share of the longer text covered by the longest common extension from the
   start and, beyond it, the one from the end;
-* the Jaccard share of the sampled 24-character spans (those whose hash is
-  0 mod 16, all spans of short texts), which also sees moved passages.
+* the Jaccard share of the 24-character spans, which also sees moved passages:
+  of those whose hash is 0 mod 16 if both texts are long, else of all spans of
+  both.
 
 ``fingerprint_beside_next`` walks documents in descending id.  Ids are cut into
 ranges at approximate quantiles, one range a partition; the first document of
@@ -40,6 +41,7 @@ from lumen.llm.common import schema_of
 PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 998244353)
 SPAN, SAMPLE = 24, 16
+SAMPLED_FROM = 40 * SAMPLE  # characters of the shorter text of a pair
 _POWERS: list[np.ndarray] = []
 
 
@@ -95,9 +97,9 @@ class Prefix:
             lo, hi = (mid, hi) if self.equal(i - mid, other, j - mid, mid) else (lo, mid - 1)
         return lo
 
-    def sample(self) -> np.ndarray:
-        """Sorted position-free hashes of the sampled spans."""
-        if not hasattr(self, "_sample"):
+    def _hashes(self) -> np.ndarray:
+        """Position-free hashes of all spans, in order."""
+        if not hasattr(self, "_all"):
             k = min(SPAN, self.n)
             at = np.arange(self.n - k + 1)
             norm = []
@@ -106,11 +108,21 @@ class Prefix:
                 raw = (h[k:] + p64 - h[:self.n - k + 1]) % p64
                 # B^-i instead of B^(n-i): the same for every text
                 norm.append(raw * _inverse(p, self.n)[at] % p64)
-            both = (norm[0] << np.uint64(31)) | norm[1]
-            if self.n >= 40 * SAMPLE:
-                mixed = both * np.uint64(0x9E3779B97F4A7C15)
-                both = both[(mixed >> np.uint64(40)) % np.uint64(SAMPLE) == 0]
-            self._sample = np.unique(both)
+            self._all = (norm[0] << np.uint64(31)) | norm[1]
+        return self._all
+
+    def spans(self) -> np.ndarray:
+        """Sorted distinct hashes of all spans."""
+        if not hasattr(self, "_spans"):
+            self._spans = np.unique(self._hashes())
+        return self._spans
+
+    def sample(self) -> np.ndarray:
+        """Those of ``spans`` that the hash filter keeps."""
+        if not hasattr(self, "_sample"):
+            both = self._hashes()
+            mixed = both * np.uint64(0x9E3779B97F4A7C15)
+            self._sample = np.unique(both[(mixed >> np.uint64(40)) % np.uint64(SAMPLE) == 0])
         return self._sample
 
 
@@ -135,7 +147,7 @@ def likeness(a: Prefix, b: Prefix) -> float:
     front = a.extension(0, b, 0)
     back = a.back_extension(a.n, b, b.n, shortest - front)
     ends = (front + back) / longest
-    x, y = a.sample(), b.sample()
+    x, y = (a.spans(), b.spans()) if shortest < SAMPLED_FROM else (a.sample(), b.sample())
     both = np.isin(x, y, assume_unique=True).sum()
     union = x.size + y.size - both
     return float(min(max(ends, both / union if union else 0.0), 1.0 - 1.0 / (longest + 1)))

@@ -199,6 +199,28 @@ def test_extensions_equal_brute_force():
             assert spanhash.likeness(a, b) < 1
 
 
+def test_likeness_around_the_sampling_length():
+    """Pairs on either side of it, with several edits, against the Jaccard share of all spans."""
+    rnd = random.Random(8)
+
+    def spans(t):
+        return {t[i:i + spanhash.SPAN] for i in range(len(t) - spanhash.SPAN + 1)}
+
+    for n, m in [(630, 650), (650, 630), (639, 640), (640, 639), (500, 700), (630, 630)]:
+        for _ in range(20):
+            words = "".join(rnd.choices("abcdefgh    ", k=n)).split(" ")
+            for at in (5, len(words) // 2, len(words) - 5):
+                words[at] += "x"
+            s = " ".join(words)[:n].ljust(n, "y")
+            words[2] += "q"
+            words[len(words) // 3] += "w"
+            words[-3] += "z"
+            t = (" ".join(words) + " " + "".join(rnd.choices("klmnop", k=m)))[:m]
+            want = len(spans(s) & spans(t)) / len(spans(s) | spans(t))
+            got = spanhash.likeness(spanhash.Prefix(s), spanhash.Prefix(t))
+            assert want > 0.5 and abs(got - want) < 1e-9, (n, m)
+
+
 def test_sentencepiece_parity(spark, docs):
     rows = sentencepieces.encode_decode(docs, threads=2).collect()
     assert rows and all(r["round_trip"] and r["parity"] for r in rows)
