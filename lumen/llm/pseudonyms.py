@@ -18,13 +18,21 @@ the key, and the pseudonym is again a valid value of the kind:
 
 A number that fails its check (Luhn digit, mod 97, calendar, octets) stays.
 
+Values beside other numbers.  An IBAN ends at its country's length (any length
+that passes for countries without one here), a +1 number after ten national
+digits, other phone numbers at the longest end with at most 13 that does not cut
+into a date, SSN or address.  Cards are sought after all other kinds, in runs of
+digit groups, at group borders: first the usual groupings, then others of up to
+``CARD_GROUPS`` groups (without groups of one or two digits if possible), then the
+longest start of what is left.
+
 The permutation of 0..N-1 is a balanced Feistel network of eight rounds over the
 next power of four with BLAKE2b round functions keyed by the secret and the
 kind, walked until the value is below N.
 
-Defined results: null text is empty; matches are leftmost and do not overlap;
-repeated rows give repeated results; an empty table gives an empty result; extra
-columns are ignored.
+Defined results: null text is empty; matches of one rule are leftmost and no two
+overlap; repeated rows give repeated results; an empty table gives an empty result;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +40,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,13 +52,23 @@ ROUNDS = 8
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2099, 12, 31)
 
 NUMERIC = re.compile(
-    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?\d{2,4}){3,8}(?![A-Za-z0-9]))"
+    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?\d){11,30})"
     r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)"
     r"|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d))"
     r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-    r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d))"
-    r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w-]))", re.A)
+    r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d))", re.A)
+PHONE = re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}", re.A)
+CARD_RUN = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,}", re.A)
+CARD_STOP = re.compile(r"[\w-]", re.A)
+GROUP = re.compile(r"\d+", re.A)
+CARD_SHAPES = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 1))  # and 13 to 19 digits in one
+CARD_GROUPS = 6
+IBAN_LENGTH = {k: int(n) for n, ks in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+    "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG "
+    "25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV "
+    "29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for k in ks.split(",")}
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]+)@((?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})")
 HAS_DIGIT_PAIR = re.compile(r"\d[\d.)/ -]?\d", re.A)
 
@@ -177,7 +196,89 @@ def _email(local: str, key: bytes) -> str:
     return "".join(reversed(out))
 
 
-MAKERS = {"card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date}
+MAKERS = {"iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date}
+
+
+def _ends(text: str, m: re.Match) -> list[int]:
+    """The ends at which the value of a match may stop, the likeliest first."""
+    s, e, kind = m.start(), m.end(), m.lastgroup
+    if kind == "iban":
+        at = [i + 1 for i in range(s, e) if text[i] != " "]
+        n = IBAN_LENGTH.get(text[s:s + 2])
+        ends = at[n - 1:n] if n else at[:13:-1]
+        return [i for i in ends if not (text[i:i + 1].isascii() and text[i:i + 1].isalnum())]
+    if kind != "phone" or text[s] != "+":
+        return [e]
+    ends = []
+    for i in range(e, s, -1):
+        if text[i - 1].isdigit() and not text[i:i + 1].isdigit() and PHONE.fullmatch(text, s, i):
+            last = max(text.rfind(c, s, i) for c in "+ .-()") + 1
+            other = NUMERIC.match(text, last)
+            if not (other and other.end() > i and MAKERS[other.lastgroup](other.group(), b"") is not None):
+                ends.append(i)
+    if text[s + 1] == "1":
+        ends.sort(key=lambda i: sum(map(str.isdigit, text[s:i])) != 11)
+    return ends
+
+
+def _card_windows(sizes: list[int], valid) -> list[tuple[int, int]]:
+    """(first, end) of the groups of digits that make a card."""
+    found: list[tuple[int, int]] = []
+    free = [True] * len(sizes)
+
+    def usual(i):
+        if 13 <= sizes[i] <= 19:
+            yield i + 1
+        yield from (i + len(x) for x in CARD_SHAPES if tuple(sizes[i:i + len(x)]) == x)
+
+    def fitting(i, most, least):
+        ends, n = [], 0
+        for j in range(i, min(len(sizes), i + most)):
+            n += sizes[j]
+            if n > 19 or sizes[j] < least or not free[j]:
+                break
+            if n >= 13:
+                ends.append(j + 1)
+        return ends[::-1]
+
+    def take(i, ends):
+        for j in ends:
+            if all(free[i:j]) and valid(i, j):
+                found.append((i, j))
+                free[i:j] = [False] * (j - i)
+                return j
+        return 0
+
+    for ends in (usual, lambda i: fitting(i, CARD_GROUPS, 3), lambda i: fitting(i, CARD_GROUPS, 1)):
+        i = 0
+        while i < len(sizes):
+            i = take(i, ends(i)) or i + 1
+    i = 0
+    while i < len(sizes):  # many short groups: one try each, or tables of small numbers would be full of cards
+        longest = fitting(i, 19, 1)[:1]
+        i = take(i, longest) or (longest[0] if longest else i + 1)
+    return found
+
+
+def _cards(text: str, taken: list[tuple[int, int, str, str]], key: bytes) -> list[tuple[int, int, str, str]]:
+    out = []
+    starts = [t[0] for t in taken]
+    for run in CARD_RUN.finditer(text):
+        stretch: list[tuple[int, int]] = []
+        stretches = [stretch]
+        for g in GROUP.finditer(text, run.start(), run.end()):
+            k = bisect_left(starts, g.end())
+            if k and taken[k - 1][1] > g.start() or g.end() == run.end() and CARD_STOP.match(text, g.end()):
+                stretches.append(stretch := [])
+            else:
+                stretch.append(g.span())
+        for groups in stretches:
+            def value(i, j, groups=groups):
+                return _card(text[groups[i][0]:groups[j - 1][1]], key)
+
+            for i, j in _card_windows([e - s for s, e in groups], lambda i, j: value(i, j) is not None):
+                out.append((groups[i][0], groups[j - 1][1], "card", value(i, j)))
+    return out
 
 
 def find(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
@@ -188,13 +289,23 @@ def find(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
             if any(c.isalnum() for c in m.group(1)):
                 out.append((m.start(), m.end(), "email", f"{_email(m.group(1), key)}@{m.group(2)}"))
     if HAS_DIGIT_PAIR.search(text):
-        taken = list(out)
-        for m in NUMERIC.finditer(text):
-            if any(s < m.end() and m.start() < e for s, e, _, _ in taken):
+        emails, at = list(out), 0
+        starts = [t[0] for t in emails]
+        while m := NUMERIC.search(text, at):
+            s, at = m.start(), m.start() + 1  # a match without a value leaves its text to later starts
+            k = bisect_right(starts, s)
+            if k and emails[k - 1][1] > s:
+                at = emails[k - 1][1]
                 continue
-            new = MAKERS[m.lastgroup](m.group(), key)
-            if new is not None:
-                out.append((m.start(), m.end(), m.lastgroup, new))
+            limit = emails[k][0] if k < len(emails) else len(text)
+            for e in _ends(text, m):
+                new = MAKERS[m.lastgroup](text[s:e], key) if e <= limit else None
+                if new is not None:
+                    out.append((s, e, m.lastgroup, new))
+                    at = e
+                    break
+        out.sort()
+        out += _cards(text, out, key)
     return sorted(out)
 
 

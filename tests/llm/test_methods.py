@@ -263,6 +263,28 @@ def test_invalid_values_stay(text):
     assert pseudonyms.find(text, KEY) == []
 
 
+BESIDE = [  # the values of a text with other numbers beside them
+    ("4539 1488 0343 6467 12/25", ["4539 1488 0343 6467"]), ("4539 1488 0343 6467 123", ["4539 1488 0343 6467"]),
+    ("42 4539148803436467", ["4539148803436467"]), ("12 2024-05-01 4539 1488 0343 6467", ["2024-05-01", "4539 1488 0343 6467"]),
+    ("4539148803436467 2024-05-01", ["4539148803436467", "2024-05-01"]), ("7 45391488 03436467 12", ["45391488 03436467"]),
+    ("4539-1488-0343-6467 4539148803436467 9", ["4539-1488-0343-6467", "4539148803436467"]),
+    ("DE89370400440532013000 15 Mai", ["DE89370400440532013000"]),
+    ("DE89 3704 0044 0532 0130 00 2024-05-01", ["DE89 3704 0044 0532 0130 00", "2024-05-01"]),
+    ("NO12 4539 1488 0343 6467", ["4539 1488 0343 6467"]), ("CH93 0076 2011 6238 5295 7 20", ["CH93 0076 2011 6238 5295 7"]),
+    ("+1 (626) 555-5759 24 hours", ["+1 (626) 555-5759"]), ("12 +1 626 555 5759 2024-05-01", ["+1 626 555 5759", "2024-05-01"]),
+    ("+49 30 123 4567 2024-05-01", ["+49 30 123 4567", "2024-05-01"]), ("+49 30 1234 5678 1234", ["+49 30 1234 5678"]),
+    ("+49 30 1234 567 190.137.223.204", ["+49 30 1234 567", "190.137.223.204"]),
+    ("+49 30 1234 567 123-45-6789", ["+49 30 1234 567", "123-45-6789"]),
+    ("+1 (626) 555-5759 24@mail.org", ["+1 (626) 555-5759", "24@mail.org"]), ("20 123-45-6789 7", ["123-45-6789"])]
+
+
+@pytest.mark.parametrize("text, values", BESIDE)
+def test_values_beside_other_numbers(text, values):
+    assert [text[s:e] for s, e, _, _ in pseudonyms.find(text, KEY)] == values
+    alone = [pseudonyms.find(v, KEY)[0][2:] for v in values]
+    assert [f[2:] for f in pseudonyms.find(text, KEY)] == alone
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 10, 97, 1000):
         assert sorted(pseudonyms.permute(x, n, KEY, "t") for x in range(n)) == list(range(n))
