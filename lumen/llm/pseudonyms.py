@@ -6,8 +6,8 @@ the key, and the pseudonym is again a valid value of the kind:
 
 * ``card``   13 to 19 digits with a right Luhn digit: all digits but the check
              digit are permuted, the check digit is set anew
-* ``iban``   country letters stay, the digits of the account are permuted and
-             the check digits set anew
+* ``iban``   country letters stay, the letters and digits of the account are
+             permuted, class by class, and the check digits set anew
 * ``ssn``    AAA-GG-SSSS with an issued area: permuted among issued numbers
 * ``phone``  +C (AAA) BBB-DDDD and similar: the national digits are permuted
 * ``ip``     four octets: permuted among all addresses
@@ -18,13 +18,13 @@ the key, and the pseudonym is again a valid value of the kind:
 
 A number that fails its check (Luhn digit, mod 97, calendar, octets) stays.
 
-Values beside other numbers.  An IBAN ends at its country's length (any length
-that passes for countries without one here), a +1 number after ten national
-digits, other phone numbers at the longest end with at most 13 that does not cut
-into a date, SSN or address.  Cards are sought after all other kinds, in runs of
-digit groups, at group borders: first the usual groupings, then others of up to
-``CARD_GROUPS`` groups (without groups of one or two digits if possible), then the
-longest start of what is left.
+Values beside other numbers.  An IBAN ends at its country's length (for countries
+without one here at any length that passes, with digits alone), a +1 number after
+ten national digits, other phone numbers at the longest end with at most 13 that
+does not cut into a date, SSN or address.  Cards are sought after all other kinds,
+in runs of digit groups, at group borders: first the usual groupings, then others
+of up to ``CARD_GROUPS`` groups (without groups of one or two digits if possible),
+then the longest start of what is left.
 
 The permutation of 0..N-1 is a balanced Feistel network of eight rounds over the
 next power of four with BLAKE2b round functions keyed by the secret and the
@@ -41,6 +41,7 @@ import datetime as dt
 import hashlib
 import re
 from bisect import bisect_left, bisect_right
+from itertools import takewhile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ ROUNDS = 8
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2099, 12, 31)
 
 NUMERIC = re.compile(
-    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?\d){11,30})"
+    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30})"
     r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)"
     r"|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d))"
     r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d))"
@@ -101,14 +102,29 @@ def luhn_digit(body: str) -> str:
 
 
 def _iban_check(country: str, account: str) -> str:
-    digits = account + "".join(str(ord(c) - 55) for c in country) + "00"
+    digits = "".join(str(int(c, 36)) for c in account + country) + "00"
     return f"{98 - int(digits) % 97:02d}"
 
 
-def _refill(shape: str, digits: str) -> str:
-    """``shape`` with its digits replaced in order."""
-    it = iter(digits)
-    return "".join(next(it) if c.isdigit() else c for c in shape)
+def _refill(shape: str, chars: str) -> str:
+    """``shape`` with its letters and digits replaced in order."""
+    it = iter(chars)
+    return "".join(next(it) if c.isalnum() else c for c in shape)
+
+
+def _by_class(value: str, key: bytes, kind: str) -> str:
+    """``value`` with its letters and digits permuted, class by class."""
+    sizes = [26 if c.isalpha() else 10 if c.isdigit() else 1 for c in value]
+    x, n = 0, 1
+    for c, s in zip(value, sizes):
+        v = (ord(c.lower()) - 97) if s == 26 else int(c) if s == 10 else 0
+        x, n = x * s + v, n * s
+    x = permute(x, n, key, kind)
+    out = []
+    for c, s in zip(reversed(value), reversed(sizes)):
+        x, v = divmod(x, s)
+        out.append(c if s == 1 else str(v) if s == 10 else chr(v + (65 if c.isupper() else 97)))
+    return "".join(reversed(out))
 
 
 def _card(v: str, key: bytes) -> str | None:
@@ -124,7 +140,7 @@ def _iban(v: str, key: bytes) -> str | None:
     country, check, account = flat[:2], flat[2:4], flat[4:]
     if not 15 <= len(flat) <= 34 or _iban_check(country, account) != check:
         return None
-    new = f"{permute(int(account), 10 ** len(account), key, 'iban' + country):0{len(account)}d}"
+    new = _by_class(account, key, "iban" + country)
     return country + _refill(v[2:], _iban_check(country, new) + new)
 
 
@@ -183,17 +199,7 @@ def _date(v: str, key: bytes) -> str | None:
 
 
 def _email(local: str, key: bytes) -> str:
-    sizes = [26 if c.isalpha() else 10 if c.isdigit() else 1 for c in local]
-    x, n = 0, 1
-    for c, s in zip(local, sizes):
-        v = (ord(c.lower()) - 97) if s == 26 else int(c) if s == 10 else 0
-        x, n = x * s + v, n * s
-    x = permute(x, n, key, "email" + "".join("9" if s == 10 else "a" if s == 26 else "." for s in sizes))
-    out = []
-    for c, s in zip(reversed(local), reversed(sizes)):
-        x, v = divmod(x, s)
-        out.append(c if s == 1 else str(v) if s == 10 else chr(v + (65 if c.isupper() else 97)))
-    return "".join(reversed(out))
+    return _by_class(local, key, "email" + "".join("a" if c.isalpha() else "9" if c.isdigit() else "." for c in local))
 
 
 MAKERS = {"iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date}
@@ -205,6 +211,8 @@ def _ends(text: str, m: re.Match) -> list[int]:
     if kind == "iban":
         at = [i + 1 for i in range(s, e) if text[i] != " "]
         n = IBAN_LENGTH.get(text[s:s + 2])
+        if not n:  # capitals after any two others and two digits are too often no account
+            at = at[:4] + list(takewhile(lambda i: text[i - 1].isdigit(), at[4:]))
         ends = at[n - 1:n] if n else at[:13:-1]
         return [i for i in ends if not (text[i:i + 1].isascii() and text[i:i + 1].isalnum())]
     if kind != "phone" or text[s] != "+":

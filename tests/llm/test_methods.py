@@ -285,6 +285,18 @@ def test_values_beside_other_numbers(text, values):
     assert [f[2:] for f in pseudonyms.find(text, KEY)] == alone
 
 
+@pytest.mark.parametrize("v", [
+    "GB82 WEST 1234 5698 7654 32", "NL91ABNA0417164300", "NL91 ABNA 0417 1643 00", "FR14 2004 1010 0505 0001 3M02 606",
+    "IT60X0542811101000000123456", "IE29 AIBK 9311 5212 3456 78", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"])
+def test_ibans_with_letters(v):
+    for text in (f"from {v}.", f"from {v} 12 May", f"from {v} THE BANK"):
+        (s, e, kind, new), = pseudonyms.find(text, KEY)
+        assert (kind, text[s:e]) == ("iban", v) and new != v and new[:2] == v[:2]
+        assert re.sub("[A-Z]", "A", re.sub(r"\d", "9", new)) == re.sub("[A-Z]", "A", re.sub(r"\d", "9", v))
+        assert pseudonyms.find(f"x {new}", KEY)[0][2] == "iban"
+        assert int("".join(str(int(c, 36)) for c in (new[4:] + new[:4]).replace(" ", ""))) % 97 == 1
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 10, 97, 1000):
         assert sorted(pseudonyms.permute(x, n, KEY, "t") for x in range(n)) == list(range(n))
