@@ -3,8 +3,9 @@
 Base rules find three kinds of span (``assign``, ``access``, ``hex``).  Two
 first-order character models, one of random strings and one of ordinary
 identifiers, are trained from labelled samples; a run of 16 or more token
-characters outside the base spans whose log-likelihood ratio reaches
-``MIN_RATIO`` nats is a further span of kind ``markov``.
+characters outside the base spans (what lies before, between and after them, if
+they cover a part of it) whose log-likelihood ratio reaches ``MIN_RATIO`` nats is a
+further span of kind ``markov``.
 
 Labelled samples: random strings are the values of base spans found in the
 documents plus seeded random strings over the usual alphabets; ordinary
@@ -25,6 +26,7 @@ import random
 import re
 import string
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -43,6 +45,7 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 CHUNK_CHARS = 2_000_000  # of words that are counted at once
 MIN_RATIO = 12.0
+MIN_RUN = 16
 CLASSES = 96  # printable ASCII and one class for the rest
 MASK = "[secret]"
 
@@ -137,18 +140,26 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return logs[1] - logs[0]
 
 
+def _outside(at: int, end: int, starts: list[int], ends: list[int]) -> Iterator[tuple[int, int]]:
+    """The parts of at least ``MIN_RUN`` characters of a run that no base span covers."""
+    for k in range(bisect_right(ends, at), bisect_left(starts, end)):
+        if starts[k] - at >= MIN_RUN:
+            yield at, starts[k]
+        at = max(at, ends[k])
+    if end - at >= MIN_RUN:
+        yield at, end
+
+
 def scan_text(text: str, ratio: np.ndarray) -> list[tuple[int, int, int]]:
     """Base spans and ``markov`` spans of a text, by start, then kind."""
     spans = base_spans(text)
     starts, ends = _ends(spans)
     extra = []
     for m in RUN.finditer(text):
-        k = bisect_left(starts, m.end())
-        if k and ends[k - 1] > m.start():
-            continue
-        c = _codes(m.group())
-        if ratio[c[:-1], c[1:]].sum() >= MIN_RATIO:
-            extra.append((m.start(), 3, m.end()))
+        for at, end in _outside(m.start(), m.end(), starts, ends):
+            c = _codes(text[at:end])
+            if ratio[c[:-1], c[1:]].sum() >= MIN_RATIO:
+                extra.append((at, 3, end))
     return sorted(spans + extra)
 
 

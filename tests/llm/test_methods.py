@@ -169,6 +169,21 @@ def test_markov_models_separate(spark):
     assert found / len(keys) > 0.95 and wrong <= 0.005 * len(plain)
 
 
+def test_secrets_beside_base_spans_in_one_run():
+    ratio = np.zeros((secretscan.CLASSES, secretscan.CLASSES))
+    ratio[:] = 1.0  # every part of 16 or more counts as random
+    key, hexa, aws = "Zk9QmT4xWvR7bLp2NcYs8HgJd5FuEa3oKiXw6VtB", "0123456789abcdef01234567", "AKIA" + "QWERTYUIOPASDFGH"
+    for text in (f"{aws}/{key}", f"{key}/{aws}/{key}", f"{key}{hexa}{key}", f"{key}_{hexa}_{key[:9]}", f"secret={key} {key}",
+                 f"{key}_token={key}/x {aws}"):
+        covered = [False] * len(text)
+        for s, _, e in secretscan.base_spans(text):
+            covered[s:e] = [True] * (e - s)
+        free = "".join(" " if c else t for t, c in zip(text, covered))
+        want = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", free)]
+        assert [(s, e) for s, k, e in secretscan.scan_text(text, ratio) if k == 3] == want
+        assert key not in secretscan.masked(text, ratio)
+
+
 def test_fingerprint_query_equals_brute_force(spark, texts):
     got = {r["doc_id"]: r for r in E.queries()["op5_fingerprints"](spark, SMALL).collect()}
     ids = sorted(texts, reverse=True)
