@@ -21,8 +21,9 @@ the item's shingles found there is counted exactly.
 Only DataFrame functions are used.  Item tables are broadcast after a count of
 their rows or shingles; larger ones are joined by shuffle.  Defined results: null
 or empty texts and items match nothing; rows with a null document id match
-nothing; repeated document rows give one row per (document, item) with the
-largest containment; extra columns are ignored.
+nothing; repeated document or item rows give one row per (document, item), that of
+the pair of texts with the largest containment (then the largest item text);
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -104,20 +105,22 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     cands = (per_width(base, ["doc"]).select("doc", "width", F.explode("dsh").alias("sig"))
              .join(sigs, ["width", "sig"]).select("doc", "item", "width").distinct())
     cands = hint_small(write_once(cands, "candidates"))
-    sets = its.select("item", "size", "sh")
+    sets = its.select("item", "width", "size", "sh")
     if (its.agg(F.sum("size")).first()[0] or 0) <= BROADCAST_SHINGLES:
         sets = F.broadcast(sets)
     near = cands.join(base, "doc")
     shared = None
     for k in sorted(widths):
         part = (near.where(F.col("width") == k)
-                .select("doc", "item", text_shingles(F.col("text"), k).alias("dsh"))
-                .join(sets, "item")
+                .select("doc", "item", "width", text_shingles(F.col("text"), k).alias("dsh"))
+                .join(sets, ["item", "width"])
                 .select("doc", "item", "size", F.size(F.array_intersect("sh", "dsh")).alias("n")))
         shared = part if shared is None else shared.unionByName(part)
     if shared is None:
         shared = near.select("doc", "item", F.lit(1).alias("size"), F.lit(0).alias("n"))
-    best = shared.groupBy("doc", "item").agg(F.max("size").alias("size"), F.max("n").alias("n"))
+    best = (shared.groupBy("doc", "item")
+            .agg(F.max(F.struct((F.col("n") / F.col("size")).alias("c"), "size", "n")).alias("best"))
+            .select("doc", "item", "best.size", "best.n"))
     return (best.where(F.col("n") >= F.lit(threshold) * F.col("size"))
             .select(F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("size").alias("n_item"),
                     F.col("n").alias("n_shared"), (F.col("n") / F.col("size")).alias("containment")))

@@ -110,6 +110,18 @@ def test_decontam_defined_results(docs, labels, items):
     assert none.collect() == []
 
 
+def test_decontam_repeated_items_with_different_texts(spark):
+    short, long = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("s", 14), ("l", 104)))
+    items = spark.createDataFrame([(1, short), (1, long), (2, long), (3, "two words"), (3, short)],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {short} y"), (2, f"x {long} y"), (3, long[:len(long) // 2]), (4, "so two words"),
+                                  (5, f"{short} {long}")], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["n_item"], r["n_shared"]) for r in decontam.contained_items(docs, items).collect()}
+    assert got == {(1, 1): (10, 10), (1, 3): (10, 10), (2, 1): (100, 100), (2, 2): (100, 100), (4, 3): (1, 1),
+                   (5, 1): (100, 100), (5, 2): (100, 100), (5, 3): (10, 10)}
+    assert [r["doc_id"] for r in decontam.remove_contaminated(docs, items).collect()] == [3]
+
+
 def test_spanhash_defined_results(docs):
     got = by_id(spanhash.fingerprint_beside_next(docs).collect())
     assert got[0][0]["n_chars"] == 0 and got[1][0]["near_edited"] == 1.0
