@@ -128,9 +128,11 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that contain a test item; all columns stay.
-    Rows with a null id stay."""
-    found = write_once(contained_items(docs, items, id_col=id_col).select(id_col).distinct(), "contaminated")
-    return docs.join(hint_small(found), id_col, "left_anti").select(*docs.columns)
+    Rows that share an id but not their text are told apart.  Rows with a null id stay."""
+    key = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col), F.xxhash64("text")))
+    rows = docs.select(key.alias("_row"), "text")
+    found = write_once(contained_items(rows, items, id_col="_row").select("_row").distinct(), "contaminated")
+    return docs.withColumn("_row", key).join(hint_small(found), "_row", "left_anti").select(*docs.columns)
 
 
 ORACLE_SQL = r"""

@@ -335,19 +335,33 @@ def _own_texts(texts: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class: the one of the smallest id (of repeated
-    rows one stays).  Rows with a null id stay."""
+    rows one stays).  Rows that share an id but not their words are told apart.
+    Rows with a null id stay."""
     names = docs.columns
     classes = near_duplicate_classes(docs, id_col, text_col)
-    gone = write_once(classes.where(~F.col(id_col).eqNullSafe(F.col("class_id")) & F.col(id_col).isNotNull())
-                      .select(F.col(id_col).alias("_gone")).distinct(), "gone")
+    named = classes.where(F.col(id_col).isNotNull())
     again = write_once(classes.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
                        .where((F.col("_n") > 1) & F.col(id_col).isNotNull())
                        .select(F.col(id_col).alias("_again")), "again")
-    kept = docs.join(hint_small(gone), F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = write_once(named.where(F.col(id_col) != F.col("class_id"))
+                      .select(F.col(id_col).alias("_gone"), F.col("h").alias("_h")).distinct(), "gone")
     if not again.limit(1).count():
-        return kept.select(*names)
-    # only ids that occur more than once need their rows brought together
+        return docs.join(hint_small(gone.select("_gone")), F.col(id_col) == F.col("_gone"), "left_anti").select(*names)
+    # only ids that occur more than once need their rows brought together, and their texts told apart
     again = hint_small(again)
-    once = kept.join(again, F.col(id_col) == F.col("_again"), "left_anti")
-    twice = kept.join(again, F.col(id_col) == F.col("_again"), "left_semi").dropDuplicates([id_col, text_col])
-    return once.unionByName(twice).select(*names)
+    ids_gone = gone.select("_gone").join(again, F.col("_gone") == F.col("_again"), "left_anti")
+    once = (docs.join(again, F.col(id_col) == F.col("_again"), "left_anti")
+            .join(hint_small(write_once(ids_gone, "gone-once")), F.col(id_col) == F.col("_gone"), "left_anti"))
+    twice = _with_key(docs.join(again, F.col(id_col) == F.col("_again"), "left_semi"), text_col)
+    gone = gone.join(again, F.col("_gone") == F.col("_again"), "left_semi")
+    twice = (twice.join(gone, (F.col(id_col) == F.col("_gone")) & (F.col("_key") == F.col("_h")), "left_anti")
+             .dropDuplicates([id_col, "_key"]))
+    return once.select(*names).unionByName(twice.select(*names))
+
+
+def _with_key(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with the digest of each row's word sequence as ``_key``."""
+    def run(cols):
+        return dict(cols) | {"_key": [text_key(t.split()) for t in texts_of(cols[text_col])]}
+
+    return arrow_map(docs, run, docs.select("*", F.lit(b"").alias("_key")).schema)

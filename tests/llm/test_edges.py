@@ -122,6 +122,17 @@ def test_decontam_repeated_items_with_different_texts(spark):
     assert [r["doc_id"] for r in decontam.remove_contaminated(docs, items).collect()] == [3]
 
 
+def test_rows_that_share_an_id_are_told_apart(spark):
+    clean, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "cd")
+    docs = spark.createDataFrame([(1, PASSAGE), (5, PASSAGE), (5, clean), (5, clean), (7, other), (8, other)],
+                                 "doc_id long, text string")
+    left = sorted(tuple(r) for r in neardup.drop_near_duplicates(docs).collect())
+    assert left == [(1, PASSAGE), (5, clean), (7, other)]
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    left = sorted(tuple(r) for r in decontam.remove_contaminated(docs, items).collect())
+    assert left == [(5, clean), (5, clean), (7, other), (8, other)]
+
+
 def test_spanhash_defined_results(docs):
     got = by_id(spanhash.fingerprint_beside_next(docs).collect())
     assert got[0][0]["n_chars"] == 0 and got[1][0]["near_edited"] == 1.0
