@@ -4,7 +4,8 @@ The model's protobuf file is parsed here (fields named below) and rebuilt as a
 ``tokenizers.Tokenizer``: the normaliser (dummy prefix, extra spaces), the
 metaspace marker, unigram scores or the merge order that BPE scores imply, byte
 fallback and the decoder.  Texts are encoded in batches, multithreaded within a
-task (``threads``; 1 thread a task unless the cluster gives tasks more cores).
+task (``threads``; by default the cores that ``spark.task.cpus`` gives a task, 1
+unless it is set).
 Where no piece has the marker after another character, no merge crosses a word's
 start; such models encode a text as parts of about ``PART_CHARS`` cut there, with
 the same ids and shorter merge queues.
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumen.llm.common import schema_of, texts_of
@@ -201,13 +202,19 @@ def _backends(path: str | None, data: bytes | None):
 OUT = "n_tokens int, ids array<int>, ids_crc long, decoded_n_chars int, round_trip boolean, parity boolean"
 
 
+def task_threads(spark: SparkSession) -> int:
+    """The cores of a task in this session."""
+    return int(spark.conf.get("spark.task.cpus", "1"))
+
+
 def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str | None = MODEL_PATH,
-                  model_bytes: bytes | None = None, threads: int = 1,
+                  model_bytes: bytes | None = None, threads: int | None = None,
                   batch_chars: int = 500_000) -> DataFrame:
     """Per row: the id, the token ids and their count, a CRC of the ids, the length
     of the decoded text, whether it is the text again, and ``parity``."""
     kind = docs.schema[id_col].dataType.simpleString()
     schema = schema_of(f"`{id_col}` {kind}, {OUT}")
+    threads = threads or task_threads(docs.sparkSession)
 
     def batch(ids_in, part, own, reference, want):
         ids = own.encode(part)

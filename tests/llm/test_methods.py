@@ -249,6 +249,17 @@ def test_sentencepiece_parity(spark, docs):
     assert [e.ids if t else [] for t, e in zip(odd, whole.encode_batch(odd, add_special_tokens=False))] == ids
 
 
+def test_threads_are_the_cores_of_a_task(spark, docs):
+    allow = "spark.sql.legacy.setCommandRejectsSparkCoreConfs"
+    assert sentencepieces.task_threads(spark) == 1
+    session = spark.newSession()
+    session.conf.set(allow, "false")
+    session.conf.set("spark.task.cpus", "3")
+    assert sentencepieces.task_threads(session) == 3
+    rows = sentencepieces.encode_decode(session.read.parquet(f"{SMALL}/documents.parquet")).collect()
+    assert rows and all(r["round_trip"] and r["parity"] for r in rows)
+
+
 def test_unigram_models_are_rebuilt():
     model = sentencepieces.Model.__new__(sentencepieces.Model)
     model.pieces = [("<unk>", 0.0, 2), ("▁", -3.0, 1), ("▁ab", -1.0, 1), ("a", -4.0, 1), ("b", -4.0, 1), ("ba", -2.0, 1)]
