@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lumen.llm import (decontam, neardup, pagetext, pseudonyms, quality, secretscan, sentencepieces, spanhash,
-                       tokenrollup, warc)
+from lumen.llm import (decontam, hardnegatives, langid, neardup, pagetext, pseudonyms, quality, secretscan, sentencepieces,
+                       spanhash, spellings, tokenrollup, warc)
 from lumen.llm.common import hint_small, write_once
 from lumen.session import scratch_dir
 
@@ -73,8 +74,23 @@ def op10_decontamination(spark, sf_dir):
     return decontam.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    vectors = hardnegatives.relabelled(_table(spark, sf_dir, "embeddings"))
+    return hardnegatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op12_language(spark, sf_dir):
+    return langid.predict_held_out(_table(spark, sf_dir, "documents"))
+
+
+def op13_spellings(spark, sf_dir):
+    return spellings.group_variants(spellings.noisy_words(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_near_dedup, op3_quality, op4_secrets, op5_fingerprints, op6_sentencepiece, op7_pseudonyms,
-    op8_token_rollup, op9_html_text, op10_decontamination)}
+    op8_token_rollup, op9_html_text, op10_decontamination, op11_hard_negatives, op12_language,
+    op13_spellings)}
 
-ORACLE = {"op1_warc": warc.ORACLE_SQL, "op10_decontamination": decontam.ORACLE_SQL}
+ORACLE = {"op1_warc": warc.ORACLE_SQL, "op10_decontamination": decontam.ORACLE_SQL,
+          "op11_hard_negatives": hardnegatives.ORACLE_SQL}
