@@ -194,7 +194,7 @@ def near_pairs(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarra
     kind = np.float32 if width < 1 << 10 else np.float64
     x = np.column_stack([-2 * x, (x * x).sum(1), np.ones(len(x))]).astype(kind)
     y = np.column_stack([y, np.ones(len(y)), (y * y).sum(1)]).astype(kind)
-    out = [], []
+    out = [np.zeros(0, int)], [np.zeros(0, int)]
     step = max(1, (1 << 22) // len(right))
     for s in range(0, len(left), step):
         near = np.flatnonzero(x[s:s + step] @ y.T < 2.5)
