@@ -31,7 +31,7 @@ for those of the result's names, which are replaced.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,7 +53,10 @@ _RUNS = re.compile(r"[^\W\d_]+")
 
 def words_of(text: str) -> list[str]:
     """The runs of letters, lower-cased."""
-    found = [w if w.isalpha() else "".join(filter(str.isalpha, w)) for w in _RUNS.findall(text.lower())]
+    found = _RUNS.findall(text.lower())
+    if not found or "".join(found).isalpha():
+        return found
+    found = ["".join(filter(str.isalpha, w)) for w in found]  # other numerals count as word characters, not as letters
     return [w for w in found if w]
 
 
@@ -63,23 +66,22 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)] if n > 1 else list(word)
 
 
-def _summed(df: DataFrame, entries, key: str) -> DataFrame:
-    """(lang, ``key``, n): sums of what ``entries`` yields from each batch, as (lang, key, n)."""
+def _summed(df: DataFrame, count, key: str) -> DataFrame:
+    """(lang, ``key``, n): sums of what ``count`` adds to the counters of the languages from each batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: Counter = Counter()
+        sums: defaultdict = defaultdict(Counter)
 
         def out():
-            pairs = list(sums)
+            langs = [lang for lang, c in sums.items() for _ in range(len(c))]
             batch = pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string()),
-                 pa.array(list(sums.values()), pa.int64())], names=["lang", key, "n"])
+                [pa.array(langs, pa.string()), pa.array([k for c in sums.values() for k in c], pa.string()),
+                 pa.array([n for c in sums.values() for n in c.values()], pa.int64())], names=["lang", key, "n"])
             sums.clear()
             return batch
 
         for b in batches:
-            for lang, k, n in entries({c: b.column(i) for i, c in enumerate(b.schema.names)}):
-                sums[lang, k] += n
-            if len(sums) > FLUSH:
+            count(sums, {c: b.column(i).to_pylist() for i, c in enumerate(b.schema.names)})
+            if sum(map(len, sums.values())) > FLUSH:
                 yield out()
         yield out()
 
@@ -87,17 +89,17 @@ def _summed(df: DataFrame, entries, key: str) -> DataFrame:
             .groupBy("lang", key).agg(F.sum("n").alias("n")))
 
 
-def _words(cols):
-    for lang, text in zip(cols["lang"].to_pylist(), cols["text"].to_pylist()):
-        for w, n in Counter(words_of(text)).items():
-            yield lang, w, n
+def _words(sums, cols):
+    for lang, text in zip(cols["lang"], cols["text"]):
+        sums[lang].update(words_of(text))
 
 
-def _grams(cols):
-    for lang, word, n in zip(cols["lang"].to_pylist(), cols["word"].to_pylist(), cols["n"].to_pylist()):
+def _grams(sums, cols):
+    for lang, word, n in zip(cols["lang"], cols["word"], cols["n"]):
+        c = sums[lang]
         for k in range(1, LONGEST + 1):
             for g in grams(word, k):
-                yield lang, g, n
+                c[g] = c.get(g, 0) + n
 
 
 def _known(counts: DataFrame, key: str, level: Column) -> tuple[DataFrame, DataFrame]:
@@ -113,42 +115,71 @@ def _known(counts: DataFrame, key: str, level: Column) -> tuple[DataFrame, DataF
 
 
 class Model:
-    """Languages, log priors, and rows of log frequencies for words and n-grams."""
-
-    def __init__(self, langs, prior, words, tables):
-        self.langs, self.prior, self.words, self.tables = langs, prior, words, tables
-
-    def row_of(self, word: str, kept: dict) -> np.ndarray:
-        """The log frequencies that stand for a word that is not known."""
-        row = kept.get(word)
-        if row is None:
-            row = np.zeros(len(self.langs), np.float32)
-            for n in range(LONGEST, 0, -1):
-                index, table = self.tables[n]
-                at = [index[g] for g in grams(word, n) if g in index]
+    """Languages, log priors, and tables of log frequencies: (row number by entry,
+    rows by language) for words (level 0) and n-grams (levels 1 to ``LONGEST``)."""
+
+    def __init__(self, langs: list[str], prior: np.ndarray, tables: dict[int, tuple[dict, np.ndarray]]):
+        self.langs, self.prior, self.tables = langs, prior, tables
+
+
+class Reader:
+    """A task's view of the model: keeps the rows of the unknown words that it has met."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.rows, known = dict(model.tables[0][0]), model.tables[0][1]
+        self.used, self.known = len(known), len(known)
+        self.table = np.zeros((len(known) + 1024, len(model.langs)))
+        self.table[:len(known)] = known
+        self.gram_rows: dict[str, int] = {}
+        parts = [np.zeros((1, len(model.langs)))]
+        for n in range(1, LONGEST + 1):  # entries of different lengths differ, so one index holds all
+            index, table = model.tables[n]
+            base = sum(map(len, parts))
+            self.gram_rows.update((g, base + i) for g, i in index.items())
+            parts.append(table)
+        self.grams = np.concatenate(parts)
+
+    def back_off(self, words: list[str]) -> None:
+        """Rows for unknown words: each the mean of the word's longest known n-grams."""
+        get, flat, size = self.gram_rows.get, [], []
+        for w in words:
+            marked = f"<{w}>"
+            for n in range(min(LONGEST, len(marked)), 0, -1):
+                m = marked if n > 1 else w
+                at = [i for i in [get(m[k:k + n]) for k in range(len(m) - n + 1)] if i is not None]
                 if at:
-                    row = table[at].mean(axis=0)
+                    flat += at
+                    size.append(len(at))
                     break
-            if len(kept) < FLUSH:
-                kept[word] = row
-        return row
-
-    def predict(self, text: str | None, kept: dict) -> tuple[str, float]:
+            else:
+                flat.append(0)  # a row of zeros: nothing is known of it
+                size.append(1)
+        start, end = self.used, self.used + len(words)
+        while end > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        at = np.cumsum([0, *size[:-1]])
+        self.table[start:end] = np.add.reduceat(self.grams[flat], at, axis=0) / np.array(size)[:, None]
+        self.rows.update(zip(words, range(start, end)))
+        self.used = end
+
+    def predict(self, text: str | None) -> tuple[str, float]:
         found = words_of(text or "")
-        if not found or not self.langs:
+        if not found:
             return UNKNOWN, 0.0
-        index, table = self.words
         counts = Counter(found)
-        at = [(index[w], n) for w, n in counts.items() if w in index]
-        z = self.prior.copy()
-        if at:
-            i, n = np.array(at).T
-            z += n @ table[i].astype(np.float64)
-        for w, n in counts.items():
-            if w not in index:
-                z += n * self.row_of(w, kept)
+        z = self.model.prior.copy()
+        words = list(counts)
+        for s in range(0, len(words), 100_000):  # rows stay in place while a part is summed
+            part = words[s:s + 100_000]
+            if self.used - self.known > FLUSH:  # words met long ago go
+                self.rows, self.used = dict(self.model.tables[0][0]), self.known
+            if unknown := [w for w in part if w not in self.rows]:
+                self.back_off(unknown)
+            at = [self.rows[w] for w in part]
+            z += np.fromiter((counts[w] for w in part), float, len(part)) @ self.table[at]
         best = int(np.argmax(z))
-        return self.langs[best], float(1 / np.exp(z - z[best]).sum())
+        return self.model.langs[best], float(1 / np.exp(z - z[best]).sum())
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -158,7 +189,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     share = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(share)
     if not langs:
-        return Model([], np.zeros(0), None, {})
+        return Model([], np.zeros(0), {})
     words = write_once(_summed(rows, _words, "word"), "language-words")
     counted = write_once(_summed(words, _grams, "gram"), "language-grams")
     tables = {}
@@ -179,7 +210,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
         logs = np.log((n + ALPHA) / (total[level] + ALPHA * (len(keys) + 1)))
         tables[level] = ({k: i for i, k in enumerate(keys)}, logs.astype(np.float32))
     prior = np.log(np.array([share[x] for x in langs], float) / sum(share.values()))
-    return Model(langs, prior, tables[0], tables)
+    return Model(langs, prior, tables)
 
 
 def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -188,10 +219,12 @@ def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> Data
     rest = docs.drop("lang_pred", "score") if text_col not in ("lang_pred", "score") else docs.select(
         *[c for c in docs.columns if c not in {"lang_pred", "score"} - {text_col}])
     schema = rest.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    kept: dict = {}
+    readers: list[Reader] = []  # one a task
 
     def run(cols):
-        got = [shared.value.predict(t, kept) for t in cols[text_col].to_pylist()]
+        if not readers and shared.value.langs:
+            readers.append(Reader(shared.value))
+        got = [readers[0].predict(t) if readers else (UNKNOWN, 0.0) for t in cols[text_col].to_pylist()]
         return dict(cols) | {"lang_pred": [g[0] for g in got], "score": [g[1] for g in got]}
 
     return arrow_map(rest, run, schema)

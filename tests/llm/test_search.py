@@ -141,7 +141,7 @@ def test_language_equals_brute_force(spark):
     docs = spark.createDataFrame([(y, t) for y, t in train] + [(None, "ka ka"), ("zz", None)], "lang string, text string")
     model = langid.train(docs)
     for text in [make(y, n) for y in parts for n in (1, 2, 5)] + ["Karau, MIschEAU!", "qqq ka", "x1y2"]:
-        lang, score = model.predict(text, {})
+        lang, score = langid.Reader(model).predict(text)
         want = brute_language(train, text)
         assert lang == want[0] and abs(score - want[1]) < 1e-4, text
 
