@@ -16,8 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumen.functions.expressions import level_position
-from lumen.operators.aggregates import exact_quantiles
 from lumen.operators.joins import attach_scalars, keep_top_k
+from lumen.operators.ordered import free_prefix, rank_within, spread
+
+
+def joint_counts(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
+    """Rows counted by ``cols``, spread by all of them: whatever reads the counts
+    reads the same exchange, so several panels cost one pass over the rows."""
+    return spread(df.groupBy(*cols).agg(F.count(F.lit(1)).alias(name)))
 
 
 def bar_values(df: DataFrame, category: str, aggs: dict[str, Column],
@@ -57,13 +63,15 @@ def _bin_expr(x: Column, lo: Column, width: Column, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, value: str, bins: int, lo: float | None = None,
-              hi: float | None = None) -> DataFrame:
+              hi: float | None = None, weight: str | None = None) -> DataFrame:
     """Equal-width histogram (matplotlib ``hist``): all ``bins`` bins, empty ones 0.
 
     With ``lo``/``hi`` rows outside the closed range are filtered first.
+    ``weight``: a column of counts, for rows that stand for several.
     Output: bin, bin_start, bin_end, count.
     """
-    d = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("_x"))
+    w = F.col(weight) if weight else F.lit(1)
+    d = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("_x"), w.alias("_w1"))
     if lo is not None:
         d = d.where(F.col("_x") >= lo)
     if hi is not None:
@@ -72,7 +80,7 @@ def histogram(df: DataFrame, value: str, bins: int, lo: float | None = None,
         "_w", (F.col("_hi") - F.col("_lo")) / bins)
     binned = attach_scalars(d, stats).withColumn(
         "bin", _bin_expr(F.col("_x"), F.col("_lo"), F.col("_w"), bins))
-    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    counts = binned.groupBy("bin").agg(F.sum("_w1").alias("count"))
     grid = stats.where(F.col("_lo").isNotNull()).select(
         "_lo", "_w", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return (grid.join(counts, "bin", "left")
@@ -95,26 +103,45 @@ def histogram_by_group(df: DataFrame, value: str, group: str, bins: int) -> Data
 
 
 def box_stats(df: DataFrame, value: str, group: str, lo: float | None = None,
-              hi: float | None = None, whisker: float = 1.5) -> DataFrame:
+              hi: float | None = None, whisker: float = 1.5, weight: str | None = None) -> DataFrame:
     """Box-plot statistics per group: Q1, median, Q3 (linear interpolation),
-    whiskers at the furthest data within ``whisker``·IQR, outlier count."""
+    whiskers at the furthest data within ``whisker``·IQR, outlier count.
+
+    One read: the rows become (group, value, count) with cumulative counts per
+    group, and that table answers the quantiles and then the whiskers and
+    outliers.  ``weight``: a column of counts, for rows that stand for several.
+    """
     d = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
     if lo is not None:
         d = d.where(F.col(value) >= lo)
     if hi is not None:
         d = d.where(F.col(value) <= hi)
-    q = exact_quantiles(d, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[group])
-    q = (q.withColumn("_lf", F.col("q1") - whisker * (F.col("q3") - F.col("q1")))
-          .withColumn("_uf", F.col("q3") + whisker * (F.col("q3") - F.col("q1"))))
-    j = d.join(q, group, "inner")
-    x = F.col(value)
-    inside = (x >= F.col("_lf")) & (x <= F.col("_uf"))
-    return j.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
+    p = free_prefix([value, group])
+    x, w = F.col(f"{p}x"), F.col(f"{p}w")
+    counts = d.groupBy(F.col(group).alias(f"{p}g"), F.col(value).alias(f"{p}x")).agg(
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias(f"{p}w"))
+    r = rank_within(counts, [f"{p}g"], [(f"{p}x", True)], [], outputs=("row_number", "group_size"), weight=f"{p}w",
+                    aggregate=True)
+    upto, n = F.col("row_number"), F.col("group_size")
+    picks, wanted = [F.first(n).alias("n")], F.lit(False)
+    for name, prob in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        h = (n - 1) * F.lit(prob)
+        for side, k in (("lo", F.floor(h) + 1), ("hi", F.ceil(h) + 1)):
+            here = (upto - w < k) & (k <= upto)
+            wanted = wanted | here
+            picks.append(F.max(F.when(here, x.cast("double"))).alias(f"{side}_{name}"))
+        picks.append(F.max(h - F.floor(h)).alias(f"fr_{name}"))
+    q = r.where(wanted).groupBy(F.col(f"{p}g").alias(f"{p}of")).agg(*picks).select(f"{p}of", "n", *[
+        (F.col(f"lo_{s}") + F.col(f"fr_{s}") * (F.col(f"hi_{s}") - F.col(f"lo_{s}"))).alias(s) for s in ("q1", "median", "q3")])
+    reach = F.lit(whisker) * (F.col("q3") - F.col("q1"))
+    j = r.select(f"{p}g", f"{p}x", f"{p}w").join(q, F.col(f"{p}g") == F.col(f"{p}of"))
+    inside = (x >= F.col("q1") - reach) & (x <= F.col("q3") + reach)
+    return j.groupBy(F.col(f"{p}g").alias(group)).agg(
+        F.first("n").alias("n"),
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.min(F.when(inside, x)).cast("double").alias("whisker_low"),
         F.max(F.when(inside, x)).cast("double").alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"))
+        F.sum(F.when(inside, F.lit(0)).otherwise(w)).alias("outliers"))
 
 
 def box_stats_topk(df: DataFrame, value: str, group: str, k: int) -> DataFrame:
@@ -128,37 +155,34 @@ def violin_density(df: DataFrame, value: str, group: str | Sequence[str], grid:
 
     Bandwidth = sample stddev · n^(−1/5) (Scott's rule); the support runs from
     min − cut·bw to max + cut·bw.  Values are compressed to (group, value,
-    count), per-group statistics are broadcast after a size check, and each
-    grid point's density is one aggregate over the compressed rows — no grid
-    × value pairs are materialised.  A constant group (bandwidth 0) gets
+    count); each compressed row is then spread over the grid points inside the
+    stage that sums per (group, point) before its shuffle, so grid × value
+    pairs are neither stored nor sent.  A constant group (bandwidth 0) gets
     NULL densities.
     """
     gs = [group] if isinstance(group, str) else list(group)
     ok = F.col(value).isNotNull()
     for g in gs:
         ok = ok & F.col(g).isNotNull()
+    p = free_prefix(gs, [value])
     d = df.where(ok)
-    comp = d.groupBy(*gs, value).agg(F.count(F.lit(1)).alias("_w"))
-    st = d.groupBy(*gs).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(value).alias("_sd"),
-                              F.min(value).alias("_min"), F.max(value).alias("_max"))
-    st = (st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-            .withColumn("_g0", F.col("_min") - cut * F.col("_bw"))
-            .withColumn("_step", (F.col("_max") - F.col("_min") + 2 * cut * F.col("_bw")) / (grid - 1)))
-    j = comp.join(st, gs, "inner")
+    comp = d.groupBy(*gs, F.col(value).alias(f"{p}x")).agg(F.count(F.lit(1)).alias(f"{p}w"))
+    st = d.groupBy(*gs).agg(F.count(F.lit(1)).alias(f"{p}n"), F.stddev_samp(value).alias(f"{p}sd"),
+                            F.min(value).alias(f"{p}min"), F.max(value).alias(f"{p}max"))
+    bw, least, most = F.col(f"{p}bw"), F.col(f"{p}min"), F.col(f"{p}max")
+    st = (st.withColumn(f"{p}bw", F.col(f"{p}sd") * F.pow(F.col(f"{p}n").cast("double"), F.lit(-0.2)))
+            .withColumn(f"{p}g0", least - cut * bw)
+            .withColumn(f"{p}step", (most - least + 2 * cut * bw) / (grid - 1)))
+    at = F.col(f"{p}g0") + F.col("point") * F.col(f"{p}step")
+    u = F.try_divide(at - F.col(f"{p}x"), bw)
+    sums = (comp.join(st.select(*gs, f"{p}g0", f"{p}step", f"{p}bw"), gs, "inner")
+            .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+            .groupBy(*gs, "point").agg(F.sum(F.col(f"{p}w") * F.exp(F.lit(-0.5) * u * u)).alias(f"{p}s")))
     norm = 1.0 / math.sqrt(2 * math.pi)
-    sums = []
-    for i in range(grid):
-        gx = F.col("_g0") + F.lit(i) * F.col("_step")
-        u = F.try_divide(gx - F.col(value), F.col("_bw"))
-        sums.append(F.sum(F.col("_w") * F.exp(F.lit(-0.5) * u * u)))
-    agg = j.groupBy(*gs).agg(
-        F.array(*sums).alias("_k"), F.first("_n").alias("_n"), F.first("_bw").alias("_bw"),
-        F.first("_g0").alias("_g0"), F.first("_step").alias("_step"))
-    out = agg.select(*gs, "_n", "_bw", "_g0", "_step", F.posexplode("_k").alias("point", "_s"))
-    return out.select(
+    return sums.join(st, gs, "inner").select(
         *gs, F.col("point").cast("int").alias("point"),
-        F.round(F.col("_g0") + F.col("point") * F.col("_step"), 9).alias("x"),
-        F.round(F.try_divide(F.col("_s") * norm, F.col("_n") * F.col("_bw")), 9).alias("density"))
+        F.round(at, 9).alias("x"),
+        F.round(F.try_divide(F.col(f"{p}s") * norm, F.col(f"{p}n") * bw), 9).alias("density"))
 
 
 def scatter_points(df: DataFrame, x: str, y: str, color: str | None = None,
@@ -208,12 +232,16 @@ def pair_grid(df: DataFrame, cols: Sequence[str], hue: str, bins: int = 10) -> D
         lo, w = F.col(f"_lo_{c}"), (F.col(f"_hi_{c}") - F.col(f"_lo_{c}")) / bins
         return F.when(F.col(c).isNotNull(), _bin_expr(F.col(c).cast("double"), lo, w, bins))
 
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("x_dim"), F.lit(bb).alias("y_dim"), b(a).alias("x_bin"),
-                 (b(bb) if a != bb else F.lit(None).cast("int")).alias("y_bin"))
-        for a, bb in pairs])).alias("c")
-    e = j.select(hue, cells).select(hue, "c.*").where(F.col("x_bin").isNotNull())
-    return e.groupBy("x_dim", "y_dim", hue, "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
+    # the rows are counted once by all their bins; the panels are sums of those counts
+    p = free_prefix(df.columns)
+    joint = j.groupBy(hue, *[b(c).alias(f"{p}b{i}") for i, c in enumerate(cols)]).agg(F.count(F.lit(1)).alias(f"{p}n"))
+    at = {c: F.col(f"{p}b{i}") for i, c in enumerate(cols)}
+    panels = F.inline(F.array(*[
+        F.struct(F.lit(a).alias("x_dim"), F.lit(c).alias("y_dim"), at[a].alias("x_bin"),
+                 (at[c] if a != c else F.lit(None).cast("int")).alias("y_bin"))
+        for a, c in pairs]))
+    e = joint.select(hue, f"{p}n", panels).where(F.col("x_bin").isNotNull())
+    return e.groupBy("x_dim", "y_dim", hue, "x_bin", "y_bin").agg(F.sum(f"{p}n").alias("count"))
 
 
 def pair_grid_diagonal(df: DataFrame, cols: Sequence[str], hue: str, grid: int = 100) -> DataFrame:

@@ -1,16 +1,13 @@
-"""Join helpers (J1–J3): size-checked broadcast and semi-join membership."""
+"""Join helpers (J1–J3): dimension joins, hot keys and semi-join membership."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumen.operators.ordered import free_prefix, sortable
 from lumen.session import scratch_dir
 
-# Row bound under which a dimension is broadcast (checked, never assumed).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 def materialize_table(df: DataFrame) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read
     it back: the plan runs once and later jobs start from the files (lineage
@@ -20,28 +17,40 @@ def materialize_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      materialize: bool = False) -> DataFrame:
-    """Mark ``dim`` for broadcast only after checking it has at most ``max_rows`` rows.
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Fact × dimension join.  Nothing is hinted: Spark broadcasts the dimension
+    where its size in bytes, estimated from the files or measured by AQE at its
+    exchange, is within ``spark.sql.autoBroadcastJoinThreshold``, else both sides are
+    shuffled and AQE splits partitions that a hot key fills."""
+    return fact.join(dim, on, how)
 
-    The check is one count job over the dimension alone.  With
-    ``materialize`` (for a dimension that is itself an aggregate of the fact)
-    the dimension is first written as a table in the session's shared
-    checkpoint folder, so the aggregate runs once, its lineage is cut and the
-    count reads file metadata.  Beyond the
-    bound the plain DataFrame is returned and the join shuffles on its keys
-    (AQE may still split skewed partitions at run time).
-    """
-    if materialize:
-        dim = materialize_table(dim)
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
 
+def join_salted(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner",
+                heavy: int = 64, share: float = 0.01, salts: int = 16) -> DataFrame:
+    """Fact × dimension join for a dimension too large to broadcast and a fact with hot keys.
 
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact × dimension join with a size-checked broadcast of the dimension."""
-    return fact.join(bounded_broadcast(dim, max_rows), on, how)
+    A frequent-items sketch of the fact's key (``approx_top_k``) names at most
+    ``heavy`` keys that hold more than ``share`` of the rows.  Rows with such a key are
+    dealt over ``salts`` partitions by a hash of the row, and the dimension's
+    rows with it are repeated for each; all other rows join on the key alone.
+    The sketch only decides where rows go, so its errors cannot change the
+    result.  ``how``: inner or left.  Nothing runs while the plan is built.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("join_salted is for inner and left joins")
+    p = free_prefix(fact.columns, dim.columns)
+    top = fact.agg(F.expr(f"approx_top_k(`{fact_key}`, {heavy})").alias("top"), F.count(F.lit(1)).alias("n"))
+    hot = F.transform(F.filter("top", lambda t: t["count"] > F.col("n") * share), lambda t: t["item"])
+    hot = top.select(F.coalesce(hot, F.array().cast(f"array<{fact.schema[fact_key].dataType.simpleString()}>")).alias(f"{p}hot"))
+    is_hot = lambda key: F.coalesce(F.array_contains(f"{p}hot", F.col(key)), F.lit(False))
+    deal = F.pmod(F.xxhash64(*sortable(fact)), F.lit(salts)).cast("int")
+    rows = fact.crossJoin(F.broadcast(hot)).withColumn(  # one row
+        f"{p}salt", F.when(is_hot(fact_key), deal).otherwise(F.lit(0))).drop(f"{p}hot")
+    every = F.sequence(F.lit(0), F.when(is_hot(dim_key), F.lit(salts - 1)).otherwise(F.lit(0)))
+    side = dim.crossJoin(F.broadcast(hot)).withColumn(f"{p}at", F.explode(every)).drop(f"{p}hot")
+    cond = (F.col(fact_key) == F.col(dim_key)) if fact_key != dim_key else (rows[fact_key] == side[dim_key])
+    out = rows.join(side, cond & (F.col(f"{p}salt") == F.col(f"{p}at")), how).drop(f"{p}salt", f"{p}at")
+    return out if fact_key != dim_key else out.drop(side[dim_key])
 
 
 def top_k_keys(df: DataFrame, key: str, k: int) -> DataFrame:

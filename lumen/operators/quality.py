@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumen.operators.aggregates import approx_quantiles, exact_quantiles
+from lumen.operators.aggregates import approx_quantiles, column_quantiles, exact_quantiles
 from lumen.operators.joins import attach_scalars
+from lumen.operators.ordered import free_prefix
 
 
 def missing_summary(df: DataFrame, cols: Sequence[str], prefix: str = "pct_missing_") -> DataFrame:
@@ -24,7 +25,7 @@ def missing_summary(df: DataFrame, cols: Sequence[str], prefix: str = "pct_missi
 
 def quantiles(df: DataFrame, value: str, probs: dict, exact: bool = True,
               accuracy: int = 100) -> DataFrame:
-    """One-row quantiles: exact (distributed sort) or approximate (sketch,
+    """One-row quantiles: exact (bracketed selection) or approximate (sketch,
     rank error 1/accuracy, like ``approxQuantile(..., 0.01)``)."""
     if exact:
         return exact_quantiles(df, value, probs)
@@ -33,9 +34,9 @@ def quantiles(df: DataFrame, value: str, probs: dict, exact: bool = True,
 
 def mean_vs_median(df: DataFrame, value: str, exact: bool = True) -> DataFrame:
     """Mean and median of one column (NULLs skipped), one row."""
-    mean = df.agg(F.avg(value).alias("mean"))
-    med = quantiles(df, value, {"median": 0.5}, exact=exact)
-    return attach_scalars(mean, med)
+    if exact:  # the mean comes with the first of the median's two reads
+        return exact_quantiles(df, value, {"median": 0.5}, also={"mean": F.avg(value)}).select("mean", "median")
+    return attach_scalars(df.agg(F.avg(value).alias("mean")), quantiles(df, value, {"median": 0.5}, exact=False))
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -45,7 +46,8 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     kept by ``row_number``; Spark limits each task's groups before the sort.
     """
     first = Window.partitionBy(*keys).orderBy(*order)
-    return df.repartition(*keys).withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
+    rn = f"{free_prefix(df.columns)}rn"
+    return df.repartition(*keys).withColumn(rn, F.row_number().over(first)).where(F.col(rn) == 1).drop(rn)
 
 
 def dedup_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -54,8 +56,9 @@ def dedup_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     One pass: the rows are counted by key, then counts and keys are summed
     (NULL-keyed rows count as a key, as ``dropDuplicates`` keeps them).
     """
-    by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (by_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
+    n = f"{free_prefix(df.columns)}n"
+    by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    return (by_key.agg(F.coalesce(F.sum(n), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
             .withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after")))
 
 
@@ -67,15 +70,24 @@ def impute_median(df: DataFrame, value: str, median_of: DataFrame | None = None,
     column gets the median truncated toward zero).
     """
     src = median_of if median_of is not None else df
-    med = quantiles(src, value, {"_median": 0.5}, exact=exact)
-    dtype = df.schema[value].dataType
-    j = attach_scalars(df, med)
-    return j.withColumn(value, F.coalesce(F.col(value), F.col("_median").cast(dtype))).drop("_median")
+    name = f"{free_prefix(df.columns)}median"
+    return fill_with(df, value, quantiles(src, value, {name: 0.5}, exact=exact), name)
+
+
+def fill_with(df: DataFrame, value: str, one_row: DataFrame, name: str) -> DataFrame:
+    """NULLs of ``value`` filled with column ``name`` of a one-row table, cast to its type."""
+    p = free_prefix(df.columns)
+    j = attach_scalars(df, one_row.select(F.col(name).alias(f"{p}fill")))
+    return j.withColumn(value, F.coalesce(F.col(value), F.col(f"{p}fill").cast(df.schema[value].dataType))).drop(f"{p}fill")
 
 
 def iqr_bounds(df: DataFrame, value: str, k: float = 1.5, exact: bool = True) -> DataFrame:
     """Q1, Q3, IQR and the fences Q1 − k·IQR, Q3 + k·IQR, one row."""
-    q = quantiles(df, value, {"q1": 0.25, "q3": 0.75}, exact=exact)
+    return fences(quantiles(df, value, {"q1": 0.25, "q3": 0.75}, exact=exact), k)
+
+
+def fences(q: DataFrame, k: float = 1.5) -> DataFrame:
+    """``q1`` and ``q3`` with the IQR and the fences."""
     return (q.withColumn("iqr", F.col("q3") - F.col("q1"))
              .withColumn("lower_bound", F.col("q1") - F.lit(k) * F.col("iqr"))
              .withColumn("upper_bound", F.col("q3") + F.lit(k) * F.col("iqr")))
@@ -83,10 +95,27 @@ def iqr_bounds(df: DataFrame, value: str, k: float = 1.5, exact: bool = True) ->
 
 def outlier_flag(df: DataFrame, value: str, bounds: DataFrame, name: str = "is_outlier") -> DataFrame:
     """Strictly outside the fences → true; inside or NULL → false (never NULL)."""
-    j = attach_scalars(df, bounds.select("lower_bound", "upper_bound"))
-    flag = F.when((F.col(value) < F.col("lower_bound")) | (F.col(value) > F.col("upper_bound")),
-                  F.lit(True)).otherwise(F.lit(False))
-    return j.withColumn(name, flag).drop("lower_bound", "upper_bound")
+    p = free_prefix(df.columns)
+    low, high = f"{p}low", f"{p}high"
+    j = attach_scalars(df, bounds.select(F.col("lower_bound").alias(low), F.col("upper_bound").alias(high)))
+    flag = F.when((F.col(value) < F.col(low)) | (F.col(value) > F.col(high)), F.lit(True)).otherwise(F.lit(False))
+    return j.withColumn(name, flag).drop(low, high)
+
+
+def clean_columns(df: DataFrame, fill: str, flag: str, name: str = "is_outlier", k: float = 1.5) -> DataFrame:
+    """``impute_median`` of ``fill`` and ``outlier_flag`` of ``flag`` (another column) together:
+    the median and the quartiles of both columns come from the same two reads of ``df``."""
+    if fill == flag:
+        raise ValueError("the fences of the filled column depend on its median; use the two operators")
+    q = column_quantiles(df, [fill, flag], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    of = lambda col, stat: F.max(F.when(F.col("column") == col, F.col(stat))).alias(stat)
+    one = fences(q.agg(of(fill, "median"), of(flag, "q1"), of(flag, "q3")), k)
+    p = free_prefix(df.columns)
+    median, low, high = f"{p}median", f"{p}low", f"{p}high"
+    j = attach_scalars(df, one.select(F.col("median").alias(median), F.col("lower_bound").alias(low), F.col("upper_bound").alias(high)))
+    out = F.when((F.col(flag) < F.col(low)) | (F.col(flag) > F.col(high)), F.lit(True)).otherwise(F.lit(False))
+    return j.withColumns({fill: F.coalesce(F.col(fill), F.col(median).cast(df.schema[fill].dataType)), name: out}).drop(
+        median, low, high)
 
 
 def outlier_count(flagged: DataFrame, name: str = "is_outlier") -> DataFrame:

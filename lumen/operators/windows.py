@@ -7,8 +7,9 @@ Two execution shapes:
 * top-n per group keeps Spark's window form: Catalyst inserts a partial
   ``WindowGroupLimit`` before the shuffle, so each task ships at most n rows
   per group whatever the skew;
-* running / moving / share calculations take an already aggregated series
-  (days, weeks, months) and say so: their inputs are bounded by the calendar.
+* running sums and moving means over raw rows go through ``rank_within`` too; the
+  series forms (``running_total``, ``moving_average``, ``cumulative_share``) take an
+  already aggregated series (days, weeks, months), bounded by the calendar.
 
 ROW_NUMBER, LAG, LEAD and NTILE always get a unique tie-break so results are
 reproducible; RANK and DENSE_RANK never do (ties are the point).
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumen.functions.expressions import pct
-from lumen.operators.ordered import ntile_from_rank, rank_within
+from lumen.operators.ordered import free_prefix, ntile_from_rank, rank_within, spread
 
 
 def _order_cols(order: Sequence[tuple[str, bool]]) -> list[Column]:
@@ -58,9 +59,30 @@ def ntile(df: DataFrame, k: int, by: Sequence[str], order: Sequence[tuple[str, b
 
 
 def lag_lead(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
-             tiebreak: Sequence[str], lag: Sequence[str] = (), lead: Sequence[str] = ()) -> DataFrame:
-    """Previous / next value (offset 1) within the group, as prev_<c> / next_<c>, skew-safe."""
-    return rank_within(df, by, order, tiebreak, outputs=(), lag=lag, lead=lead)
+             tiebreak: Sequence[str], lag: Sequence[str] = (), lead: Sequence[str] = (), offset: int = 1) -> DataFrame:
+    """Value ``offset`` rows before / after within the group, as prev_<c> / next_<c>, skew-safe."""
+    return rank_within(df, by, order, tiebreak, outputs=(), lag=lag, lead=lead, offset=offset)
+
+
+def running_sum_rows(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]], tiebreak: Sequence[str],
+                     value: str, name: str = "running_total", frame: str = "rows") -> DataFrame:
+    """Cumulative SUM over raw rows, skew-safe: ``frame="rows"`` steps row by row in
+    (order, tiebreak); ``frame="range"`` (SQL's default frame) gives peers in ``order``
+    the same sum, so the rows are summed by order value first."""
+    if frame == "rows":
+        return rank_within(df, by, order, tiebreak, outputs=(), running=[value]).withColumnRenamed(f"sum_{value}", name)
+    p = free_prefix(df.columns, [name])
+    keys = list(dict.fromkeys([*by, *[c for c, _ in order]]))
+    steps = df.groupBy(*[F.col(k).alias(f"{p}k_{k}") for k in keys]).agg(F.sum(value).alias(f"{p}v"))
+    steps = rank_within(steps, [f"{p}k_{k}" for k in by], [(f"{p}k_{c}", asc) for c, asc in order], [], outputs=(),
+                        running=[f"{p}v"], aggregate=True).withColumnRenamed(f"sum_{p}v", name)
+    return _join_back(df, steps, keys, [name], p)
+
+
+def moving_mean_rows(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]], tiebreak: Sequence[str],
+                     value: str, rows: int = 7, name: str = "moving_avg") -> DataFrame:
+    """Mean of the last ``rows`` raw rows of the group (NULLs skipped), skew-safe."""
+    return rank_within(df, by, order, tiebreak, outputs=(), moving=[value], rows=rows).withColumnRenamed(f"mean_{value}", name)
 
 
 def top_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
@@ -78,16 +100,16 @@ def group_mean_beside(df: DataFrame, by: Sequence[str], value: str, name: str,
     is sorted in one task; Spark broadcasts the group table if it is small.
     Rows whose key is NULL get the NULL group's mean, as the window would.
     """
-    keys = list(by)
-    means = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.avg(value).alias(name))
+    keys, p = list(by), free_prefix(df.columns, [name])
+    means = df.groupBy(*[F.col(k).alias(f"{p}k_{k}") for k in keys]).agg(F.avg(value).alias(name))
     if round_to is not None:
         means = means.withColumn(name, F.round(name, round_to))
-    return _join_back(df, means, keys, [name])
+    return _join_back(df, means, keys, [name], p)
 
 
-def _join_back(df: DataFrame, per_group: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Attach per-group columns (keyed ``_k_<key>``) to the rows, NULL-safe."""
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+def _join_back(df: DataFrame, per_group: DataFrame, keys: Sequence[str], cols: Sequence[str], p: str) -> DataFrame:
+    """Attach per-group columns (keyed ``<p>k_<key>``) to the rows, NULL-safe."""
+    cond = [F.col(k).eqNullSafe(F.col(f"{p}k_{k}")) for k in keys]
     return df.join(per_group, cond, "left").select(*df.columns, *cols)
 
 
@@ -95,11 +117,26 @@ def first_last_beside(df: DataFrame, by: Sequence[str], value: str, order: Seque
                       tiebreak: Sequence[str], first_name: str, last_name: str) -> DataFrame:
     """FIRST_VALUE / LAST_VALUE over the whole ordered group, beside each row.
 
-    Equal to ``min_by`` / ``max_by`` on (order, tiebreak) per group — a partial
-    aggregate — joined back on the group keys.
+    Ascending keys and descending numbers: ``min_by`` / ``max_by`` on (order,
+    tiebreak), a partial aggregate.  Other descending keys: the first row of each
+    group in the order and in its reverse (``WindowGroupLimit`` keeps one row per
+    group and task).  Either is joined back on the group keys.
     """
-    # A descending key is turned ascending by negation inside the sort struct,
-    # which needs a numeric column; NULLs then go last and NaN first, as DESC has them.
+    p = free_prefix(df.columns, [first_name, last_name])
+    group = [F.col(k).alias(f"{p}k_{k}") for k in by]
+    if any(not asc and not isinstance(df.schema[c].dataType, T.NumericType) for c, asc in order):
+        rows = spread(df)  # read by all three plans below
+        forth = [*order, *[(t, True) for t in tiebreak]]
+
+        def end(keys, name):
+            first = Window.partitionBy(*by).orderBy(*_order_cols(keys))
+            return rows.withColumn(f"{p}rn", F.row_number().over(first)).where(F.col(f"{p}rn") == 1).select(
+                *group, F.col(value).alias(name))
+
+        out = _join_back(rows, end(forth, first_name), by, [first_name], p)
+        return _join_back(out, end([(c, not asc) for c, asc in forth], last_name), by, [last_name], p)
+    # A descending number is turned ascending by negation inside the sort struct;
+    # NULLs then go last and NaN first, as DESC has them.
     parts = []
     for c, asc in order:
         kind = df.schema[c].dataType
@@ -107,15 +144,12 @@ def first_last_beside(df: DataFrame, by: Sequence[str], value: str, order: Seque
             parts.append(F.col(c))
         elif isinstance(kind, (T.DoubleType, T.FloatType)):
             parts += [F.col(c).isNull().alias(f"n_{c}"), (~F.isnan(c)).alias(f"f_{c}"), (-F.col(c)).alias(f"d_{c}")]
-        elif isinstance(kind, T.NumericType):
+        else:
             wide = F.col(c) if isinstance(kind, T.DecimalType) else F.col(c).cast("decimal(20,0)")
             parts += [F.col(c).isNull().alias(f"n_{c}"), (-wide).alias(f"d_{c}")]
-        else:
-            raise ValueError(f"first_last_beside: descending order needs a numeric column, got {c}")
     key = F.struct(*parts, *[F.col(t) for t in tiebreak])
-    ends = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in by]).agg(
-        F.min_by(value, key).alias(first_name), F.max_by(value, key).alias(last_name))
-    return _join_back(df, ends, by, [first_name, last_name])
+    ends = df.groupBy(*group).agg(F.min_by(value, key).alias(first_name), F.max_by(value, key).alias(last_name))
+    return _join_back(df, ends, by, [first_name, last_name], p)
 
 
 def running_total(series: DataFrame, value: str, order: Sequence[str], by: Sequence[str] = (),

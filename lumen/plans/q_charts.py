@@ -238,23 +238,28 @@ def scatter_binned(spark, sf):
        "UNION ALL SELECT 'arr_delay_whisker_high_top5', g, CAST(hi AS DOUBLE) FROM bw "
        "UNION ALL SELECT 'arr_delay_outliers_top5', g, CAST(outs AS DOUBLE) FROM bw")
 def dashboard_panels(spark, sf):
-    """The four dashboard panels from one fact, tagged and unioned (tidy long form)."""
-    from lumen.operators import aggregates as A
-    t = R.trips(spark, sf)
-    p1 = A.value_counts(t, "carrier", "n").select(
-        F.lit("flights_per_carrier").alias("panel"), F.col("carrier").alias("label"),
-        F.col("n").cast("double").alias("value"))
-    p2 = A.mean_by(t, "month", "dep_delay", "m").select(
+    """The four dashboard panels, tagged and unioned (tidy long form): one table of
+    counts by carrier, month and the two delays feeds them all, so the fact is read
+    once and its rows are shuffled only as counts."""
+    joint = C.joint_counts(R.trips(spark, sf), ["carrier", "month", "dep_delay", "arr_delay"], "n")
+    per = joint.where("carrier IS NOT NULL").groupBy("carrier").agg(F.sum("n").alias("n"))
+    p1 = per.select(F.lit("flights_per_carrier").alias("panel"), F.col("carrier").alias("label"),
+                    F.col("n").cast("double").alias("value"))
+    mean = F.try_divide(F.sum(F.col("dep_delay") * F.col("n")).cast("double"),
+                        F.sum(F.when(F.col("dep_delay").isNotNull(), F.col("n"))).cast("double"))
+    p2 = joint.where("month IS NOT NULL").groupBy("month").agg(mean.alias("m")).select(
         F.lit("mean_dep_delay_by_month").alias("panel"), F.col("month").cast("string").alias("label"),
         F.round("m", 6).alias("value"))
-    h = C.histogram(t, "dep_delay", 40, lo=-60, hi=120).where(F.col("count") > 0)
+    h = C.histogram(joint, "dep_delay", 40, lo=-60, hi=120, weight="n").where(F.col("count") > 0)
     p3 = h.select(F.lit("dep_delay_histogram").alias("panel"), F.col("bin").cast("string").alias("label"),
                   F.col("count").cast("double").alias("value"))
-    box = C.box_stats_topk(t.where(F.col("arr_delay").isNotNull()), "arr_delay", "carrier", 5)
+    top5 = per.orderBy(F.desc("n"), "carrier").limit(5).select("carrier")
+    known = joint.where("arr_delay IS NOT NULL").join(F.broadcast(top5), "carrier", "left_semi")
+    box = C.box_stats(known, "arr_delay", "carrier", weight="n")
     names = ("q1", "median", "q3", "whisker_low", "whisker_high", "outliers")
-    p4 = box.select("carrier", F.explode(F.array(*[
+    p4 = box.select(F.col("carrier").alias("label"), F.inline(F.array(*[
         F.struct(F.lit(f"arr_delay_{n}_top5").alias("panel"), F.round(F.col(n).cast("double"), 6).alias("value"))
-        for n in names])).alias("p")).select("p.panel", F.col("carrier").alias("label"), "p.value")
+        for n in names]))).select("panel", "label", "value")
     return p1.unionByName(p2).unionByName(p3).unionByName(p4)
 
 

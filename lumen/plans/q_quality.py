@@ -120,8 +120,9 @@ _CLEANED_SQL = (_IMPUTED +
 
 
 def _cleaned(spark, sf):
-    f = _filled(spark, sf)
-    return Q.outlier_flag(f, "arr_delay", Q.iqr_bounds(f, "arr_delay"))
+    """De-duplicated trips, written once, with dep_delay filled and arr_delay
+    flagged from statistics of both columns taken together."""
+    return Q.clean_columns(materialize_table(_dedup(spark, sf)), "dep_delay", "arr_delay")
 
 
 @query("validation_report", _CLEANED_SQL +
