@@ -12,9 +12,8 @@ from pyspark.sql import types as T
 
 from lumen.session import scratch_dir
 
-# A side is broadcast only when its written copy has at most this many rows
-# and its row type has a fixed width (ids, hashes, numbers, short keys).
-BROADCAST_ROWS = 500_000
+# A side is broadcast only when its written copy is measured to be at most this large.
+BROADCAST_BYTES = 16_000_000
 
 
 def write_once(df: DataFrame, tag: str) -> DataFrame:
@@ -27,11 +26,18 @@ def write_once(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hint_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a written table of fixed-width rows for broadcast if it has at most
-    ``max_rows`` rows (counted from the files' footers); otherwise return it
-    unchanged, and the join shuffles."""
-    return F.broadcast(table) if table.count() <= max_rows else table
+def hint_small(table: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a written table for broadcast if its rows take at most ``most`` bytes
+    (eight a row and fixed-width column, strings and arrays as long as they are);
+    otherwise return it unchanged, and the join shuffles."""
+    width = F.lit(8 * (len(table.columns) + 1))
+    for f in table.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            width = width + 8 * F.greatest(F.size(f.name), F.lit(0))
+    size = table.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(table) if size <= most else table
 
 
 def arrow_map(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType) -> DataFrame:

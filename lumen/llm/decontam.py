@@ -18,12 +18,16 @@ number of functions (2.6e-6 for eight).
 Verification.  Candidates are joined back to their documents and the share of
 the item's shingles found there is counted exactly.
 
-Only DataFrame functions are used.  Item tables are broadcast after a count of
-their rows or shingles; larger ones are joined by shuffle.  Defined results: null
-or empty texts and items match nothing; rows with a null document id match
-nothing; repeated document or item rows give one row per (document, item), that of
-the pair of texts with the largest containment (then the largest item text);
-extra columns are ignored.
+Documents are searched by (id, text digest), so rows with a null id and rows that
+share an id are searched like all others.
+
+Only DataFrame functions are used.  Item tables are broadcast after a measure of
+their bytes or shingles; larger ones are joined by shuffle.  Defined results: null
+or empty texts and items match nothing; repeated document or item rows, and rows
+with a null id, give one row per (document id, item), that of the pair of texts with
+the largest containment (then the largest item text); very long texts are searched
+whole; empty tables match nothing; extra columns are ignored by
+``contained_items`` and stay, whatever their names, in ``remove_contaminated``.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumen.llm.common import hint_small, write_once
+from lumen.operators.ordered import free_prefix
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -88,10 +93,21 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
                     item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per (document, item) with containment of at least ``threshold``:
     the document id, the item id, n_item, n_shared, containment."""
+    found = _found(docs, items, id_col, text_col, item_col, item_text, threshold)
+    return (found.groupBy("doc", "item").agg(F.max("best").alias("best"))
+            .select(F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("best.size").alias("n_item"),
+                    F.col("best.n").alias("n_shared"), (F.col("best.n") / F.col("best.size")).alias("containment")))
+
+
+def _found(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str,
+           threshold: float) -> DataFrame:
+    """(doc, digest, item, best) with ``best`` = (containment, size, n) of the texts that contain an item."""
     its = write_once(item_shingles(items, item_col, item_text), "items")
     sigs = hint_small(write_once(minima(its), "minima"))
     widths = [r["width"] for r in its.select("width").distinct().collect()]  # at most five numbers
-    base = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("doc IS NOT NULL")
+    base = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("text IS NOT NULL").withColumn(
+        "digest", F.xxhash64("text"))
+    key = ["doc", "digest"]
 
     def per_width(frame, cols):
         parts = [frame.select(*cols, F.lit(k).alias("width"), text_shingles(F.col("text"), k).alias("dsh"))
@@ -102,43 +118,43 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
             out = out.unionByName(p)
         return out
 
-    cands = (per_width(base, ["doc"]).select("doc", "width", F.explode("dsh").alias("sig"))
-             .join(sigs, ["width", "sig"]).select("doc", "item", "width").distinct())
+    cands = (per_width(base, key).select(*key, "width", F.explode("dsh").alias("sig"))
+             .join(sigs, ["width", "sig"]).select(*key, "item", "width").distinct())
     cands = hint_small(write_once(cands, "candidates"))
     sets = its.select("item", "width", "size", "sh")
     if (its.agg(F.sum("size")).first()[0] or 0) <= BROADCAST_SHINGLES:
         sets = F.broadcast(sets)
-    near = cands.join(base, "doc")
+    near = cands.withColumnsRenamed({"doc": "d", "digest": "g"}).join(
+        base, F.col("d").eqNullSafe(F.col("doc")) & (F.col("g") == F.col("digest"))).drop("d", "g")
     shared = None
     for k in sorted(widths):
         part = (near.where(F.col("width") == k)
-                .select("doc", "item", "width", text_shingles(F.col("text"), k).alias("dsh"))
+                .select(*key, "item", "width", text_shingles(F.col("text"), k).alias("dsh"))
                 .join(sets, ["item", "width"])
-                .select("doc", "item", "size", F.size(F.array_intersect("sh", "dsh")).alias("n")))
+                .select(*key, "item", "size", F.size(F.array_intersect("sh", "dsh")).alias("n")))
         shared = part if shared is None else shared.unionByName(part)
     if shared is None:
-        shared = near.select("doc", "item", F.lit(1).alias("size"), F.lit(0).alias("n"))
-    best = (shared.groupBy("doc", "item")
-            .agg(F.max(F.struct((F.col("n") / F.col("size")).alias("c"), "size", "n")).alias("best"))
-            .select("doc", "item", "best.size", "best.n"))
-    return (best.where(F.col("n") >= F.lit(threshold) * F.col("size"))
-            .select(F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("size").alias("n_item"),
-                    F.col("n").alias("n_shared"), (F.col("n") / F.col("size")).alias("containment")))
+        shared = near.select(*key, "item", F.lit(1).alias("size"), F.lit(0).alias("n"))
+    return (shared.where(F.col("n") >= F.lit(threshold) * F.col("size")).groupBy(*key, "item")
+            .agg(F.max(F.struct((F.col("n") / F.col("size")).alias("c"), "size", "n")).alias("best")))
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def remove_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` without the documents that contain a test item; all columns stay.
-    Rows that share an id but not their text are told apart.  Rows with a null id stay."""
-    key = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col), F.xxhash64("text")))
-    rows = docs.select(key.alias("_row"), "text")
-    found = write_once(contained_items(rows, items, id_col="_row").select("_row").distinct(), "contaminated")
-    return docs.withColumn("_row", key).join(hint_small(found), "_row", "left_anti").select(*docs.columns)
+    A row goes by its own text, whatever other rows share its id."""
+    p = free_prefix(docs.columns)
+    found = _found(docs, items, id_col, text_col, item_col, item_text, THRESHOLD)
+    gone = write_once(found.select(F.col("doc").alias(f"{p}doc"), F.col("digest").alias(f"{p}digest")).distinct(), "contaminated")
+    same = F.col(id_col).eqNullSafe(F.col(f"{p}doc")) & (F.xxhash64(text_col) == F.col(f"{p}digest"))
+    return docs.join(hint_small(gone), same, "left_anti")
 
 
 ORACLE_SQL = r"""
 WITH dw AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
-  FROM documents WHERE doc_id IS NOT NULL
+  SELECT row_number() OVER () AS row, doc_id,
+         list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM documents
 ), iw AS (
   SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
   FROM benchmark
@@ -149,11 +165,12 @@ WITH dw AS (
 ), isz AS (
   SELECT item_id, count(*) AS n FROM ish GROUP BY item_id
 ), dsh AS (
-  SELECT DISTINCT doc_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS s
+  SELECT DISTINCT row, doc_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS s
   FROM dw, (SELECT DISTINCT k FROM ish) ks WHERE len(w) >= k
 )
-SELECT doc_id, item_id, CAST(any_value(n) AS INTEGER) AS n_item, CAST(count(*) AS INTEGER) AS n_shared,
-       count(*) / any_value(n) AS containment
-FROM dsh JOIN ish USING (k, s) JOIN isz USING (item_id)
-GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(n)
+SELECT doc_id, item_id, CAST(any_value(n) AS INTEGER) AS n_item, CAST(max(n_shared) AS INTEGER) AS n_shared,
+       max(n_shared) / any_value(n) AS containment
+FROM (SELECT row, doc_id, item_id, any_value(n) AS n, count(*) AS n_shared
+      FROM dsh JOIN ish USING (k, s) JOIN isz USING (item_id) GROUP BY row, doc_id, item_id)
+WHERE n_shared >= 0.8 * n GROUP BY doc_id, item_id
 """

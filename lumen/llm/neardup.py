@@ -26,9 +26,16 @@ link between different texts is given up because a bucket is large.
 Classes spread over the links by rounds of smallest-neighbour labels with
 pointer jumping, each round a written table.
 
+Every row has a number of its own while it is worked on (``rid``, fixed by
+writing the rows once), so rows with a null id and rows that share an id are
+compared, linked and dropped like all others.
+
 Defined results: null text is empty; texts without words are one class of exact
-copies; rows with a null id are grouped only as exact copies of texts that some
-id names; repeated rows fall in one class; extra columns are ignored.
+copies; the class id is the smallest id of the class, null if no row has one; of
+each class one row is kept, that of the smallest id (null last; of repeated rows
+any one); very long texts are compared whole; an empty table gives an empty
+result; extra columns are ignored by ``near_duplicate_classes`` and stay, whatever
+their names, in ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
@@ -43,6 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumen.llm.common import arrow_map, hint_small, schema_of, texts_of, write_once
+from lumen.operators.ordered import free_prefix
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 6
@@ -134,10 +142,10 @@ def text_key(words: list[str]) -> bytes:
     return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, h, sig, bands): text digest, 16 bits of each component, band hashes
-    (null for texts without words) of every row."""
-    kind = docs.schema[id_col].dataType.simpleString()
+def signed(base: DataFrame) -> DataFrame:
+    """(id, rid, h, sig, bands): text digest, 16 bits of each component, band hashes
+    (null for texts without words) of every row of ``base`` (id, rid, text)."""
+    kind = base.schema["id"].dataType.simpleString()
 
     def run(cols):
         out = {"h": [], "sig": [], "bands": []}
@@ -166,10 +174,10 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if words:
             flush()
         _WORDS.clear()
-        return out | {"id": cols["id"]}
+        return out | {"id": cols["id"], "rid": cols["rid"]}
 
-    return arrow_map(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run,
-                     schema_of(f"id {kind}, h binary, sig binary, bands array<long>"))
+    return arrow_map(base.select("id", "rid", "text"), run,
+                     schema_of(f"id {kind}, rid long, h binary, sig binary, bands array<long>"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -289,10 +297,18 @@ def _leftover_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, tex
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, ``class_id`` (the smallest id of its class) and ``h`` (the
-    digest of its word sequence)."""
-    rows = write_once(signed(docs, id_col, text_col), "signed")
-    nodes = write_once(rows.groupBy("h").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"),
+    """Per row: the id, ``class_id`` (the smallest id of its class), ``h`` (the
+    digest of its word sequence) and ``kept`` (true for one row of each class)."""
+    base = write_once(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                                  F.monotonically_increasing_id().alias("rid")), "rows")
+    return _classes(base).select(F.col("id").alias(id_col), "class_id", "h", "kept")
+
+
+def _classes(base: DataFrame) -> DataFrame:
+    """(id, rid, class_id, h, kept) of every row of the written table ``base`` (id, rid, text)."""
+    rows = write_once(signed(base), "signed")
+    head = F.struct(F.col("id").isNull().alias("unnamed"), "id", "rid")
+    nodes = write_once(rows.groupBy("h").agg(F.min("id").alias("rep"), F.min(head).alias("head"), F.first("sig").alias("sig"),
                                              F.first("bands").alias("bands")), "texts")
     flat = nodes.where("bands IS NOT NULL").select("h", F.posexplode("bands").alias("band", "key"))
     sizes = flat.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -303,65 +319,26 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     members = write_once(members.join(reps, ["band", "key"]), "stars")
 
     stars = members.where("h <> rep").select(F.col("h").alias("a"), F.col("rep").alias("b")).distinct()
-    wanted = hint_small(write_once(
-        members.select("h").distinct().join(nodes.where("rep IS NOT NULL").select("h", F.col("rep").alias("id")), "h"), "wanted"))
-    # A clashing id may name several texts; only the one with the digest counts.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id").select("h", "text")
-    texts = _own_texts(texts)
-    repeated = write_once(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND id IS NOT NULL"), "repeated")
-    if repeated.limit(1).count():  # a text once, else its pairs would multiply
-        texts = texts.dropDuplicates(["h"])
-    texts = write_once(texts, "bodies")
+    wanted = hint_small(write_once(members.select("h").distinct().join(nodes.select("h", "head.rid"), "h"), "wanted"))
+    texts = write_once(base.select("rid", "text").join(wanted, "rid").select("h", "text"), "bodies")  # each text once
     links = write_once(_verified(stars, texts), "links")
     labels = components(links)
     more = write_once(_leftover_links(members, labels, nodes, texts), "leftover")
     if more.limit(1).count():
         labels = components(write_once(links.unionByName(more), "links"), labels)
-    named = nodes.select("h", "rep").join(labels, "h", "left").withColumn("label", F.coalesce("label", "h"))
+    named = nodes.select("h", "rep", "head").join(labels, "h", "left").withColumn("label", F.coalesce("label", "h"))
     named = write_once(named, "named")
-    heads = named.groupBy("label").agg(F.min("rep").alias("class_id"))
-    classes = write_once(named.join(heads, "label").select("h", "class_id"), "classes")
-    return rows.select(F.col("id").alias(id_col), "h").join(classes, "h").select(id_col, "class_id", "h")
-
-
-def _own_texts(texts: DataFrame) -> DataFrame:
-    """(h, text) of the rows whose text has the digest."""
-    def run(cols):
-        keep = [(h, t) for h, t in zip(cols["h"].to_pylist(), texts_of(cols["text"])) if text_key(t.split()) == h]
-        return {"h": [k[0] for k in keep], "text": [k[1] for k in keep]}
-
-    return arrow_map(texts, run, schema_of("h binary, text string"))
+    heads = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.min("head").alias("first"))
+    classes = write_once(named.join(heads, "label").select("h", "class_id", F.col("first.rid").alias("kept_rid")), "classes")
+    return rows.select("id", "rid", "h").join(classes, "h").select(
+        "id", "rid", "class_id", "h", (F.col("rid") == F.col("kept_rid")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class: the one of the smallest id (of repeated
-    rows one stays).  Rows that share an id but not their words are told apart.
-    Rows with a null id stay."""
-    names = docs.columns
-    classes = near_duplicate_classes(docs, id_col, text_col)
-    named = classes.where(F.col(id_col).isNotNull())
-    again = write_once(classes.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
-                       .where((F.col("_n") > 1) & F.col(id_col).isNotNull())
-                       .select(F.col(id_col).alias("_again")), "again")
-    gone = write_once(named.where(F.col(id_col) != F.col("class_id"))
-                      .select(F.col(id_col).alias("_gone"), F.col("h").alias("_h")).distinct(), "gone")
-    if not again.limit(1).count():
-        return docs.join(hint_small(gone.select("_gone")), F.col(id_col) == F.col("_gone"), "left_anti").select(*names)
-    # only ids that occur more than once need their rows brought together, and their texts told apart
-    again = hint_small(again)
-    ids_gone = gone.select("_gone").join(again, F.col("_gone") == F.col("_again"), "left_anti")
-    once = (docs.join(again, F.col(id_col) == F.col("_again"), "left_anti")
-            .join(hint_small(write_once(ids_gone, "gone-once")), F.col(id_col) == F.col("_gone"), "left_anti"))
-    twice = _with_key(docs.join(again, F.col(id_col) == F.col("_again"), "left_semi"), text_col)
-    gone = gone.join(again, F.col("_gone") == F.col("_again"), "left_semi")
-    twice = (twice.join(gone, (F.col(id_col) == F.col("_gone")) & (F.col("_key") == F.col("_h")), "left_anti")
-             .dropDuplicates([id_col, "_key"]))
-    return once.select(*names).unionByName(twice.select(*names))
-
-
-def _with_key(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with the digest of each row's word sequence as ``_key``."""
-    def run(cols):
-        return dict(cols) | {"_key": [text_key(t.split()) for t in texts_of(cols[text_col])]}
-
-    return arrow_map(docs, run, docs.select("*", F.lit(b"").alias("_key")).schema)
+    """``docs`` with one row of each class: the one of the smallest id (null last;
+    of repeated rows one stays).  All columns stay."""
+    p = free_prefix(docs.columns)
+    base = write_once(docs.withColumn(f"{p}rid", F.monotonically_increasing_id()), "rows")
+    found = _classes(base.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(f"{p}rid").alias("rid")))
+    gone = write_once(found.where("NOT kept").select(F.col("rid").alias(f"{p}gone")), "gone")
+    return base.join(hint_small(gone), F.col(f"{p}rid") == F.col(f"{p}gone"), "left_anti").select(*docs.columns)

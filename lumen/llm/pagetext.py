@@ -9,11 +9,16 @@ two-label chain (main text, other) scores blocks and neighbouring labels; it is
 trained by maximum likelihood and decoded by Viterbi over the whole page.
 
 Labelled pages for training: a bounded sample of at most ``TRAIN_PAGES``
-different pages (the smallest hashes, so the same ones at every run) whose own
-article element names the main text, and ``MADE_PAGES`` pages that
-set the sample's paragraphs in other layouts (content divisions, sidebars,
-notices, adverts, forms, reader comments) with known labels.  Only the sample
-reaches the driver.
+different pages of up to ``TRAIN_CHARS`` characters (the smallest hashes, so the
+same ones at every run) whose own article element names the main text, and
+``MADE_PAGES`` pages that set up to ``TRAIN_TEXTS`` of the sample's paragraphs and
+short texts in other layouts (content divisions, sidebars, notices, adverts,
+forms, reader comments) with known labels; pages of more than ``TRAIN_BLOCKS``
+blocks do not train.  Only the sample reaches the driver.  These bounds hold for
+training alone: extraction reads every page whole.
+
+A quote opens an attribute's value only after an equals sign; any other quote in
+a tag, and one that never closes, is a character like others.
 
 Defined results: null html is empty; a page without main text gives an empty
 string; unclosed tags, comments and scripts end with the page; repeated rows
@@ -33,12 +38,12 @@ from pyspark.sql import functions as F
 
 from lumen.llm.common import arrow_map, schema_of, texts_of
 
-TRAIN_PAGES, MADE_PAGES, TRAIN_BLOCKS = 400, 900, 250
+TRAIN_PAGES, MADE_PAGES, TRAIN_BLOCKS, TRAIN_TEXTS, TRAIN_CHARS = 400, 900, 250, 4000, 200_000
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|svg|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)/?(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)", re.I | re.S)
 NAMES = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -358,15 +363,15 @@ def training_set(sample: list[str], made: int = MADE_PAGES, seed: int = 11) -> l
     words = ["".join(rnd.choices("aeioulnrst", k=rnd.randint(2, 9))) for _ in range(300)]
     lines = [" ".join(rnd.choices(words, k=rnd.randint(4, 90))).capitalize() + "." for _ in range(200)]
     texts = [b.text for found, _ in own for b in found]
-    paragraphs = [t for t in texts if len(t) >= 60][:4000] or lines
-    shorts = [t for t in texts if 3 <= len(t) < 90][:4000] or [ln[:40] for ln in lines]
+    paragraphs = [t for t in texts if len(t) >= 60][:TRAIN_TEXTS] or lines
+    shorts = [t for t in texts if 3 <= len(t) < 90][:TRAIN_TEXTS] or [ln[:40] for ln in lines]
     return own + [marked(made_page(paragraphs, shorts, rnd)) for _ in range(made)]
 
 
 def train(pages: DataFrame, html_col: str = "html", rows: int = TRAIN_PAGES) -> Chain:
     """The chain trained on labelled pages; at most ``rows`` pages reach the driver."""
     share = min(1.0, 4 * rows / max(1, pages.count()))  # four times as many, as copies fall together
-    near = pages.select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("h")).where("html IS NOT NULL").where(
+    near = pages.select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("h")).where(F.length("html") <= TRAIN_CHARS).where(
         F.pmod("h", F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
     sample = near.groupBy("h").agg(F.min("html").alias("html")).orderBy(F.pmod("h", F.lit(1 << 20)), "h").limit(rows)
     texts = sorted(r["html"] for r in sample.collect())

@@ -9,8 +9,9 @@ the key, and the pseudonym is again a valid value of the kind:
 * ``iban``   country letters stay, the letters and digits of the account are
              permuted, class by class, and the check digits set anew
 * ``ssn``    AAA-GG-SSSS with an issued area: permuted among issued numbers
-* ``phone``  +C (AAA) BBB-DDDD and similar: the national digits are permuted
-* ``ip``     four octets: permuted among all addresses
+* ``phone``  +C (AAA) BBB-DDDD and similar: the national digits are permuted, the
+             calling code stays, however the number is spaced
+* ``ip``     four octets: permuted among all addresses (not after "version" or "v")
 * ``date``   valid calendar dates from 1900 to 2099 (Y-m-d, d.m.Y, d/m/Y or
              m/d/Y): permuted among those days, written in the same format
 * ``email``  letters and digits of the part before the @ are permuted, class by
@@ -70,6 +71,10 @@ IBAN_LENGTH = {k: int(n) for n, ks in (x.split(":") for x in (
     "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG "
     "25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV "
     "29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for k in ks.split(",")}
+# Calling codes of one and two digits; all others have three.
+CALLING_CODES = ("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+                 "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98").split()
+VERSION = re.compile(r"(?:\bv|\bver|\bversion|\brelease|\bbuild)\.?[ :=]?\Z", re.I)
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]+)@((?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})")
 HAS_DIGIT_PAIR = re.compile(r"\d[\d.)/ -]?\d", re.A)
 
@@ -157,8 +162,12 @@ def _ssn(v: str, key: bytes) -> str | None:
 
 
 def _phone(v: str, key: bytes) -> str | None:
-    head = re.match(r"\+\d{1,3}(?=[ .(-])", v, re.A)
-    start = head.end() if head else (2 if v.startswith("+") else 0)
+    start = 0
+    if v.startswith("+"):
+        digits = [i for i, c in enumerate(v) if c.isdigit()]
+        lead = "".join(v[i] for i in digits[:2])
+        n = 1 if lead[:1] in CALLING_CODES else 2 if lead in CALLING_CODES else 3
+        start = digits[n - 1] + 1
     d = re.sub(r"\D", "", v[start:])
     if not 7 <= len(d) <= 13:
         return None
@@ -306,6 +315,9 @@ def find(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
                 at = emails[k - 1][1]
                 continue
             limit = emails[k][0] if k < len(emails) else len(text)
+            if m.lastgroup == "ip" and VERSION.search(text, max(0, s - 10), s):
+                at = m.end()
+                continue
             for e in _ends(text, m):
                 new = MAKERS[m.lastgroup](text[s:e], key) if e <= limit else None
                 if new is not None:

@@ -3,9 +3,10 @@
 1. Document evidence.  A logistic regression over 18 text features (shares of
    letters, digits, symbols and capitals, repetition, word and line shape) is
    trained on labelled documents and gives each document p(good).
-2. Site evidence.  Grouped aggregation sums n and p by path within host.  A
-   host's rate is shrunk towards the global rate, a path's towards its host's:
-   posterior = (sum p + k * prior) / (n + k).  The strengths k are fitted by
+2. Site evidence.  Grouped aggregation sums n and the evidence of each row - its
+   label where it has one, else p - by path within host.  A host's rate is shrunk
+   towards the global rate, a path's towards its host's:
+   posterior = (sum of evidence + k * prior) / (n + k).  The strengths k are fitted by
    moments from the spread of the rates (empirical Bayes), so a sparse site
    stays near its prior.
 3. Both are combined in log-odds: logit p(doc) + logit posterior(path) -
@@ -19,9 +20,11 @@ Everything else covers all rows.
 
 Defined results: null text is empty; null host or path is a site of its own;
 labels that are null or whose document is missing are left out, repeated ones
-count each; without labels of both kinds p(doc) is 0.5 and all documents are
-kept; an empty table gives an empty result; extra columns stay in
-``drop_low_quality`` and are ignored in ``score``.
+count once for each value in training and as their mean in the site evidence; without labels of
+both kinds p(doc) is 0.5 (documents are kept unless the labels of their site tip
+the balance); very long texts are read whole; an empty table gives an empty
+result; extra columns stay, whatever their names, in ``drop_low_quality`` and are
+ignored in ``score``.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumen.llm.common import arrow_map, hint_small, schema_of, texts_of, write_once
+from lumen.operators.ordered import free_prefix
 
 TRAIN_ROWS = 20_000
 N_FEATURES = 18
@@ -97,7 +101,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lab = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
     share = min(1.0, rows / max(1, lab.count()))
     lab = lab.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(lab), "id")  # bounded by ``rows``
+    # an id that is labelled many times trains once for each of its labels
+    lab = hint_small(write_once(lab.groupBy("id", (F.col("y") > 0).cast("int").alias("y")).agg(F.count(F.lit(1)).alias("n")), "sample"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(lab, "id")  # about ``rows`` rows
 
     def run(cols):
         return {"x": [features(t) for t in texts_of(cols["text"])], "y": cols["y"]}
@@ -160,32 +166,47 @@ def _logit(c):
     return F.log(c / (1 - c))
 
 
-def with_posterior(scored: DataFrame, host: str, path: str, p: str = "_p") -> DataFrame:
-    """``scored`` with ``_post``, the combined probability.  ``scored`` should be a
-    written table: it is read for the sites and for the rows."""
-    sites = hint_small(write_once(site_posteriors(scored, host, path, p).select(
-        F.col("host").alias("_h"), F.col("path").alias("_l"),
-        (_logit(F.col("path_rate")) - _logit(F.col("global_rate"))).alias("_shift")), "posteriors"))
-    rows = scored.join(sites, F.col(host).eqNullSafe(F.col("_h")) & F.col(path).eqNullSafe(F.col("_l")), "left")
-    z = _logit(F.col(p)) + F.coalesce("_shift", F.lit(0.0))
-    return rows.withColumn("_post", 1 / (1 + F.exp(-z))).drop("_h", "_l", "_shift")
+def with_evidence(scored: DataFrame, labels: DataFrame, id_col: str, labelled_id: str, label_col: str, p: str, name: str) -> DataFrame:
+    """``scored`` with ``name``: the mean label of the row's id where there is one, else ``p``."""
+    f = free_prefix(scored.columns, [name])
+    known = labels.where(F.col(labelled_id).isNotNull() & F.col(label_col).isNotNull()).groupBy(
+        F.col(labelled_id).alias(f"{f}id")).agg(F.avg((F.col(label_col) > 0).cast("double")).alias(f"{f}y"))
+    known = hint_small(write_once(known, "known-labels"))
+    return scored.join(known, F.col(id_col) == F.col(f"{f}id"), "left").withColumn(
+        name, F.coalesce(f"{f}y", p)).drop(f"{f}id", f"{f}y")
+
+
+def with_posterior(scored: DataFrame, sites: DataFrame, host: str, path: str, p: str = "_p", name: str = "_post") -> DataFrame:
+    """``scored`` with ``name``, the combined probability of the document and its site
+    (``sites``: of ``site_posteriors``)."""
+    f = free_prefix(scored.columns, [name])
+    sites = hint_small(write_once(sites.select(
+        F.col("host").alias(f"{f}h"), F.col("path").alias(f"{f}l"),
+        (_logit(F.col("path_rate")) - _logit(F.col("global_rate"))).alias(f"{f}shift")), "posteriors"))
+    rows = scored.join(sites, F.col(host).eqNullSafe(F.col(f"{f}h")) & F.col(path).eqNullSafe(F.col(f"{f}l")), "left")
+    z = _logit(F.col(p)) + F.coalesce(f"{f}shift", F.lit(0.0))
+    return rows.withColumn(name, 1 / (1 + F.exp(-z))).drop(f"{f}h", f"{f}l", f"{f}shift")
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          host: str = "source", path: str = "lang") -> DataFrame:
+          host: str = "source", path: str = "lang", label_col: str = "quality") -> DataFrame:
     """Per row: the id, ``p_document``, ``p_good`` (combined) and ``keep``."""
-    model = train(docs, labels, id_col, text_col)
+    model = train(docs, labels, id_col, text_col, label_col)
     scored = with_document_score(docs.select(F.col(id_col).alias("_id"), F.col(host).alias("_host"),
                                              F.col(path).alias("_path"), F.col(text_col).alias("_text")), model, "_text")
     scored = write_once(scored.drop("_text"), "scores")
-    return with_posterior(scored, "_host", "_path").select(
+    sites = site_posteriors(with_evidence(scored, labels, "_id", id_col, label_col, "_p", "_seen"), "_host", "_path", "_seen")
+    return with_posterior(scored, sites, "_host", "_path").select(
         F.col("_id").alias(id_col), F.round("_p", 6).alias("p_document"), F.round("_post", 6).alias("p_good"),
         (F.col("_post") >= 0.5).alias("keep"))
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     host: str = "source", path: str = "lang") -> DataFrame:
+                     host: str = "source", path: str = "lang", label_col: str = "quality") -> DataFrame:
     """``docs`` without the documents that the classifier rejects; all columns stay."""
-    model = train(docs, labels, id_col, text_col)
-    scored = write_once(with_document_score(docs, model, text_col), "scored")
-    return with_posterior(scored, host, path).where("_post >= 0.5").select(*docs.columns)
+    model, f = train(docs, labels, id_col, text_col, label_col), free_prefix(docs.columns)
+    scored = write_once(with_document_score(docs, model, text_col, f"{f}p"), "scored")
+    seen = with_evidence(scored.select(F.col(id_col).alias("_id"), F.col(host).alias("_host"), F.col(path).alias("_path"),
+                                       F.col(f"{f}p").alias("_p")), labels, "_id", id_col, label_col, "_p", "_seen")
+    sites = site_posteriors(seen, "_host", "_path", "_seen")
+    return with_posterior(scored, sites, host, path, f"{f}p", f"{f}post").where(F.col(f"{f}post") >= 0.5).select(*docs.columns)

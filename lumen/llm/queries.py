@@ -10,8 +10,8 @@ from lumen.llm import (decontam, hardnegatives, langid, neardup, pagetext, pseud
 from lumen.llm.common import hint_small, write_once
 from lumen.session import scratch_dir
 
-# A key of the deployment's own belongs here; this one is for the given tables.
-PSEUDONYM_KEY = b"lumen-demo-key-0001"
+# A deployment sets its own key in the session under this name; the default is for the given tables.
+PSEUDONYM_KEY = ("spark.lumen.pseudonymKey", "lumen-demo-key-0001")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +45,7 @@ def op6_sentencepiece(spark, sf_dir):
 
 
 def op7_pseudonyms(spark, sf_dir):
-    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), spark.conf.get(*PSEUDONYM_KEY).encode())
 
 
 def op8_token_rollup(spark, sf_dir):

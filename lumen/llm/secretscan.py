@@ -4,14 +4,20 @@ Base rules find three kinds of span (``assign``, ``access``, ``hex``).  Two
 first-order character models, one of random strings and one of ordinary
 identifiers, are trained from labelled samples; a run of 16 or more token
 characters outside the base spans (what lies before, between and after them, if
-they cover a part of it) whose log-likelihood ratio reaches ``MIN_RATIO`` nats is a
-further span of kind ``markov``.
-
-Labelled samples: random strings are the values of base spans found in the
-documents plus seeded random strings over the usual alphabets; ordinary
-identifiers are the other words of eight or more token characters.  Training
-counts the character pairs of every whole text and moves only these counts; the
-scan reads every whole text as well.
+they cover a part of it) is a further span of kind ``markov`` if its log-likelihood
+ratio reaches ``MIN_RATIO`` nats in all and ``MIN_MEAN`` nats a character.
+
+Labelled samples.  Random: seeded random strings over the usual alphabets, and the
+values of base spans found in the documents.  Ordinary: seeded identifiers in
+every usual form (snake, kebab, constant, camel and Pascal case, paths, URLs,
+UUIDs, rule lines, numbers) made of program words and of words that the
+documents' own character pairs give, and all other words of eight or more token
+characters of the documents.  The documents' counts weigh ``DOCUMENT_SHARE`` of the
+made ones, so that neither the prose of a large corpus nor its few secrets
+outweigh the forms.  Pairs not seen back off to the frequency of the character
+alone.  Training counts the character pairs of every whole text and moves only
+these counts; the scan reads every whole text as well.  Lower-case hex of fewer
+than 24 digits reads like parts of a UUID and is left alone.
 
 Spans are code points with an exclusive end.  Defined results: null text is
 empty and has no span; documents without ordinary words train no model and get
@@ -44,8 +50,29 @@ WORD = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 CHUNK_CHARS = 2_000_000  # of words that are counted at once
-MIN_RATIO = 12.0
+MIN_RATIO, MIN_MEAN = 12.0, 0.5
 MIN_RUN = 16
+DOCUMENT_SHARE = 0.3
+BACK_OFF = 4.0  # pseudo-counts of a character's own frequency after each character
+# Words that program identifiers are made of.
+PROGRAM_WORDS = (
+    "account action add address admin agent alert api app apply archive array async auth backup base batch before block "
+    "body buffer build button bytes cache call cancel card cart chart check child class clean click client close cloud "
+    "code color column command commit common component config connect console content context control cookie copy core "
+    "count create current custom data database date debug default delete deploy detail device dialog display domain "
+    "download edit element email enable engine entry error event example execute expect export factory feature fetch "
+    "field file filter find first flag flow folder form format frame from function global grid group guide handler hash "
+    "header health help history home host icon image import index info input insert install instance interface invoice "
+    "item java job join key label last layout library license limit line link list listener load local lock log main "
+    "manager map mask master member memory menu message method mobile mode model module month mouse name network next "
+    "node note number object offset open option order owner package page panel param parent parse path payment pool port "
+    "position prefix price private process product profile project property provider proxy public query queue random "
+    "range rate read record reference region register release remote remove render report request reset resource "
+    "response result return review role root route row rule run save scan schema scope score script search section "
+    "select send server service session set settings setup share shell size sort source start state status step stop "
+    "storage store stream string style submit support switch sync system table target task team template test text "
+    "theme thread time title toggle total trace track transaction tree trigger type unit update upload user util value "
+    "vector version view visible wait web width window word work wrapper write year zone").split()
 CLASSES = 96  # printable ASCII and one class for the rest
 MASK = "[secret]"
 
@@ -122,6 +149,65 @@ def labelled_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return pairs.groupBy("label", "pair").agg(F.sum("n").alias("n"))
 
 
+def chain_words(pairs: np.ndarray, n: int, seed: int) -> list[str]:
+    """Seeded lower-case words drawn from character-pair counts."""
+    rnd = random.Random(seed)
+    letters = [ord(c) - 33 for c in string.ascii_lowercase]
+    weights = pairs.reshape(CLASSES, CLASSES)[np.ix_(letters, letters)] + 1e-9
+    first = weights.sum(axis=1)
+    out = []
+    for _ in range(n):
+        w = rnd.choices(range(26), weights=first)
+        for _ in range(rnd.randint(2, 8)):
+            w += rnd.choices(range(26), weights=weights[w[-1]])
+        out.append("".join(string.ascii_lowercase[i] for i in w))
+    return out
+
+
+def identifier_samples(words: list[str], n: int = 1500, seed: int = 5) -> dict[str, list[str]]:
+    """Seeded ordinary identifiers by form, ``n`` of each."""
+    rnd = random.Random(seed)
+    word = lambda: rnd.choice(words)
+    cap = lambda w: w[:1].upper() + w[1:]
+    digits = lambda k: "".join(rnd.choices("0123456789abcdef", k=k))
+    marks = string.ascii_letters + string.digits
+
+    def uuid():
+        u = "-".join(digits(k) for k in (8, 4, 4, 4, 12))
+        return u.upper() if rnd.random() < 0.2 else u
+
+    def rule():
+        if rnd.random() < 0.7:
+            return rnd.choice("-=_+/" + marks) * rnd.randint(16, 60)
+        return "".join(rnd.sample("-=+/_", 2)) * rnd.randint(8, 30)
+
+    forms = {
+        "snake": lambda ws: "_".join(ws) + rnd.choice(("", "", f"_{rnd.randint(0, 9999)}")),
+        "kebab": lambda ws: "-".join(ws) + rnd.choice(("", "", f"-{rnd.randint(0, 99)}")),
+        "constant": lambda ws: "_".join(ws).upper(),
+        "camel": lambda ws: ws[0] + "".join(map(cap, ws[1:])) + rnd.choice(("", "", str(rnd.randint(0, 99)))),
+        "pascal": lambda ws: "".join(map(cap, ws)),
+        "path": lambda ws: rnd.choice(("", "/")) + "/".join(
+            rnd.choice((w, w, f"{w}_{word()}", cap(w) + cap(word()), f"{w}-{word()}")) for w in ws)
+        + "/" + "".join(cap(word()) for _ in range(rnd.randint(1, 3))),
+        "url": lambda ws: "//www/" + "/".join(
+            rnd.choice((w, f"{w}-{word()}", str(rnd.randint(1990, 2030)), f"{w}={word()}")) for w in ws),
+        "uuid": lambda ws: uuid(),
+        "rule": lambda ws: rule(),
+        "number": lambda ws: "".join(rnd.choices(string.digits, k=rnd.randint(16, 24))),
+    }
+    return {name: [make([word() for _ in range(rnd.randint(3, 6))]) for _ in range(n)] for name, make in forms.items()}
+
+
+def _logs(counts: np.ndarray) -> np.ndarray:
+    """Log probabilities of the next character, backing off to its own frequency."""
+    c = counts.reshape(CLASSES, CLASSES)
+    alone = c.sum(axis=0) + 0.5
+    alone[-1] = 0
+    alone /= alone.sum()
+    return np.log((c + BACK_OFF * alone[None, :] + 1e-3) / (c.sum(axis=1, keepdims=True) + BACK_OFF + CLASSES * 1e-3))
+
+
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-likelihood ratio of every character pair (random over ordinary).
 
@@ -132,12 +218,10 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         counts[r["label"], r["pair"]] = r["n"]
     if not counts[0].any():
         return np.zeros((CLASSES, CLASSES))
-    made = _count(random_samples())
-    logs = []
-    for c in (counts[0], counts[1] + made):
-        c = c.reshape(CLASSES, CLASSES) + 0.05
-        logs.append(np.log(c / c.sum(axis=1, keepdims=True)))
-    return logs[1] - logs[0]
+    words = chain_words(counts[0], 600, seed=5) + 2 * PROGRAM_WORDS
+    made = (sum(_count(v) for v in identifier_samples(words).values()), _count(random_samples(6000)))
+    plain, secret = (m + c * (DOCUMENT_SHARE * m.sum() / max(1, c.sum())) for m, c in zip(made, counts))
+    return _logs(secret) - _logs(plain)
 
 
 def _outside(at: int, end: int, starts: list[int], ends: list[int]) -> Iterator[tuple[int, int]]:
@@ -158,7 +242,8 @@ def scan_text(text: str, ratio: np.ndarray) -> list[tuple[int, int, int]]:
     for m in RUN.finditer(text):
         for at, end in _outside(m.start(), m.end(), starts, ends):
             c = _codes(text[at:end])
-            if ratio[c[:-1], c[1:]].sum() >= MIN_RATIO:
+            total = ratio[c[:-1], c[1:]].sum()
+            if total >= MIN_RATIO and total >= MIN_MEAN * (end - at):
                 extra.append((at, 3, end))
     return sorted(spans + extra)
 

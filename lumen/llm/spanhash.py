@@ -11,18 +11,18 @@ Likeness of two fingerprints (0 to 1, 1 for equal texts) is the larger of
 * the share of the longer text covered by the longest common extension from the
   start and, beyond it, the one from the end;
 * the Jaccard share of the 24-character spans, which also sees moved passages:
-  of those whose hash is 0 mod 16 if both texts are long, else of all spans of
-  both.
+  of all spans of both texts, at every length.
 
-``fingerprint_beside_next`` walks documents in descending id.  Ids are cut into
-ranges at approximate quantiles, one range a partition; the first document of
-each range is also sent to the range before, so every document meets its next
-one in a single shuffle of the texts and each task streams its rows with two
-texts in memory.
+``fingerprint_beside_next`` walks documents in descending id.  The rows are cut
+into ranges of (id, text digest) at the bounds that a bounded sample gives, one
+range a partition, so one id on many rows is cut as well; the first document of each range
+is also sent to the range before, so every document meets its next one in a single shuffle of
+the texts and each task streams its rows with two texts in memory.
 
 Defined results: null text is empty; two empty texts are alike 1; rows of equal
-id are ordered by text; null ids come last; a single document's next one is
-itself; an empty table gives an empty result; extra columns are ignored.
+id are ordered by the digest of their texts; null ids come last; a single document's
+next one is itself; ids of any type that Spark sorts; an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumen.llm.common import schema_of
+from lumen.operators.ordered import comes_before
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 998244353)
-SPAN, SAMPLE = 24, 16
-SAMPLED_FROM = 40 * SAMPLE  # characters of the shorter text of a pair
+SPAN = 24
+SAMPLE = 32  # sampled rows a range
 _POWERS: list[np.ndarray] = []
 
 
@@ -114,17 +115,10 @@ class Prefix:
     def spans(self) -> np.ndarray:
         """Sorted distinct hashes of all spans."""
         if not hasattr(self, "_spans"):
-            self._spans = np.unique(self._hashes())
+            a = np.sort(self._hashes())
+            self._spans = a[np.concatenate([[True], a[1:] != a[:-1]])]
         return self._spans
 
-    def sample(self) -> np.ndarray:
-        """Those of ``spans`` that the hash filter keeps."""
-        if not hasattr(self, "_sample"):
-            both = self._hashes()
-            mixed = both * np.uint64(0x9E3779B97F4A7C15)
-            self._sample = np.unique(both[(mixed >> np.uint64(40)) % np.uint64(SAMPLE) == 0])
-        return self._sample
-
 
 _INVERSES: dict[int, np.ndarray] = {}
 
@@ -147,8 +141,9 @@ def likeness(a: Prefix, b: Prefix) -> float:
     front = a.extension(0, b, 0)
     back = a.back_extension(a.n, b, b.n, shortest - front)
     ends = (front + back) / longest
-    x, y = (a.spans(), b.spans()) if shortest < SAMPLED_FROM else (a.sample(), b.sample())
-    both = np.isin(x, y, assume_unique=True).sum()
+    x, y = a.spans(), b.spans()
+    merged = np.sort(np.concatenate([x, y]))
+    both = int((merged[1:] == merged[:-1]).sum())
     union = x.size + y.size - both
     return float(min(max(ends, both / union if union else 0.0), 1.0 - 1.0 / (longest + 1)))
 
@@ -168,22 +163,25 @@ def fingerprint_beside_next(docs: DataFrame, id_col: str = "doc_id", text_col: s
     likeness to the edited text and to the next document (descending id)."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = base.withColumn("bucket", _range_of(base, parts))
-    # the largest id of each range: at most one row a partition
-    tops = {r["bucket"]: r["top"] for r in base.groupBy("bucket").agg(F.max("id").alias("top")).collect()}
+    base = base.withColumn("bucket", _range_of(base, parts, kind))
+    # the first row of each range: at most one a partition
+    place = F.struct(F.col("id").isNotNull().alias("named"), "id", F.bitwise_not("h").alias("rank"))
+    tops = {r["bucket"]: (r["top"]["id"], ~r["top"]["rank"])
+            for r in base.groupBy("bucket").agg(F.max(place).alias("top")).collect()}
     order = sorted(tops)
     before = {b: order[i - 1] for i, b in enumerate(order)}
-    first = F.element_at(F.array(*[F.lit(tops.get(b)).cast(kind) for b in range(parts)]), F.col("bucket") + 1)
+    row = F.struct("id", "h")
+    first = F.element_at(F.array(*[_pair(*tops.get(b, (None, None)), kind) for b in range(parts)]), F.col("bucket") + 1)
     back = F.element_at(F.array(*[F.lit(before.get(b, 0)) for b in range(parts)]), F.col("bucket") + 1)
-    sent = F.when(F.col("id").eqNullSafe(first), F.array(
-        F.struct(F.col("bucket").alias("b"), F.lit(0).alias("g")), F.struct(back.alias("b"), F.lit(1).alias("g"))
-    )).otherwise(F.array(F.struct(F.col("bucket").alias("b"), F.lit(0).alias("g"))))
+    home = F.struct(F.col("bucket").alias("b"), F.lit(0).alias("g"))
+    sent = F.when(row.eqNullSafe(first), F.array(home, F.struct(back.alias("b"), F.lit(1).alias("g")))).otherwise(F.array(home))
     rows = (base.withColumn("s", F.explode(sent))
-            .select("id", "text", F.col("s.b").alias("bucket"), F.col("s.g").alias("guest"))
-            .repartition(parts, "bucket")
-            .sortWithinPartitions("bucket", "guest", F.col("id").desc_nulls_last(), "text"))
+            .select("id", "text", F.col("s.b").alias("bucket"), F.col("s.g").alias("guest"), "h")
+            .repartitionById(parts, "bucket")
+            .sortWithinPartitions("bucket", "guest", F.col("id").desc_nulls_last(), "h", "text").drop("h"))
     schema = schema_of(f"`{id_col}` {kind}, {OUT}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,22 +216,35 @@ def fingerprint_beside_next(docs: DataFrame, id_col: str = "doc_id", text_col: s
     return rows.mapInArrow(run, schema)
 
 
-def _range_of(base: DataFrame, parts: int):
-    """Number of the descending id range of each row, 0 to ``parts`` - 1.
+def _pair(i, h, kind: str):
+    return F.struct(F.lit(i).cast(kind).alias("id"), F.lit(h).cast("long").alias("h"))
+
 
-    Bounds are approximate quantiles (``parts`` - 1 numbers).  They sit in a
-    two-level array, so a row compares with about 2 x sqrt(parts) of them.
+def _range_of(base: DataFrame, parts: int, kind: str):
+    """Number of the range of each row, 0 to ``parts`` - 1, in descending order of id.
+
+    Bounds are every ``SAMPLE``-th of about ``SAMPLE`` x ``parts`` rows, those whose
+    hash lies below a limit.  They sit in a two-level array, so a row compares
+    with about 2 x sqrt(parts) of them.
     """
-    got = base.agg(F.percentile_approx("id", [k / parts for k in range(1, parts)] or [0.5],
-                                       F.lit(max(10_000, 10 * parts)))).first()[0] or []
-    bounds = sorted(set(got))
+    share = min(1.0, SAMPLE * parts / max(1, base.count()))
+    drawn = F.pmod(F.xxhash64("h", "id"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    keys = [("id", False), ("h", True)]
+    sample = base.where(drawn).select("id", "h").distinct().orderBy(F.col("id").desc_nulls_last(), "h").collect()
+    every = max(SAMPLE, -(-len(sample) // parts))
+    bounds = [(r["id"], r["h"]) for r in sample[every::every]][:parts - 1]
+    if not bounds:
+        return F.lit(0)
     step = max(1, int(len(bounds) ** 0.5))
     groups = [bounds[i:i + step] for i in range(0, len(bounds), step)]
-    if not groups:
-        return F.lit(0)
-    tops = F.array(*[F.lit(g[-1]) for g in groups])
-    fine = F.array(*[F.array(*[F.lit(x) for x in g]) for g in groups])
-    g = F.size(F.filter(tops, lambda x: x < F.col("id")))  # groups wholly below the id
-    below = g * step + F.coalesce(F.size(F.filter(F.get(fine, g), lambda x: x < F.col("id"))), F.lit(0))
-    below = F.when(F.col("id").isNull(), F.lit(0)).otherwise(F.least(below, F.lit(len(bounds))))
-    return (F.lit(len(bounds)) - below).cast("int")
+
+    def key(i, h):
+        return F.struct(F.lit(i).cast(kind).alias("k0"), F.lit(h).alias("k1"))
+
+    def passed(array):
+        return F.size(F.filter(array, lambda b: comes_before(b, keys)))
+
+    g = passed(F.array(*[key(*x[-1]) for x in groups]))  # groups wholly before the row
+    fine = F.array(*[F.array(*[key(*x) for x in part]) for part in groups])
+    place = g * step + F.coalesce(F.when(g < len(groups), passed(F.get(fine, g))), F.lit(0))
+    return F.least(place, F.lit(len(bounds))).cast("int")  # the last group may be shorter

@@ -8,8 +8,9 @@ Totals are sums of deltas, so a batch costs its own size plus a look-up of the
 documents that it deletes or revises.  Three kinds of batch:
 * ``insert``  +1 document and +n tokens an entry
 * ``delete``  minus the document's present sums
-* ``revise``  new count minus present count, 0 documents (documents that are not
-  counted at present are ignored)
+* ``revise``  minus the document's present sums under its present source and
+  lang, plus the new count under those of the revision; where the revision has no
+  such columns they stay as they are (documents not counted at present are ignored)
 
 A batch is named by an id; it is committed when its ``deltas`` folder has the
 writer's ``_SUCCESS`` marker.  Committing an id again does nothing; a batch that
@@ -21,8 +22,8 @@ exist on every executor.
 
 Defined results: null text has 0 tokens; null source, lang or id is a key of its
 own; rows repeated within a batch of inserts count each; a delete or revision
-repeated within a batch counts once (largest count); an empty batch commits
-empty deltas; extra columns are ignored.
+repeated within a batch counts once (largest count, then last source and lang);
+an empty batch commits empty deltas; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -96,9 +97,12 @@ class TokenRollup:
             return self.spark.createDataFrame([], schema_of(ddl))
         return self.spark.read.schema(schema_of(ddl)).parquet(*paths)
 
-    def _present(self) -> DataFrame:
-        """Present sums of every counted document."""
-        return (self._table("ledger", self.ledger_ddl).groupBy("doc_id", *KEYS)
+    def _present(self, ids: DataFrame) -> DataFrame:
+        """Present sums of the counted documents of ``ids`` (one column); the
+        ledger is cut to them before it is grouped."""
+        wanted = ids.toDF("_wanted").distinct()
+        ledger = self._table("ledger", self.ledger_ddl)
+        return (ledger.join(wanted, F.col("doc_id").eqNullSafe(F.col("_wanted")), "left_semi").groupBy("doc_id", *KEYS)
                 .agg(F.sum("d_docs").alias("docs"), F.sum("d_tokens").alias("tokens")).where("docs <> 0 OR tokens <> 0"))
 
     def commit(self, batch: str, inserts: DataFrame | None = None, deletes: DataFrame | None = None,
@@ -116,19 +120,21 @@ class TokenRollup:
             entries = entries.unionByName(inserts.select(
                 "doc_id", *KEYS, F.lit(1).cast("long").alias("d_docs"), F.col("n_tokens").alias("d_tokens")))
         if deletes is not None:
-            gone = deletes.select(F.col("doc_id").alias("_gone")).distinct()
             entries = entries.unionByName(
-                self._present().join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_semi")
+                self._present(deletes.select("doc_id"))
                 .select("doc_id", *KEYS, (-F.col("docs")).alias("d_docs"), (-F.col("tokens")).alias("d_tokens")))
         if revisions is not None:
+            moved = [k for k in ("source", "lang") if k in revisions.columns]
             new = (revisions.groupBy(F.col("doc_id").alias("_id"), F.col("tokenizer").alias("_tok"))
-                   .agg(F.max("n_tokens").alias("_new")))
+                   .agg(F.max(F.struct("n_tokens", *moved)).alias("_new")))
+            present = self._present(revisions.select("doc_id")).where("docs <> 0").join(
+                new, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("tokenizer").eqNullSafe(F.col("_tok")))
             # a document counted several times keeps its multiplicity
-            entries = entries.unionByName(
-                self._present().where("docs <> 0")
-                .join(new, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("tokenizer").eqNullSafe(F.col("_tok")))
-                .select("doc_id", *KEYS, F.lit(0).cast("long").alias("d_docs"),
-                        (F.col("_new") * F.col("docs") - F.col("tokens")).alias("d_tokens")))
+            minus = F.struct("source", "lang", (-F.col("docs")).alias("d_docs"), (-F.col("tokens")).alias("d_tokens"))
+            plus = F.struct(*[F.col(f"_new.{k}") if k in moved else F.col(k) for k in ("source", "lang")],
+                            F.col("docs").alias("d_docs"), (F.col("_new.n_tokens") * F.col("docs")).alias("d_tokens"))
+            entries = entries.unionByName(present.select("doc_id", "tokenizer", F.explode(F.array(minus, plus)).alias("e"))
+                                          .select("doc_id", "e.source", "e.lang", "tokenizer", "e.d_docs", "e.d_tokens"))
         at = f"{self.path}/ledger/batch={batch}"
         entries.write.mode("overwrite").option("compression", "zstd").parquet(at)
         (self.spark.read.schema(schema_of(self.ledger_ddl)).parquet(at).groupBy(*KEYS)
