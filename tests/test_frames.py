@@ -229,3 +229,27 @@ def _scans(df, table):
                                        ("box_stats", 1), ("dashboard_panels", 1)])
 def test_how_often_lineitem_is_read(spark, key, most):
     assert _scans(Q_ALL[key](spark, SMALL), "lineitem") <= most
+
+
+def test_stored_sketches_answer_any_span(spark, tmp_path):
+    from lumen.operators import sketches as SK
+    r = np.random.default_rng(3)
+    data = [(m, "ab"[i % 2], float(x)) for m in range(6) for i, x in enumerate(r.normal(m, 1 + m, size=4000))]
+    data += [(2, "a", None), (2, "b", float("nan"))]
+    df = spark.createDataFrame(data, "month int, g string, x double")
+    path = f"file://{tmp_path}/sketches"
+    SK.save_periods(SK.period_sketches(df.where("month < 5"), "x", "month", ["g"]), path, "month")
+    SK.save_periods(SK.period_sketches(df.where("month = 4"), "x", "month", ["g"]), path, "month")  # delivered again
+    SK.save_periods(SK.period_sketches(df.where("month = 5"), "x", "month", ["g"]), path, "month")
+    stored = SK.read_periods(spark, path)
+    probs = {"a": 0.01, "m": 0.5, "z": 0.95}
+    for lo, hi in ((0, 5), (2, 3), (4, 4), (1, 5)):
+        span = stored.where(F.col("month").between(lo, hi))
+        for g in "ab":
+            x = np.sort([v for m, k, v in data if lo <= m <= hi and k == g and v is not None and v == v])
+            (got,) = SK.span_quantiles(span.where(F.col("g") == g), probs).collect()
+            assert got["n"] == len(x)
+            for name, p in probs.items():
+                below, upto = np.searchsorted(x, got[name], "left") / len(x), np.searchsorted(x, got[name], "right") / len(x)
+                assert below - 0.01 <= p <= upto + 0.01
+    assert SK.span_quantiles(stored.limit(0), probs, by=["g"]).collect() == []

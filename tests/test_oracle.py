@@ -22,13 +22,22 @@ def test_query_matches_oracle(spark, con, key):
     assert compare(sp, ok) is None
 
 
-@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
-def test_rows_only_queries_run(spark, key):
-    df = QUERIES[key](spark, SMALL)
-    assert df.count() >= 0 and len(df.columns) > 0
+# Rows at sf0.001 of the queries that SQL cannot express; the training-data
+# queries have their own brute-force tests.
+ROWS_ONLY = sorted(k for k in set(QUERIES) - set(ORACLE) if not k.startswith("op") and k != "pipeline")
 
 
-def test_entry_smoke(spark):
+@pytest.mark.parametrize("key", ROWS_ONLY)
+def test_rows_only_queries(spark, key):
+    got = QUERIES[key](spark, SMALL).collect()
+    if key == "file_inventory":
+        names = {r["path"].rsplit("/", 1)[-1] for r in got}
+        assert {"lineitem.parquet", "orders.parquet"} <= names and all(r["length"] > 0 for r in got)
+    else:
+        assert key == "show_tables" and len(got) >= 1
+
+
+def test_entry_smoke(spark, con):
     df = E.entry(spark)
     assert df.columns == ["airport_name", "num_flights", "avg_arrival_delay"]
-    assert df.count() >= 0
+    assert compare(df.toPandas(), con.execute(ORACLE["topk_global"]).df()) is None
