@@ -14,8 +14,8 @@ frequencies: first those of ``LONGEST`` letters, then shorter ones.  The sum ove
 words of the text plus the log share of the language among the training texts
 gives the posterior of each language.
 
-Counting and prediction run in tasks over whole texts, batch by batch; counts
-are summed in each task before the shuffle, so a word or language that holds a
+Words are counted and languages predicted in tasks over whole texts, batch by
+batch; n-grams are counted from the counted words.  Counts are summed in each task before the shuffle, so a word or language that holds a
 third of all rows costs no more than any other.  The model goes to the tasks
 with the function (its size is bounded as above).
 
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from lumen.llm.common import arrow_map, schema_of, write_once
 
-ONE_IN = 400_000
+ONE_IN = 1_000_000
 LEAST = 3
 LONGEST = 5
 ALPHA = 0.5
@@ -60,12 +60,6 @@ def words_of(text: str) -> list[str]:
     return [w for w in found if w]
 
 
-def grams(word: str, n: int) -> list[str]:
-    """The n-grams of the word between its end marks; a single mark is none."""
-    marked = f"<{word}>"
-    return [marked[i:i + n] for i in range(len(marked) - n + 1)] if n > 1 else list(word)
-
-
 def _summed(df: DataFrame, count, key: str) -> DataFrame:
     """(lang, ``key``, n): sums of what ``count`` adds to the counters of the languages from each batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,11 +88,19 @@ def _words(sums, cols):
         sums[lang].update(words_of(text))
 
 
+def grams(word: str) -> list[str]:
+    """All n-grams of a word between its end marks; a single mark is none."""
+    marked = f"<{word}>"
+    return [*word, *[marked[i:i + n] for n in range(2, LONGEST + 1) for i in range(len(marked) - n + 1)]]
+
+
 def _grams(sums, cols):
     for lang, word, n in zip(cols["lang"], cols["word"], cols["n"]):
-        c = sums[lang]
-        for k in range(1, LONGEST + 1):
-            for g in grams(word, k):
+        c, found = sums[lang], grams(word)
+        if n <= 3:  # most words are rare, and the counter is faster than a loop
+            c.update(found * n)
+        else:
+            for g in found:
                 c[g] = c.get(g, 0) + n
 
 
@@ -122,13 +124,27 @@ class Model:
         self.langs, self.prior, self.tables = langs, prior, tables
 
 
+class _Rows(dict):
+    """Row numbers by word; a word that is not there gets the next one and is noted."""
+
+    def __init__(self, known: dict):
+        super().__init__(known)
+        self.used, self.pending = len(known), []
+
+    def __missing__(self, word):
+        self[word] = row = self.used
+        self.used += 1
+        self.pending.append(word)
+        return row
+
+
 class Reader:
     """A task's view of the model: keeps the rows of the unknown words that it has met."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.rows, known = dict(model.tables[0][0]), model.tables[0][1]
-        self.used, self.known = len(known), len(known)
+        known = model.tables[0][1]
+        self.rows = _Rows(model.tables[0][0])
         self.table = np.zeros((len(known) + 1024, len(model.langs)))
         self.table[:len(known)] = known
         self.gram_rows: dict[str, int] = {}
@@ -140,14 +156,14 @@ class Reader:
             parts.append(table)
         self.grams = np.concatenate(parts)
 
-    def back_off(self, words: list[str]) -> None:
-        """Rows for unknown words: each the mean of the word's longest known n-grams."""
-        get, flat, size = self.gram_rows.get, [], []
+    def back_off(self) -> None:
+        """Fill the rows of the noted words: each the mean of the word's longest known n-grams."""
+        get, words, flat, size = self.gram_rows.get, self.rows.pending, [], []
         for w in words:
             marked = f"<{w}>"
             for n in range(min(LONGEST, len(marked)), 0, -1):
                 m = marked if n > 1 else w
-                at = [i for i in [get(m[k:k + n]) for k in range(len(m) - n + 1)] if i is not None]
+                at = [i for k in range(len(m) - n + 1) if (i := get(m[k:k + n])) is not None]
                 if at:
                     flat += at
                     size.append(len(at))
@@ -155,29 +171,28 @@ class Reader:
             else:
                 flat.append(0)  # a row of zeros: nothing is known of it
                 size.append(1)
-        start, end = self.used, self.used + len(words)
+        end = self.rows.used
         while end > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         at = np.cumsum([0, *size[:-1]])
-        self.table[start:end] = np.add.reduceat(self.grams[flat], at, axis=0) / np.array(size)[:, None]
-        self.rows.update(zip(words, range(start, end)))
-        self.used = end
+        self.table[end - len(words):end] = np.add.reduceat(self.grams[flat], at, axis=0) / np.array(size)[:, None]
+        words.clear()
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = words_of(text or "")
         if not found:
             return UNKNOWN, 0.0
         counts = Counter(found)
+        words, n = list(counts), np.array(list(counts.values()), float)
         z = self.model.prior.copy()
-        words = list(counts)
-        for s in range(0, len(words), 100_000):  # rows stay in place while a part is summed
+        for s in range(0, len(words), 100_000):  # a part's rows stay in place while it is summed
+            if self.rows.used > len(self.model.tables[0][0]) + FLUSH:  # words met long ago go
+                self.rows = _Rows(self.model.tables[0][0])
             part = words[s:s + 100_000]
-            if self.used - self.known > FLUSH:  # words met long ago go
-                self.rows, self.used = dict(self.model.tables[0][0]), self.known
-            if unknown := [w for w in part if w not in self.rows]:
-                self.back_off(unknown)
-            at = [self.rows[w] for w in part]
-            z += np.fromiter((counts[w] for w in part), float, len(part)) @ self.table[at]
+            at = np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))
+            if self.rows.pending:
+                self.back_off()
+            z += n[s:s + 100_000] @ self.table[at]
         best = int(np.argmax(z))
         return self.model.langs[best], float(1 / np.exp(z - z[best]).sum())
 
