@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumen.operators.ordered import free_prefix, sortable
+from lumen.operators.ordered import free_prefix, shared, sortable
 from lumen.session import scratch_dir
 
 def materialize_table(df: DataFrame) -> DataFrame:
@@ -66,6 +66,38 @@ def top_k_keys(df: DataFrame, key: str, k: int) -> DataFrame:
             .select(key))
 
 
+# Of the frequent-items sketch, and what it proves: its error is at most 3.5 / map size of
+# the rows, the map is larger than TRACKED / 0.75, and a key that is not returned may
+# have twice the error.
+TRACKED = 10_000
+UNSEEN = 2 * 3.5 * 0.75 / TRACKED
+
+
+def top_k_verified(df: DataFrame, key: str, k: int, name: str = "count") -> DataFrame:
+    """``top_k_keys`` with exact counts, for keys too many to shuffle.
+
+    A frequent-items sketch names at most ``TRACKED`` candidates; a second read
+    counts those exactly, in partial aggregates that hold only candidates.  No other
+    key can occur in more than ``UNSEEN`` of the rows, so a k-th candidate with more
+    proves the result.  Where it does not (flat distributions, fewer candidates than
+    ``k``), all keys are counted instead: that branch joins a table that is empty
+    once the result is proved, and Spark then drops it unread.
+    """
+    p = free_prefix(df.columns, [name])
+    rows = df.where(F.col(key).isNotNull()).select(key)
+    sketch = shared(rows.agg(F.expr(f"approx_top_k(`{key}`, {TRACKED}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")))
+    wanted = sketch.select(F.explode("top.item").alias(f"{p}wanted"))
+    counted = (rows.join(F.broadcast(wanted), F.col(key) == F.col(f"{p}wanted"), "left_semi")  # at most TRACKED
+               .groupBy(key).agg(F.count(F.lit(1)).alias(name)))
+    best = shared(counted.orderBy(F.desc(name), key).limit(k))
+    proof = best.agg(F.count(F.lit(1)).alias("found"), F.min(name).alias("least")).crossJoin(F.broadcast(sketch.select("n"))).select(
+        ((F.col("found") == k) & (F.col("least") > F.col("n") * UNSEEN)).alias(f"{p}proved"))
+    proved = best.crossJoin(F.broadcast(proof)).where(f"{p}proved").select(key, name)
+    every = (rows.crossJoin(F.broadcast(proof.where(f"NOT coalesce({p}proved, false)"))).groupBy(key)
+             .agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), key).limit(k))
+    return proved.unionByName(every)
+
+
 def keep_top_k(df: DataFrame, key: str, k: int) -> DataFrame:
     """Rows whose ``key`` is among the k most frequent (``isin`` of a top-k list),
     as a left-semi join against a broadcast of at most k keys."""
