@@ -6,6 +6,12 @@ stage before kept, each written as Parquet and read again.
 3. decontamination  documents that contain a benchmark item go
 4. secrets          found secrets are masked in the text, n_chars is renewed
 5. sentencepiece    the texts are encoded and decoded; one row per document
+
+Defined results: rows with a null id pass through every stage like others, so
+their copies and contaminated texts go; a null text is empty, has no words and
+is a copy of other empty texts; of repeated rows one stays after stage 2; very
+long texts are worked on whole; further columns of documents stay, whatever their
+names, up to stage 4; empty tables give an empty result.
 """
 
 from __future__ import annotations
