@@ -249,6 +249,40 @@ def test_sentencepiece_parity(spark, docs):
     assert [e.ids if t else [] for t, e in zip(odd, whole.encode_batch(odd, add_special_tokens=False))] == ids
 
 
+class Counting:
+    """A tokenizer that counts the characters it is given to encode."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.chars = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.chars += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def test_sentencepiece_words_are_encoded_once(spark):
+    with open(sentencepieces.MODEL_PATH, "rb") as f:
+        own = sentencepieces.Backend(sentencepieces.Model(f.read()))
+    reference = sentencepieces._backends(sentencepieces.MODEL_PATH, None)[1]
+    count = own.tokenizer = Counting(own.tokenizer)
+    rnd = random.Random(7)
+    words = ["".join(rnd.choices("abcde\né中", k=rnd.randrange(1, 9))) for _ in range(2000)]
+    texts = [" ".join(rnd.choices(words, k=400)) for _ in range(50)]
+    assert own.encode(texts) == reference.encode(texts)
+    assert count.chars <= sum(len(w) + 1 for w in set(words))
+    odd = ["".join(rnd.choices("▁▁  ab\n<0x4>é😀中", k=rnd.randrange(40))) for _ in range(2000)]
+    odd += [t for x in odd if (t := " ".join(x.replace("▁", " ").split()))] + ["a▁b c", "x" * 5000, ""]
+    rnd.shuffle(odd)
+    assert own.encode(odd) == reference.encode(odd) and own.encode([]) == []
+    rows = sentencepieces.encode_decode(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").coalesce(1),
+                                        batch_chars=300).collect()
+    assert len(rows) == len(odd)
+    for r in rows:
+        text = odd[r["doc_id"]]  # a marker in a text comes back as a space
+        assert r["ids"] == reference.encode(text) and r["parity"] and r["round_trip"] == ("▁" not in text)
+        assert r["n_tokens"] == len(r["ids"]) and r["decoded_n_chars"] == len(text)
+
+
 def test_threads_are_the_cores_of_a_task(spark, docs):
     allow = "spark.sql.legacy.setCommandRejectsSparkCoreConfs"
     assert sentencepieces.task_threads(spark) == 1
