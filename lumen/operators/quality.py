@@ -6,10 +6,12 @@ so no operator runs a job or passes a value through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumen.operators.aggregates import approx_quantiles, column_quantiles, exact_quantiles
 from lumen.operators.joins import attach_scalars
@@ -53,15 +55,40 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 def dedup_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows before and after de-duplication on ``keys``, one row.
 
-    One pass: the rows are counted by key, then counts and keys are summed
-    (NULL-keyed rows count as a key, as ``dropDuplicates`` keeps them).
+    One pass: equal keys are counted together batch by batch, so a hot key leaves a
+    task in few rows, then brought together once and numbered in sorted order (NULL-keyed
+    rows count as a key, as ``dropDuplicates`` keeps them).  A task holds no table of its
+    keys, often nearly as many as its rows: it sorts them, and a sort spills.  The hash in
+    front only makes the sort cheap.  Keys of other than ``BATCH_KEYS`` are aggregated.
     """
-    n = f"{free_prefix(df.columns)}n"
-    by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
-    return (by_key.agg(F.coalesce(F.sum(n), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
+    rows = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
+    names = rows.columns
+    if not names or not all(isinstance(t, BATCH_KEYS) or t == T.StringType() for t in (f.dataType for f in rows.schema)):
+        by_key = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("first"))
+    else:
+        same = Window.partitionBy("h", *names).orderBy("n")
+        by_key = (count_in_batches(rows).repartition(*names).withColumn("h", F.xxhash64(*names))
+                  .select("n", (F.row_number().over(same) == 1).alias("first")))
+    return (by_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"), F.count_if("first").alias("rows_after"))
             .withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after")))
 
 
+# Types, beside plain strings, that Arrow groups; it may keep apart what Spark takes for equal, never the reverse.
+BATCH_KEYS = (T.NumericType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def count_in_batches(rows: DataFrame) -> DataFrame:
+    """The rows and a count ``n``: equal rows of one Arrow batch as one; a task holds one batch."""
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b]).group_by(names, use_threads=False).aggregate([([], "count_all")])
+            yield from t.select([*names, "count_all"]).rename_columns([*names, "n"]).to_batches()
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("n", T.LongType())]))
+
+
 def impute_median(df: DataFrame, value: str, median_of: DataFrame | None = None,
                   exact: bool = True) -> DataFrame:
     """Fill NULLs of ``value`` with its median (of ``median_of``, default ``df``).

@@ -53,6 +53,34 @@ def test_missing_and_outliers_null_false(spark):
     assert got[100.0] is True and got[None] is False and got[3.0] is False
 
 
+def report(df, keys):
+    return tuple(Q.dedup_report(df, keys).first())
+
+
+def test_dedup_report_holds_no_table_of_keys(spark):
+    """Nearly all keys differ: no task may hash them all; a hot key leaves a task merged."""
+    df = spark.range(40000).selectExpr("IF(id < 15000, -1, id) AS a", "CAST(id % 7 AS string) AS b", "1 AS c").repartition(3)
+    got = Q.dedup_report(df, ["a", "c"])
+    assert tuple(got.first()) == (40000, 25001, 14999)
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Window" in final and final.count("HashAggregate(") == final.count("HashAggregate(keys=[],") == 2
+    merged = Q.count_in_batches(df.select("a"))
+    assert merged.agg(F.sum("n")).first()[0] == 40000 and merged.where("a = -1").count() <= 6
+
+
+def test_dedup_report_equals_drop_duplicates(spark):
+    nan, other = float("nan"), [float("inf"), 0.0, -0.0, 1.5, None]
+    rows = [(x, s, d, t) for x in [nan, nan, *other, *other] for s in ["a", "A", "", None]
+            for d in [dt.date(2020, 1, 1), None] for t in [dt.datetime(2020, 1, 1, 2), None]]
+    df = spark.createDataFrame(rows, "`x` double, `s.s` string, d date, t timestamp").repartition(3)
+    df = df.selectExpr("*", "CAST(x IS NULL AS decimal(9, 2)) AS n", "struct(x) AS inner", "array(d) AS days",
+                       "`s.s` COLLATE UTF8_LCASE AS low", "CAST(`s.s` AS binary) AS b")
+    for keys in (["x"], ["`s.s`", "d"], ["x", "`s.s`", "d", "t", "n", "b"], ["d", "t"], ["inner"], ["days", "x"], ["low"]):
+        want = df.select(*keys).distinct().count()
+        assert report(df, keys) == (len(rows), want, len(rows) - want), keys
+    assert report(df.limit(0), ["x", "d"]) == (0, 0, 0)
+
+
 def test_dedup_deterministic_and_impute_cast(spark):
     df = spark.createDataFrame([("k", 2, -3), ("k", 1, None), ("j", 1, -1), ("i", 1, -2)],
                                "key string, o int, d int")
